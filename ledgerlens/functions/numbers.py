@@ -64,10 +64,17 @@ def softmax(scores: Sequence[Column]) -> list[Column]:
     return [part / total for part in parts]
 
 
+def _bind(value: Column, body) -> Column:
+    """Use a computed value several times in an expression but compute it once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def softmax_array(scores: Column) -> Column:
     """Soft-max over an array column."""
-    shifted = F.transform(scores, lambda x: F.exp(x - F.array_max(scores)))
-    return F.transform(shifted, lambda x: x / F.aggregate(shifted, F.lit(0.0), lambda a, b: a + b))
+    powers = _bind(F.array_max(scores), lambda top: F.transform(scores, lambda x: F.exp(x - top)))
+    return _bind(powers, lambda items: _bind(
+        F.aggregate(items, F.lit(0.0), lambda a, b: a + b),
+        lambda total: F.transform(items, lambda x: x / total)))
 
 
 def argmax(scores: Sequence[Column]) -> Column:

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ledgerlens.config import F1_GATE, LATENCY_BOUNDS
 from ledgerlens.functions.numbers import epoch_micros, from_micros
 from ledgerlens.operators.ordered import running, with_previous
-from ledgerlens.operators.sizing import settle
+from ledgerlens.operators.sizing import written
 from ledgerlens.operators.telemetry import DAY, HOUR, SECOND, quantile_of_buckets, rolling_error_rate
 
 TICK_SECONDS = 15
@@ -93,18 +93,19 @@ def service_signals(requests: DataFrame, pushes: DataFrame, step: int = TICK_SEC
         F.max_by(F.when(F.col("metric") == g, F.col("value")), F.when(F.col("metric") == g, F.struct("ts", "event_id"))).alias(g)
         for g in gauges
     ])
-    observed = settle(request_panes.join(rates, "tick_no", "left").join(gauge_panes, "tick_no", "full"))
+    observed = written(request_panes.join(rates, "tick_no", "left").join(gauge_panes, "tick_no", "full"), "panes")
     spine = tick_spine(observed, step).join(observed, "tick_no", "left")
 
     counted = [*[f"c{i}" for i in range(n)], "total", "feedback", "switches"]
     held = ["error_rate", *gauges]
-    totals = settle(
+    totals = written(
         running(
             spine.select("tick_no", *[F.coalesce(c, F.lit(0)).alias(f"p_{c}") for c in counted], *held),
             [], ["tick_no"], F.floor(F.col("tick_no") / (DAY // step)),
             sums={c: F.col(f"p_{c}") for c in counted},
             maxes={f"h_{g}": F.when(F.col(g).isNotNull(), F.struct(F.col("tick_no").alias("t"), F.col(g).alias("v"))) for g in held},
-        ).select("tick_no", *counted, *[F.col(f"h_{g}.v").alias(g) for g in held])
+        ).select("tick_no", *counted, *[F.col(f"h_{g}.v").alias(g) for g in held]),
+        "totals",
     )
 
     def earlier(columns: Sequence[str], seconds: int, tag: str) -> DataFrame:
@@ -164,11 +165,40 @@ def hold_states(conditions: DataFrame, keys: Sequence[str], order: str, bucket:
 
 
 def alert_states(signals: DataFrame, rules: Sequence[AlertRule], step: int = TICK_SECONDS) -> DataFrame:
-    """State of every rule at every tick."""
-    conditions = rule_conditions(signals, rules)
-    return hold_states(
-        conditions, ["alertname", "severity"], "tick_no", F.floor(F.col("tick_no") / (DAY // step)),
-        F.ceil(F.col("hold_seconds") / F.lit(step)))
+    """State of every rule at every tick of a gapless tick series.
+
+    With gapless ticks the last inactive tick before a row tells all: when the
+    active stretch began and what the state one tick earlier was. All rules
+    share one window over the ticks and are spread into rows afterwards.
+    """
+    start = signals.agg(F.min("tick_no")).scalar()
+    wide = signals.select("tick_no", *[
+        F.coalesce(r.condition, F.lit(False)).alias(f"on{i}") for i, r in enumerate(rules)])
+    marked = running(
+        wide, [], ["tick_no"], F.floor(F.col("tick_no") / (DAY // step)),
+        maxes={f"off{i}": F.when(~F.col(f"on{i}"), F.col("tick_no")) for i in range(len(rules))},
+        include_current=False,
+    ).withColumn("_start", start)
+    cells = [
+        F.struct(F.lit(r.name).alias("alertname"), F.lit(r.severity).alias("severity"),
+                 F.lit(-(-r.hold_seconds // step)).cast("long").alias("hold"),
+                 F.col(f"on{i}").alias("active"),
+                 (F.coalesce(f"off{i}", F.col("_start") - 1) + 1).alias("began"))
+        for i, r in enumerate(rules)
+    ]
+    rows = marked.select("tick_no", F.explode(F.array(*cells)).alias("x")).select("tick_no", "x.*")
+    before = F.col("tick_no") - 1
+
+    def state(on: Column, at: Column) -> Column:
+        return F.when(~on, "inactive").when(at - F.col("began") >= F.col("hold"), "firing").otherwise("pending")
+
+    return rows.select(
+        "alertname", "severity", "tick_no", "active",
+        F.when(F.col("active"), F.col("began")).alias("since"),
+        state(F.col("active"), F.col("tick_no")).alias("state"),
+        # `began` is this very tick when the tick before was inactive or missing
+        state(F.col("began") <= before, before).alias("prev_state"),
+    )
 
 
 def alert_transitions(states: DataFrame) -> DataFrame:

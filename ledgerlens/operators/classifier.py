@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerlens.functions.numbers import softmax
 from ledgerlens.operators.features import token_indices
-from ledgerlens.operators.sizing import settle
+from ledgerlens.operators.sizing import settle, written
 
 
 @dataclass(frozen=True)
@@ -46,7 +46,7 @@ def fit(train: DataFrame, labels: DataFrame, vocabulary: DataFrame, row_id: str,
         words.where("idx IS NOT NULL").groupBy("idx", "label_idx").agg(F.count("*").alias("n"))
         .select(F.lit(run_id).alias("run_id"), "idx", "label_idx", "n")
     )
-    token_counts = settle(token_counts)
+    token_counts = written(token_counts, "nb-token")
     classes = _class_table(
         train.groupBy("label_idx").agg(F.count("*").alias("n_docs")), token_counts, labels, run_id)
     return NaiveBayes(settle(classes), token_counts, vocabulary, vocabulary.count() + 1, max_seq_len)
@@ -74,7 +74,7 @@ def merge(old: NaiveBayes, new: NaiveBayes, run_id: str) -> NaiveBayes:
         .groupBy("label_idx", "category").agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
         .select(F.lit(run_id).alias("run_id"), "label_idx", "category", "n_docs", "n_tokens")
     )
-    return NaiveBayes(settle(classes), settle(tokens), old.vocabulary, old.vocabulary_size, old.max_seq_len)
+    return NaiveBayes(settle(classes), written(tokens, "nb-token"), old.vocabulary, old.vocabulary_size, old.max_seq_len)
 
 
 def class_rows(model: NaiveBayes) -> list:
@@ -161,6 +161,6 @@ def load_model(spark, path: str, run_id: str) -> NaiveBayes:
     if not settings:
         raise LookupError(f"no model for run id {run_id}")
     return NaiveBayes(
-        settle(get("nb_class")), settle(get("nb_token")), settle(get("vocabulary").select("token", "idx")),
+        settle(get("nb_class")), get("nb_token"), get("vocabulary").select("token", "idx"),
         settings[0]["vocabulary_size"], settings[0]["max_seq_len"],
     )

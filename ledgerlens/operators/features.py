@@ -26,7 +26,7 @@ def build_vocabulary(df: DataFrame, max_size: int, min_freq: int, column: str =
         .limit(max_size)
     )
     rank = F.row_number().over(Window.orderBy(F.desc("n"), "token"))
-    return settle(kept.select("token", (rank + (FIRST_WORD_INDEX - 1)).alias("idx")))
+    return settle(kept.select("token", (rank + (FIRST_WORD_INDEX - 1)).alias("idx")), rows=max_size)
 
 
 def with_special_tokens(vocabulary: DataFrame, pad: int = PAD_INDEX, unk: int = UNK_INDEX) -> DataFrame:

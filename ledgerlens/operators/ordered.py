@@ -12,16 +12,23 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 _BUCKET = "_bucket"
 
 
-def _null_safe(left: DataFrame, right: DataFrame, names: Sequence[str]) -> Column:
-    cond = left[names[0]].eqNullSafe(right[names[0]])
-    for name in names[1:]:
-        cond = cond & left[name].eqNullSafe(right[name])
-    return cond
+def _slot(df: DataFrame, keys: Sequence[str]) -> dict[str, Column]:
+    """Key columns without nulls, so that window and join share one partitioning.
+
+    A null key becomes a default value and a flag.
+    """
+    out = {}
+    for i, key in enumerate(keys):
+        kind = df.schema[key].dataType
+        default = F.lit("") if isinstance(kind, T.StringType) else F.lit(0).cast(kind)
+        out[f"_k{i}"] = F.coalesce(F.col(key), default)
+        out[f"_n{i}"] = F.col(key).isNull()
+    return out
 
 
 def running(
@@ -40,38 +47,32 @@ def running(
     cover the rows strictly before each row.
     """
     sums, maxes = sums or {}, maxes or {}
-    df = df.withColumn(_BUCKET, bucket)
-    group = [*keys, _BUCKET]
-
-    totals = df.groupBy(*group).agg(
-        *[F.sum(c).alias(f"_t_{n}") for n, c in sums.items()],
-        *[F.max(c).alias(f"_t_{n}") for n, c in maxes.items()],
-    )
-    earlier = Window.partitionBy(*keys).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    carry = totals.select(
-        *group,
-        *[F.sum(f"_t_{n}").over(earlier).alias(f"_c_{n}") for n in sums],
-        *[F.max(f"_t_{n}").over(earlier).alias(f"_c_{n}") for n in maxes],
+    series = _slot(df, keys)
+    slot = [*series, _BUCKET]
+    placed = df.withColumns({**series, _BUCKET: bucket})
+
+    earlier = Window.partitionBy(*series).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    carry = (
+        placed.groupBy(*slot).agg(
+            *[F.sum(c).alias(f"_t_{n}") for n, c in sums.items()],
+            *[F.max(c).alias(f"_t_{n}") for n, c in maxes.items()],
+        )
+        .select(
+            *slot,
+            *[F.sum(f"_t_{n}").over(earlier).alias(f"_c_{n}") for n in sums],
+            *[F.max(f"_t_{n}").over(earlier).alias(f"_c_{n}") for n in maxes],
+        )
     )
 
     last = 0 if include_current else -1
-    inside = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, last)
-    local = df.select(
+    inside = Window.partitionBy(*slot).orderBy(*order).rowsBetween(Window.unboundedPreceding, last)
+    local = placed.select(
         "*",
         *[F.sum(c).over(inside).alias(f"_l_{n}") for n, c in sums.items()],
         *[F.max(c).over(inside).alias(f"_l_{n}") for n, c in maxes.items()],
     )
-    right = carry.select(
-        *[F.col(n).alias(f"_r_{n}") for n in group],
-        *[f"_c_{n}" for n in [*sums, *maxes]],
-    )
-    cond = None
-    for n in group:
-        part = F.col(n).eqNullSafe(F.col(f"_r_{n}"))
-        cond = part if cond is None else cond & part
-    names = [c for c in df.columns if c != _BUCKET]
-    return local.join(right, cond, "left").select(
-        *names,
+    return local.join(carry, slot, "left").select(
+        *df.columns,
         *[
             (F.coalesce(f"_l_{n}", F.lit(0)) + F.coalesce(f"_c_{n}", F.lit(0))).alias(n)
             for n in sums

@@ -79,7 +79,8 @@ def length_histogram(df: DataFrame, by: str = "split", column: str = "descriptio
     Lengths are grouped first, so the bin edges and the counts come from one
     pass over the texts.
     """
-    lengths = settle(df.groupBy(by, F.length(column).alias("len")).agg(F.count("*").alias("n")).where("len IS NOT NULL"))
+    lengths = settle(
+        df.groupBy(by, F.length(column).alias("len")).agg(F.count("*").alias("n")).where("len IS NOT NULL"))
     edges = lengths.agg(F.min("len").alias("lo"), F.max("len").alias("hi"))
     low, high = edges.select("lo").scalar(), edges.select("hi").scalar()
     width = F.greatest((F.col("hi") - F.col("lo")) / F.lit(float(bins)), F.lit(1e-9))

@@ -77,7 +77,7 @@ def stratified_flag(df: DataFrame, stratum: str, row_id: str, fraction: float, s
     """Add `in_sample`: true for round-half-even(fraction * n) rows per stratum."""
     size = F.bround(F.lit(fraction).cast("double") * F.col("n"), 0).cast("long")
     quotas = strata_sizes(df, [stratum]).select(stratum, F.lit("sample").alias("cut"), size.alias("k"))
-    marks = settle(_wide(cut_points(df, [stratum], row_id, seed, quotas), [stratum], ["sample"]))
+    marks = _wide(cut_points(df, [stratum], row_id, seed, quotas), [stratum], ["sample"])
     return (
         df.join(marks, stratum, "left")
         .withColumn("in_sample", _within("_mark_sample", row_id, seed))
@@ -119,7 +119,7 @@ def capped_per_group(df: DataFrame, group: str, row_id: str, cap: int | Column,
     sizes = sizes if sizes is not None else strata_sizes(df, [group])
     wanted = F.least(F.lit(cap).cast("long"), F.col("n")) if isinstance(cap, int) else cap
     quotas = sizes.select(group, F.lit("sample").alias("cut"), wanted.alias("k"))
-    marks = settle(_wide(cut_points(df, [group], row_id, seed, quotas), [group], ["sample"]))
+    marks = _wide(cut_points(df, [group], row_id, seed, quotas), [group], ["sample"])
     return df.join(marks, group).where(_within("_mark_sample", row_id, seed)).select(*df.columns)
 
 
@@ -169,12 +169,12 @@ def train_val_test(df: DataFrame, label: str, row_id: str, test_size: float, val
     largest remainder; validation takes its relative share of the rest in the
     same way. Labels with a single row stay in train.
     """
-    quotas = settle(split_quotas(strata_sizes(df, [label]), label, test_size, val_size))
+    quotas = split_quotas(settle(strata_sizes(df, [label])), label, test_size, val_size)
     cuts = quotas.select(label, F.explode(F.array(
         F.struct(F.lit("test").alias("cut"), F.col("n_test").alias("k")),
         F.struct(F.lit("val").alias("cut"), (F.col("n_test") + F.col("n_val")).alias("k")),
     )).alias("q")).select(label, "q.*")
-    marks = settle(_wide(cut_points(df, [label], row_id, seed, cuts), [label], ["test", "val"]))
+    marks = _wide(cut_points(df, [label], row_id, seed, cuts), [label], ["test", "val"])
     # with an empty test quota the test mark is null, which reads as "outside"
     split = (
         F.when(_within("_mark_test", row_id, seed), "test")

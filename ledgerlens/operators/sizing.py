@@ -1,21 +1,37 @@
-"""Size checks for the small sides of joins."""
+"""Materialise the small sides of joins, with a size check.
+
+The plan-time estimate of an aggregated table is the size of its input, so a
+join against ten label rows would shuffle the large side. Once materialised,
+such a table reports its real size: below `spark.sql.autoBroadcastJoinThreshold`
+Spark broadcasts it, above it the join is a shuffled one with skew handling.
+Nothing is forced and nothing is cut off. Materialising also ends the lineage,
+so plans stay short and a lost executor costs no recomputation.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from ledgerlens.session import work_folder
+
+LOCAL_ROWS = 10_000
+
+
+def written(df: DataFrame, purpose: str = "table") -> DataFrame:
+    """The table, written once to the shared working folder and read back."""
+    spark = df.sparkSession
+    path = work_folder(spark, purpose)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
 
-def settle(df: DataFrame) -> DataFrame:
-    """Materialise a table that should be small, so that Spark knows its size.
+def settle(df: DataFrame, rows: int = LOCAL_ROWS) -> DataFrame:
+    """Materialise a table of label-domain size.
 
-    The plan-time estimate of an aggregated table is the size of its input, so
-    a join against ten label rows would shuffle the large side. After this
-    call the cached table reports its measured size: below
-    `spark.sql.autoBroadcastJoinThreshold` Spark broadcasts it, above it the
-    join falls back to a shuffled one with skew handling. Nothing is forced
-    and nothing is cut off. The cache keeps its lineage and spills to disk, so
-    a lost executor only costs a recomputation.
+    Up to `rows` rows become a local table of the plan; a larger table is
+    written to the shared folder, whole.
     """
-    df = df.persist()
-    df.count()
-    return df
+    head = df.limit(rows + 1).toArrow()
+    if head.num_rows > rows:
+        return written(df)
+    return df.sparkSession.createDataFrame(head, schema=df.schema)
