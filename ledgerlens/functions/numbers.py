@@ -42,8 +42,8 @@ def from_micros(micros: Column) -> Column:
 
 def parse_event_time(text: Column) -> Column:
     """Epoch seconds ('1700000000.5') or ISO text to a timestamp, else null."""
-    seconds = text.try_cast("double")
-    return F.coalesce(F.timestamp_seconds(seconds), F.try_to_timestamp(text))
+    micros = F.round(text.try_cast("double") * 1e6).try_cast("long")
+    return F.coalesce(F.timestamp_micros(micros), F.try_to_timestamp(text))
 
 
 def megabytes(size: Column) -> Column:

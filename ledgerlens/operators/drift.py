@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerlens.config import DRIFT_THRESHOLD, MIN_FEEDBACK_SAMPLES
 from ledgerlens.functions.numbers import half_even
 from ledgerlens.operators.labels import decode_counts
 from ledgerlens.operators.profile import feedback_label_counts, shares_of_counts, value_shares
+from ledgerlens.operators.sizing import settle
 
 
 def compare_shares(baseline: DataFrame, current: DataFrame, threshold: float = DRIFT_THRESHOLD,
@@ -85,16 +86,32 @@ def feedback_report(baseline_label_counts: DataFrame, labels: DataFrame, feedbac
 
     Baseline indices that no longer decode stay in the baseline total.
     """
+    return counted_feedback_report(baseline_label_counts, labels, feedback_label_counts(feedback), threshold)
+
+
+def counted_feedback_report(baseline_label_counts: DataFrame, labels: DataFrame, counts: DataFrame,
+                            threshold: float = DRIFT_THRESHOLD) -> DataFrame:
+    """The same from feedback that is already counted as (label, n)."""
     base = decode_counts(baseline_label_counts, labels)
-    current = shares_of_counts(feedback_label_counts(feedback)).withColumnRenamed("label", "category")
+    current = shares_of_counts(counts).withColumnRenamed("label", "category")
     return compare_shares(base, current, threshold)
 
 
 def feedback_status(baseline_label_counts: DataFrame, labels: DataFrame, feedback: DataFrame,
                     threshold: float = DRIFT_THRESHOLD, minimum: int = MIN_FEEDBACK_SAMPLES) -> DataFrame:
-    """One row: status, feedback_samples, n_flagged, max_shift."""
-    samples = feedback_label_counts(feedback).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("feedback_samples"))
-    found = drift_summary(feedback_report(baseline_label_counts, labels, feedback, threshold))
+    """One row: status, feedback_samples, n_flagged, max_shift.
+
+    The feedback is counted once; everything after that is label-sized.
+    """
+    counts = settle(feedback_label_counts(feedback))
+    return counted_feedback_status(baseline_label_counts, labels, counts, threshold, minimum)
+
+
+def counted_feedback_status(baseline_label_counts: DataFrame, labels: DataFrame, counts: DataFrame,
+                            threshold: float = DRIFT_THRESHOLD, minimum: int = MIN_FEEDBACK_SAMPLES) -> DataFrame:
+    """The same from feedback that is already counted as (label, n)."""
+    samples = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("feedback_samples"))
+    found = drift_summary(counted_feedback_report(baseline_label_counts, labels, counts, threshold))
     enough = F.col("feedback_samples") >= minimum
     joined = found.withColumn("feedback_samples", samples.scalar())
     return joined.select(
@@ -130,7 +147,3 @@ def delta_table(baseline: DataFrame, current: DataFrame, column: str = "category
 def label_union(left: DataFrame, right: DataFrame, column: str = "category") -> DataFrame:
     """Labels that occur on either side."""
     return left.select(column).union(right.select(column)).where(F.col(column).isNotNull()).distinct()
-
-
-def share_of_total(column: str) -> Column:
-    return F.col(column) / F.sum(column).over(Window.partitionBy())

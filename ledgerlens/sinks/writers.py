@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from ledgerlens.functions.text import percent_text
 
+TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("header", True).option("escape", '"').csv(path)
@@ -23,7 +25,7 @@ def write_stats(one_row: DataFrame, path: str) -> None:
 
 def append_feedback(df: DataFrame, path: str) -> None:
     """Append feedback rows as JSON lines."""
-    df.write.mode("append").json(path)
+    df.write.mode("append").option("timestampFormat", TIMESTAMP_FORMAT).json(path)
 
 
 def write_features(path: str, features: DataFrame, vocabulary: DataFrame, labels: DataFrame, baseline: DataFrame) -> None:
