@@ -10,7 +10,6 @@ from ledgerlens.catalog.bindings import (
 )
 from ledgerlens.catalog.registry import REGISTRY, query
 from ledgerlens.operators import alerts
-from ledgerlens.operators.sizing import written
 from ledgerlens.session import work_folder
 from ledgerlens.streaming import alerts as stream_alerts, feedback as stream_feedback, scoring, telemetry
 from ledgerlens.streaming.io import latest_state, read_batches, start_table, stream_lines, stream_parquet
@@ -106,8 +105,9 @@ def stream_feedback_drift(t):
 
 @query("stream_alert_transitions", "T9", REGISTRY["alert_transitions"].sql)
 def stream_alert_transitions(t):
-    conditions = written(alerts.rule_conditions(tq.signals(t), alerts.default_rules()), "conditions")
-    folder = conditions.inputFiles()[0].rsplit("/", 1)[0]
+    conditions = alerts.rule_conditions(tq.signals(t), alerts.default_rules())
+    folder = work_folder(t.spark, "conditions")
+    conditions.write.parquet(folder)
     ticks = stream_parquet(t.spark, folder, conditions.schema)
     return run_table(t, stream_alerts.alert_transition_stream(ticks), "alerts").drop("batch_id")
 

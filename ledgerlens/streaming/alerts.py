@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+STATES = ("inactive", "pending", "firing", "resolved")
 TRANSITIONS = "alertname string, severity string, tick_no bigint, state string"
 
 
@@ -23,27 +25,29 @@ class HoldTimer(StatefulProcessor):
         self.step = step_seconds
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("alert", "since bigint, last_tick bigint, state string")
+        self.state = handle.getValueState("alert", "since bigint, last_tick bigint, code int")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        since, last, code = self.state.get() if self.state.exists() else (-1, -1, 0)
         ticks = pd.concat(list(rows)).sort_values("tick_no")
-        since, last, current = self.state.get() if self.state.exists() else (-1, -1, "inactive")
-        out = []
+        ticks = ticks[ticks["tick_no"] > last]
+        if ticks.empty:
+            return
+        tick, active = ticks["tick_no"].to_numpy(), ticks["active"].to_numpy(dtype=bool)
         hold = -(-int(ticks["hold_seconds"].iloc[0]) // self.step)
-        for tick, active in zip(ticks["tick_no"].tolist(), ticks["active"].tolist()):
-            if tick <= last:
-                continue
-            if not active:
-                now, since = "inactive", -1
-            else:
-                since = tick if since < 0 else since
-                now = "firing" if tick - since >= hold else "pending"
-            if now != current:
-                shown = "resolved" if now == "inactive" and current == "firing" else now
-                out.append((key[0], key[1], tick, shown))
-            last, current = tick, now
-        self.state.update((since, last, current))
-        yield pd.DataFrame(out, columns=["alertname", "severity", "tick_no", "state"])
+        before = np.concatenate([[code > 0], active[:-1]])
+        began = np.where(active & ~before, tick, -1)
+        began[0] = max(began[0], since)
+        began = np.maximum.accumulate(began)
+        codes = np.where(active, np.where(tick - began >= hold, 2, 1), 0)
+        earlier = np.concatenate([[code], codes[:-1]])
+        shown = np.where((codes == 0) & (earlier == 2), 3, codes)
+        changed = codes != earlier
+        self.state.update((int(began[-1]), int(tick[-1]), int(codes[-1])))
+        yield pd.DataFrame({
+            "alertname": key[0], "severity": key[1], "tick_no": tick[changed],
+            "state": np.array(STATES, dtype=object)[shown[changed]],
+        })
 
     def close(self) -> None:
         pass
