@@ -12,6 +12,7 @@ from ledgerlens.catalog.registry import query
 from ledgerlens.config import FeatureParams
 from ledgerlens.functions.text import clean_narration, tokens
 from ledgerlens.operators import classifier, drift, features, labels, profile, sampling, spend, statement
+from ledgerlens.operators.sizing import spread
 from ledgerlens.plans.features import build_features
 from ledgerlens.plans.ingest import clean_transactions
 from ledgerlens.plans.retrain import combine_sources
@@ -21,6 +22,12 @@ from ledgerlens.sources.statements import statement_rows
 SEED = 42
 P = FeatureParams()
 
+
+def texts(t):
+    """Transactions whose texts are about to be tokenised."""
+    return spread(transactions(t), "row_id")
+
+
 WORDS = "regexp_extract_all(lower({}), '[a-z0-9]+')"
 
 
@@ -34,7 +41,7 @@ def token_counts(t):
 WITH {TX}, w AS (SELECT unnest({WORDS.format('description')}) AS token FROM tx)
 SELECT token, count(*) AS n FROM w GROUP BY token""")
 def token_frequency(t):
-    return profile.token_frequency(transactions(t))
+    return profile.token_frequency(texts(t))
 
 
 def vocab_cte(source: str, name: str = "vocab", cap: int = P.max_vocab_size, min_freq: int = P.min_freq) -> str:
@@ -46,7 +53,7 @@ def vocab_cte(source: str, name: str = "vocab", cap: int = P.max_vocab_size, min
 
 @query("vocabulary", "L1, W3", f"WITH {TX}, {vocab_cte('tx')} SELECT token, idx FROM vocab")
 def vocabulary(t):
-    return features.build_vocabulary(transactions(t), P.max_vocab_size, P.min_freq)
+    return features.build_vocabulary(texts(t), P.max_vocab_size, P.min_freq)
 
 
 def encoded_cte(source: str, vocab: str = "vocab", name: str = "enc", length: int = P.max_seq_len, carry: str = "") -> str:
@@ -72,7 +79,7 @@ def encoded_texts(t):
 WITH {TX}, {vocab_cte('tx')}, {encoded_cte('tx')}
 SELECT row_id, md5(string_agg(idx, ',' ORDER BY pos)) AS fingerprint FROM enc GROUP BY row_id""")
 def encoded_long_texts(t):
-    rows = transactions(t)
+    rows = texts(t)
     vocab = features.build_vocabulary(rows, P.max_vocab_size, P.min_freq)
     seq = features.encode_texts(rows, vocab, "row_id", P.max_seq_len)
     return seq.select("row_id", F.md5(F.array_join("seq", ",")).alias("fingerprint"))
@@ -226,7 +233,7 @@ WITH {TX}, {FEATURES}, {encoded_cte('split_tx', carry=', split, category')}
 SELECT e.row_id, e.split, l.label_idx, count(*) FILTER (WHERE idx <> 0) AS n_words, md5(string_agg(idx, ',' ORDER BY pos)) AS fingerprint
 FROM enc e JOIN li l USING (category) GROUP BY ALL""")
 def feature_rows(t):
-    made = build_features(transactions(t).select("row_id", "description", "category"), "row_id", P)
+    made = build_features(texts(t).select("row_id", "description", "category"), "row_id", P)
     return made.features.select("row_id", "split", "label_idx", F.size(F.filter("seq", lambda x: x != 0)).cast("long").alias("n_words"),
                                 F.md5(F.array_join("seq", ",")).alias("fingerprint"))
 
@@ -237,7 +244,7 @@ lens AS (SELECT l.label_idx, least(len({WORDS.format('description')}), {P.max_se
 SELECT label_idx, count(*) AS n, max(m.mean) AS seq_nonzero_mean, max(m.std) AS seq_nonzero_std
 FROM lens, (SELECT round(avg(n), 9) AS mean, round(stddev_pop(n), 9) AS std FROM lens) m GROUP BY label_idx""")
 def feature_baseline(t):
-    made = build_features(transactions(t).select("row_id", "description", "category"), "row_id", P)
+    made = build_features(texts(t).select("row_id", "description", "category"), "row_id", P)
     return made.baseline.select(
         F.explode("label_distribution").alias("k", "n"), F.round("seq_nonzero_mean", 9).alias("seq_nonzero_mean"),
         F.round("seq_nonzero_std", 9).alias("seq_nonzero_std")).withColumn("label_idx", F.col("k").cast("int")).drop("k")
@@ -246,7 +253,7 @@ def feature_baseline(t):
 @query("train_label_distribution", "A9", f"""
 WITH {TX}, {FEATURES} SELECT label_idx, count(*) AS n FROM train JOIN li USING (category) GROUP BY label_idx""")
 def train_label_distribution(t):
-    made = build_features(transactions(t).select("row_id", "description", "category"), "row_id", P)
+    made = build_features(texts(t).select("row_id", "description", "category"), "row_id", P)
     return features.label_distribution(made.features.where("split = 'train'"))
 
 
@@ -278,7 +285,7 @@ probs AS (
 
 
 def language_model(t):
-    rows = transactions(t).select("row_id", "description", "category")
+    rows = texts(t).select("row_id", "description", "category")
     made = build_features(rows, "row_id", P)
     return rows, made, classifier.fit(made.train_texts, made.labels, made.vocabulary, "row_id", P.max_seq_len)
 
@@ -297,7 +304,7 @@ def nb_class_counts(t):
 WITH {TX}, {SCORES} SELECT row_id, n_chars, category AS predicted_category, round(p, 6) AS confidence FROM probs JOIN tx USING (row_id) WHERE rn = 1""".replace("category AS predicted", "probs.category AS predicted"))
 def predicted_labels(t):
     _, _, model = language_model(t)
-    found = classifier.predict(transactions(t), model, "row_id", carry=["n_chars"])
+    found = classifier.predict(texts(t), model, "row_id", carry=["n_chars"])
     return found.select("row_id", "n_chars", "predicted_category", F.round("confidence", 6).alias("confidence"))
 
 

@@ -31,7 +31,7 @@ def is_blank(text: Column) -> Column:
 
 def tokens(text: Column) -> Column:
     """Lower-case words made of a-z and 0-9; everything else separates."""
-    return F.regexp_extract_all(F.lower(text), F.lit("([a-z0-9]+)"), 1)
+    return F.regexp_extract_all(F.lower(text), F.lit("[a-z0-9]+"), 0)
 
 
 def first_tokens(text: Column, length: int) -> Column:
@@ -55,7 +55,7 @@ def clean_narration(text: Column, strict: bool = False) -> Column:
     no_code = F.regexp_replace(plain, f"(?iU)^({'|'.join(NARRATION_CODES)}){gap}", "")
     no_ref = F.regexp_replace(no_code, r"(?U)^\d[\d/]*\s*", "")
     squeezed = strip(F.regexp_replace(no_ref, r"(?U)\s+", " "))
-    return F.when(F.length(squeezed) > 0, squeezed).otherwise(text)
+    return F.coalesce(F.nullif(squeezed, F.lit("")), text)
 
 
 def is_date_shaped(text: Column) -> Column:

@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerlens.functions.numbers import softmax
-from ledgerlens.operators.features import token_indices
+from ledgerlens.operators.features import sequence_indices, token_indices
 from ledgerlens.operators.sizing import settle, written
 
 
@@ -40,8 +40,12 @@ class NaiveBayes:
 
 def fit(train: DataFrame, labels: DataFrame, vocabulary: DataFrame, row_id: str, max_seq_len: int,
         run_id: str = "base", column: str = "description") -> NaiveBayes:
-    """Count documents and words per class. `train` carries `label_idx`."""
-    words = token_indices(train, vocabulary, row_id, max_seq_len, column, ["label_idx"])
+    """Count documents and words per class. `train` carries `label_idx`.
+
+    The words come from `seq` where the rows are encoded already, else from
+    the text column.
+    """
+    words = _words(train, vocabulary, row_id, max_seq_len, column, ["label_idx"])
     token_counts = (
         words.where("idx IS NOT NULL").groupBy("idx", "label_idx").agg(F.count("*").alias("n"))
         .select(F.lit(run_id).alias("run_id"), "idx", "label_idx", "n")
@@ -52,6 +56,12 @@ def fit(train: DataFrame, labels: DataFrame, vocabulary: DataFrame, row_id: str,
     return NaiveBayes(settle(classes), token_counts, vocabulary, vocabulary.count() + 1, max_seq_len)
 
 
+def _words(df: DataFrame, vocabulary: DataFrame, row_id: str, length: int, column: str, carry: Sequence[str]) -> DataFrame:
+    if "seq" in df.columns:
+        return sequence_indices(df, row_id, carry)
+    return token_indices(df, vocabulary, row_id, length, column, carry)
+
+
 def _class_table(docs: DataFrame, token_counts: DataFrame, labels: DataFrame, run_id: str) -> DataFrame:
     words = token_counts.groupBy("label_idx").agg(F.sum("n").alias("n_tokens"))
     return docs.join(words, "label_idx", "left").join(labels, "label_idx").select(
@@ -96,9 +106,10 @@ def score_columns(df: DataFrame, model: NaiveBayes, row_id: str, column: str = "
         model.token_counts.groupBy("idx").agg(*[
             F.coalesce(F.max(F.when(F.col("label_idx") == c["label_idx"], F.log(F.col("n") + F.lit(1.0)))), F.lit(0.0))
             .alias(f"_w{i}") for i, c in enumerate(classes)
-        ])
+        ]),
+        rows=model.vocabulary_size,
     )
-    words = token_indices(df, model.vocabulary, row_id, model.max_seq_len, column, carry)
+    words = _words(df, model.vocabulary, row_id, model.max_seq_len, column, carry)
     sums = (
         words.join(weights, "idx", "left").groupBy(row_id, *carry)
         .agg(F.count("idx").alias("_m"), *[F.coalesce(F.sum(f"_w{i}"), F.lit(0.0)).alias(f"_s{i}") for i in range(len(classes))])

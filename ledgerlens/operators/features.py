@@ -56,6 +56,11 @@ def token_indices(df: DataFrame, vocabulary: DataFrame, row_id: str, length: int
     return words.join(vocabulary, "token", "left").select(row_id, *carry, "pos", idx.alias("idx"))
 
 
+def sequence_indices(features: DataFrame, row_id: str, carry: Sequence[str] = (), pad: int = PAD_INDEX) -> DataFrame:
+    """The same rows as `token_indices`, from encoded sequences."""
+    return features.select(row_id, *carry, F.explode_outer(F.filter("seq", lambda x: x != pad)).alias("idx"))
+
+
 def encode_texts(df: DataFrame, vocabulary: DataFrame, row_id: str, length: int,
                  column: str = "description", carry: Sequence[str] = (),
                  pad: int = PAD_INDEX, unk: int = UNK_INDEX) -> DataFrame:

@@ -13,10 +13,12 @@ def label_index(df: DataFrame, column: str = "category") -> DataFrame:
 
     The window covers the distinct labels only.
     """
-    order = Window.orderBy(column)
-    return settle(
-        distinct_values(df, column).select((F.row_number().over(order) - 1).alias("label_idx"), column)
-    )
+    return settle(number_labels(distinct_values(df, column), column))
+
+
+def number_labels(labels: DataFrame, column: str = "category") -> DataFrame:
+    """Number distinct labels by name, from 0."""
+    return labels.select((F.row_number().over(Window.orderBy(column)) - 1).alias("label_idx"), column)
 
 
 def encode_labels(df: DataFrame, labels: DataFrame, column: str = "category") -> DataFrame:

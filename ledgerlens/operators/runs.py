@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ledgerlens.config import EARLY_STOP_PATIENCE, RUN_LIST_SIZE
 from ledgerlens.functions.numbers import metric_or_null
+from ledgerlens.operators.ordered import running
 
 
 def list_runs(runs: DataFrame, names: Sequence[str], status: str = "FINISHED", limit: int = RUN_LIST_SIZE) -> DataFrame:
@@ -59,25 +60,25 @@ def best_epoch(history: DataFrame) -> DataFrame:
         "run_id", (-F.col("_b._late")).alias("epoch"), F.col("_b.val_f1").alias("val_f1"))
 
 
-def early_stop(history: DataFrame, patience: int = EARLY_STOP_PATIENCE) -> DataFrame:
+def early_stop(history: DataFrame, patience: int = EARLY_STOP_PATIENCE, bucket_epochs: int = 1_000) -> DataFrame:
     """Per epoch: did it improve, the best so far, and epochs since the last improvement.
 
-    A run has one row per epoch, so its window is short by nature.
+    An epoch improves when its F1 is above 0 and above all F1 before it.
     """
-    run = Window.partitionBy("run_id").orderBy("epoch")
-    before = run.rowsBetween(Window.unboundedPreceding, -1)
-    upto = run.rowsBetween(Window.unboundedPreceding, 0)
-    best_before = F.greatest(F.coalesce(F.max("val_f1").over(before), F.lit(0.0)), F.lit(0.0))
-    marked = (
-        history.withColumn("improved", F.coalesce(F.col("val_f1") > best_before, F.lit(False)))
-        .withColumn("_row", F.row_number().over(run))
-    )
-    last_gain = F.coalesce(F.max(F.when(F.col("improved"), F.col("_row"))).over(upto), F.lit(0))
-    return marked.select(
-        *history.columns, "improved",
-        F.greatest(F.max("val_f1").over(upto), F.lit(0.0)).alias("best_so_far"),
-        (F.col("_row") - last_gain).alias("stale_epochs"),
-    ).withColumn("should_stop", F.col("stale_epochs") >= patience)
+    bucket = F.floor(F.col("epoch") / bucket_epochs)
+    before = running(
+        history, ["run_id"], ["epoch"], bucket, sums={"_earlier": F.lit(1).cast("long")},
+        maxes={"_best": F.col("val_f1")}, include_current=False)
+    best = F.greatest("_best", F.lit(0.0))
+    row = F.col("_earlier") + 1
+    marked = before.select(
+        *history.columns, row.alias("_row"),
+        F.coalesce(F.col("val_f1") > best, F.lit(False)).alias("improved"),
+        F.greatest("val_f1", best).alias("best_so_far"))
+    out = running(marked, ["run_id"], ["epoch"], bucket, maxes={"_gain": F.when(F.col("improved"), F.col("_row"))})
+    stale = (F.col("_row") - F.coalesce("_gain", F.lit(0))).cast("int")
+    return out.select(
+        *history.columns, "improved", "best_so_far", stale.alias("stale_epochs"), (stale >= patience).alias("should_stop"))
 
 
 def stop_epoch(history: DataFrame, patience: int = EARLY_STOP_PATIENCE) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ledgerlens.config import DriftSplitParams
 from ledgerlens.operators.ordered import with_position
 from ledgerlens.operators.profile import top_values
-from ledgerlens.operators.sizing import settle
+from ledgerlens.operators.sizing import settle, written
 
 PREFIX_CHARS = 4
 
@@ -162,14 +162,17 @@ def draw_with_replacement(pool: DataFrame, row_id: str, draws: Column | int, see
     )
 
 
-def train_val_test(df: DataFrame, label: str, row_id: str, test_size: float, val_size: float, seed: int) -> DataFrame:
+def train_val_test(df: DataFrame, label: str, row_id: str, test_size: float, val_size: float, seed: int,
+                   sizes: DataFrame | None = None) -> DataFrame:
     """Add `split` (train, val, test), stratified by label.
 
     The total test size is ceil(test_size * n), shared over the labels by
     largest remainder; validation takes its relative share of the rest in the
-    same way. Labels with a single row stay in train.
+    same way. Labels with a single row stay in train. `sizes` passes rows per
+    label (label, n) that are known already.
     """
-    quotas = split_quotas(settle(strata_sizes(df, [label])), label, test_size, val_size)
+    sizes = sizes if sizes is not None else settle(strata_sizes(df, [label]))
+    quotas = split_quotas(sizes, label, test_size, val_size)
     cuts = quotas.select(label, F.explode(F.array(
         F.struct(F.lit("test").alias("cut"), F.col("n_test").alias("k")),
         F.struct(F.lit("val").alias("cut"), (F.col("n_test") + F.col("n_val")).alias("k")),
@@ -223,7 +226,8 @@ def drift_split(df: DataFrame, row_id: str, stratum: str = "category",
     seed = params.seed
     flagged = stratified_flag(df, stratum, row_id, params.baseline_fraction, seed)
     baseline = flagged.where("in_sample").drop("in_sample")
-    rest = flagged.where("NOT in_sample").drop("in_sample")
+    # a tenth of the table is read several times below, so it is written once
+    rest = written(flagged.where("NOT in_sample").drop("in_sample"), "rest")
     top = settle(top_values(df, params.top_categories, stratum).select(stratum))
     sizes = settle(rest.agg(F.count("*").alias("n_rest")))
     n_top = F.floor(F.lit(params.top_share) * F.col("n_rest"))

@@ -35,3 +35,15 @@ def settle(df: DataFrame, rows: int = LOCAL_ROWS) -> DataFrame:
     if head.num_rows > rows:
         return written(df)
     return df.sparkSession.createDataFrame(head, schema=df.schema)
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Share out a file scan that has fewer splits than there are cores.
+
+    Meant for texts about to be tokenised: a file of one row group is one task
+    however many cores wait. Large tables have more splits than cores and pass
+    through unchanged. The rows are shared out by key, so a later grouping by
+    that key needs no further shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)

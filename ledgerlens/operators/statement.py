@@ -39,10 +39,11 @@ def amount_of(text: Column, commas: bool = False) -> Column:
 def debit_rows(rows: DataFrame, date: str = "date", narration: str = "narration", withdrawal: str = "withdrawal",
                commas: bool = False, strict_codes: bool = False) -> DataFrame:
     """(…, description, amount) for dated rows with a readable debit amount."""
-    cleaned = clean_narration(strip(F.col(narration)), strict_codes)
     keep = [c for c in rows.columns if c not in (date, narration, withdrawal)]
-    return (
-        rows.where(is_date_shaped(F.col(date)) & has_amount(F.col(withdrawal)))
-        .select(*keep, cleaned.alias("description"), amount_of(F.col(withdrawal), commas).alias("amount"))
-        .where(F.col("amount").isNotNull() & ~F.isnan("amount") & ~is_blank(F.col("description")))
-    )
+    number = amount_of(F.col(withdrawal), commas)
+    # cleaning never blanks a text, so blank descriptions are those of blank narrations
+    kept = rows.where(
+        is_date_shaped(F.col(date)) & has_amount(F.col(withdrawal)) & ~is_blank(F.col(narration))
+        & number.isNotNull() & ~F.isnan(number))
+    return kept.select(
+        *keep, clean_narration(strip(F.col(narration)), strict_codes).alias("description"), number.alias("amount"))

@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame
 
 from ledgerlens.config import FeatureParams
 from ledgerlens.operators.features import build_vocabulary, encode_texts, feature_baseline, with_special_tokens
-from ledgerlens.operators.labels import encode_labels, label_index
+from ledgerlens.operators.labels import encode_labels, number_labels
+from ledgerlens.operators.profile import value_counts
 from ledgerlens.operators.sampling import train_val_test
-from ledgerlens.sinks.writers import write_features
+from ledgerlens.operators.sizing import settle
+from ledgerlens.sinks.writers import write_lookups, write_table
 
 
 @dataclass(frozen=True)
@@ -30,15 +32,23 @@ class Features:
 
 def build_features(rows: DataFrame, row_id: str, params: FeatureParams = FeatureParams()) -> Features:
     """`rows` holds row_id, description and category. No test text reaches the vocabulary."""
-    labels = label_index(rows)
-    coded = encode_labels(rows, labels)
-    split = train_val_test(coded, "category", row_id, params.test_size, params.val_size, params.seed)
+    counts = settle(value_counts(rows))
+    labels = settle(number_labels(counts))
+    split = encode_labels(
+        train_val_test(rows, "category", row_id, params.test_size, params.val_size, params.seed, counts), labels)
     vocabulary = build_vocabulary(split.where("split = 'train'"), params.max_vocab_size, params.min_freq)
     features = encode_texts(split, vocabulary, row_id, params.max_seq_len, carry=["split", "label_idx"])
     baseline = feature_baseline(features.where("split = 'train'"))
     return Features(split, features, vocabulary, labels, baseline)
 
 
-def save_features(made: Features, path: str) -> None:
-    """Write the encoded rows, then take the baseline from the written train partition."""
-    write_features(path, made.features, with_special_tokens(made.vocabulary), made.labels, made.baseline)
+def save_features(made: Features, path: str) -> DataFrame:
+    """Write the encoded rows, lookup tables and baseline; return the written rows.
+
+    The baseline is taken from the written train partition, so texts are
+    encoded once.
+    """
+    write_table(made.features, f"{path}/features", partition_by="split")
+    stored = made.features.sparkSession.read.parquet(f"{path}/features")
+    write_lookups(path, with_special_tokens(made.vocabulary), made.labels, feature_baseline(stored.where("split = 'train'")))
+    return stored

@@ -35,6 +35,11 @@ def combine_sources(baseline: DataFrame | None, new_rows: DataFrame | None, feed
     return dedup_any(combined, ["description", "category"])
 
 
+def decode(encoded: DataFrame, labels: DataFrame) -> DataFrame:
+    """Encoded rows with their label name next to the index."""
+    return encoded.join(labels, "label_idx")
+
+
 @dataclass(frozen=True)
 class RetrainResult:
     outcome: str
@@ -75,9 +80,9 @@ def retrain(baseline: DataFrame, new_rows: DataFrame | None, feedback: DataFrame
     gauge(1.0)
 
     made = build_features(with_row_id(rows), "row_id", params)
-    save_features(made, f"{path}/processed")
-    model = fit(made.train_texts, made.labels, made.vocabulary, "row_id", params.max_seq_len, run_id)
-    scored = predict(made.rows.where("split = 'test'"), model, "row_id", carry=["category"])
+    encoded = decode(save_features(made, f"{path}/processed"), made.labels)
+    model = fit(encoded.where("split = 'train'"), made.labels, made.vocabulary, "row_id", params.max_seq_len, run_id)
+    scored = predict(encoded.where("split = 'test'"), model, "row_id", carry=["category"])
     summary = summary_metrics(confusion(scored, "category", "predicted_category"))
     write_stats(summary, f"{path}/metrics/{run_id}")
     f1 = check_gate(spark.read.json(f"{path}/metrics/{run_id}"), gate)

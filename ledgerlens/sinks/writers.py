@@ -10,7 +10,9 @@ TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    df.write.mode(mode).option("header", True).option("escape", '"').csv(path)
+    """CSV with a header. Texts keep their outer blanks; a null is an empty cell."""
+    (df.write.mode(mode).option("header", True).option("escape", '"').option("emptyValue", "")
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by: str | None = None) -> None:
@@ -28,9 +30,8 @@ def append_feedback(df: DataFrame, path: str) -> None:
     df.write.mode("append").option("timestampFormat", TIMESTAMP_FORMAT).json(path)
 
 
-def write_features(path: str, features: DataFrame, vocabulary: DataFrame, labels: DataFrame, baseline: DataFrame) -> None:
-    """Encoded rows partitioned by split, the two lookup tables and the baseline."""
-    write_table(features, f"{path}/features", partition_by="split")
+def write_lookups(path: str, vocabulary: DataFrame, labels: DataFrame, baseline: DataFrame) -> None:
+    """The lookup tables and the baseline that go with encoded rows."""
     write_table(vocabulary, f"{path}/vocabulary")
     write_table(labels, f"{path}/labels")
     write_stats(baseline, f"{path}/feature_baseline")

@@ -49,7 +49,8 @@ def read_csv(spark: SparkSession, path: str | list[str], columns: Sequence[str]
     """
     df = (
         spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
-        .option("inferSchema", False).csv(path)
+        .option("inferSchema", False).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
     )
     if columns is not None:
         df = df.select(*columns)

@@ -32,11 +32,18 @@ def read_statement_lines(spark: SparkSession, path: str | list[str]) -> DataFram
     return spark.read.parquet(folder)
 
 
-def split_cells(line: Column, delimiter: str = ",") -> Column:
-    """Cells of a line; quoted cells may hold the delimiter."""
-    d = "\\" + delimiter
-    raw = F.split(line, f'{d}(?=(?:[^"]*"[^"]*")*[^"]*$)')
-    return F.transform(raw, lambda c: strip(F.regexp_replace(F.regexp_replace(strip(c), '^"|"$', ""), '""', '"')))
+def with_cells(lines: DataFrame, delimiter: str = ",") -> DataFrame:
+    """Add `cells`: the trimmed cells of each line; quoted cells may hold the delimiter.
+
+    The CSV parser needs a column count; it is taken from the lines, so no
+    cell is cut off.
+    """
+    marks = F.length("line") - F.length(F.replace("line", F.lit(delimiter), F.lit("")))
+    width = (lines.agg(F.max(marks)).first()[0] or 0) + 1
+    names = [f"c{i}" for i in range(width)]
+    parsed = F.from_csv("line", ", ".join(f"{n} string" for n in names), {"sep": delimiter, "escape": '"', "mode": "PERMISSIVE"})
+    return lines.withColumn("_row", parsed).withColumn(
+        "cells", F.array(*[strip(F.coalesce(F.col(f"_row.{n}"), F.lit(""))) for n in names])).drop("_row")
 
 
 def statement_rows(lines: DataFrame, delimiter: str = ",") -> DataFrame:
@@ -47,14 +54,14 @@ def statement_rows(lines: DataFrame, delimiter: str = ",") -> DataFrame:
     first cell counts as date. Files without such a header or without a
     withdrawal column yield nothing; `headerless_files` lists them.
     """
-    cells = lines.withColumn("cells", split_cells(F.col("line"), delimiter))
+    cells = with_cells(lines, delimiter)
     header = settle(_headers(cells))
-    below = cells.join(header, "file").where(F.col("line_order") > F.col("header_order"))
+    below = cells.join(header, "file").where((F.col("line_order") > F.col("header_order")) & (F.col("withdrawal_at") > 0))
 
     def cell(position: str) -> Column:
         return F.get("cells", F.col(position) - 1)
 
-    return below.where("withdrawal_at > 0").select(
+    return below.select(
         "file", "line_order", cell("date_at").alias("date"), cell("narration_at").alias("narration"),
         cell("withdrawal_at").alias("withdrawal"))
 
@@ -62,7 +69,8 @@ def statement_rows(lines: DataFrame, delimiter: str = ",") -> DataFrame:
 def _headers(cells: DataFrame) -> DataFrame:
     lowered = F.transform("cells", lambda c: F.lower(c))
     first = F.min_by(F.struct("line_order", lowered.alias("names")), F.col("line_order"))
-    found = cells.where(F.array_contains(lowered, "narration")).groupBy("file").agg(first.alias("h"))
+    maybe = F.contains(F.lower("line"), F.lit("narration"))
+    found = cells.where(maybe & F.array_contains(lowered, "narration")).groupBy("file").agg(first.alias("h"))
     names = F.col("h.names")
     holds = F.transform(names, lambda c: F.contains(c, F.lit("withdrawal")))
     return found.select(
@@ -75,7 +83,7 @@ def _headers(cells: DataFrame) -> DataFrame:
 
 def headerless_files(lines: DataFrame, delimiter: str = ",") -> DataFrame:
     """Files without a usable header, with the reason."""
-    cells = lines.withColumn("cells", split_cells(F.col("line"), delimiter))
+    cells = with_cells(lines, delimiter)
     files = lines.select("file").distinct().join(_headers(cells), "file", "left")
     return files.where("header_order IS NULL OR withdrawal_at = 0").select(
         "file", F.when(F.col("header_order").isNull(), "no narration column").otherwise("no withdrawal column").alias("reason"))
