@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ledgerlens.config import F1_GATE, LATENCY_BOUNDS
 from ledgerlens.functions.numbers import epoch_micros, from_micros
 from ledgerlens.operators.ordered import running, with_previous
-from ledgerlens.operators.sizing import written
+from ledgerlens.operators.sizing import settle, written
 from ledgerlens.operators.telemetry import DAY, HOUR, SECOND, quantile_of_buckets, rolling_error_rate
 
 TICK_SECONDS = 15
@@ -59,10 +59,9 @@ def tick_number(ts: Column, step: int = TICK_SECONDS) -> Column:
     return F.ceil(epoch_micros(ts) / F.lit(step * SECOND)).cast("long")
 
 
-def tick_spine(ticks: DataFrame, step: int = TICK_SECONDS) -> DataFrame:
-    """Every tick number between the smallest and largest `tick_no`, made day by day."""
+def tick_spine(ends: DataFrame, step: int = TICK_SECONDS) -> DataFrame:
+    """Every tick number from `lo` to `hi` of a one-row table, made day by day."""
     per_day = DAY // step
-    ends = ticks.agg(F.min("tick_no").alias("lo"), F.max("tick_no").alias("hi"))
     days = ends.where("lo IS NOT NULL").select("lo", "hi", F.explode(F.sequence(
         F.floor(F.col("lo") / per_day), F.floor(F.col("hi") / per_day))).alias("day"))
     return days.select(F.explode(F.sequence(
@@ -80,31 +79,38 @@ def service_signals(requests: DataFrame, pushes: DataFrame, step: int = TICK_SEC
     of ticks. A gauge keeps its last pushed value.
     """
     n = len(bounds)
+    tick = tick_number(F.col("ts"), step)
     timed = F.when(F.col("endpoint") == "/predict", F.col("latency_s"))
-    request_panes = requests.groupBy(tick_number(F.col("ts"), step).alias("tick_no")).agg(
+    request_panes = requests.groupBy(tick.alias("tick_no")).agg(
         *[F.count_if(timed <= b).alias(f"c{i}") for i, b in enumerate(bounds)],
         F.count(timed).alias("total"),
         F.count_if("is_feedback").alias("feedback"),
         F.count_if("is_switch").alias("switches"),
     )
     rates = rolling_error_rate(requests.where("NOT is_feedback").select("ts", "event_id", "ok")).groupBy(
-        tick_number(F.col("ts"), step).alias("tick_no")).agg(F.max_by("error_rate", F.struct("ts", "event_id")).alias("error_rate"))
-    gauge_panes = pushes.groupBy(tick_number(F.col("ts"), step).alias("tick_no")).agg(*[
-        F.max_by(F.when(F.col("metric") == g, F.col("value")), F.when(F.col("metric") == g, F.struct("ts", "event_id"))).alias(g)
-        for g in gauges
-    ])
-    observed = written(request_panes.join(rates, "tick_no", "left").join(gauge_panes, "tick_no", "full"), "panes")
-    spine = tick_spine(observed, step).join(observed, "tick_no", "left")
+        tick.alias("tick_no")).agg(F.max_by("error_rate", F.struct("ts", "event_id")).alias("error_rate"))
+    gauge_panes = pushes.where(F.col("metric").isin(list(gauges))).groupBy(tick.alias("tick_no"), "metric").agg(
+        F.max_by("value", F.struct("ts", "event_id")).alias("value")
+    ).select("tick_no", *[F.when(F.col("metric") == g, F.col("value")).alias(g) for g in gauges])
+    times = requests.select("ts").unionByName(pushes.select("ts"))
+    ends = settle(times.agg(tick_number(F.min("ts"), step).alias("lo"), tick_number(F.max("ts"), step).alias("hi")))
 
     counted = [*[f"c{i}" for i in range(n)], "total", "feedback", "switches"]
     held = ["error_rate", *gauges]
+    cells = tick_spine(ends, step)
+    for part in (request_panes, rates, gauge_panes):
+        cells = cells.unionByName(part, allowMissingColumns=True)
+    panes = written(cells.groupBy("tick_no").agg(
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(f"p_{c}") for c in counted],
+        # a tick has at most one value per gauge here
+        *[F.max(g).alias(f"p_{g}") for g in held],
+    ), "panes")
     totals = written(
         running(
-            spine.select("tick_no", *[F.coalesce(c, F.lit(0)).alias(f"p_{c}") for c in counted], *held),
-            [], ["tick_no"], F.floor(F.col("tick_no") / (DAY // step)),
+            panes, [], ["tick_no"], F.floor(F.col("tick_no") / (DAY // step)),
             sums={c: F.col(f"p_{c}") for c in counted},
-            maxes={f"h_{g}": F.when(F.col(g).isNotNull(), F.struct(F.col("tick_no").alias("t"), F.col(g).alias("v"))) for g in held},
-        ).select("tick_no", *counted, *[F.col(f"h_{g}.v").alias(g) for g in held]),
+            lasts={g: F.col(f"p_{g}") for g in held},
+        ).select("tick_no", *counted, *held),
         "totals",
     )
 

@@ -38,15 +38,17 @@ def running(
     bucket: Column,
     sums: dict[str, Column] | None = None,
     maxes: dict[str, Column] | None = None,
+    lasts: dict[str, Column] | None = None,
     include_current: bool = True,
 ) -> DataFrame:
-    """Add running sums and maxes per series, in bucketed form.
+    """Add running sums, maxes and last non-null values per series, in bucketed form.
 
     `bucket` must not decrease along `order`; `order` must be unique inside a
     series for a defined result. With `include_current=False` the aggregates
     cover the rows strictly before each row.
     """
-    sums, maxes = sums or {}, maxes or {}
+    sums, maxes, lasts = sums or {}, maxes or {}, lasts or {}
+    place = F.struct(*order)
     series = _slot(df, keys)
     slot = [*series, _BUCKET]
     placed = df.withColumns({**series, _BUCKET: bucket})
@@ -56,11 +58,13 @@ def running(
         placed.groupBy(*slot).agg(
             *[F.sum(c).alias(f"_t_{n}") for n, c in sums.items()],
             *[F.max(c).alias(f"_t_{n}") for n, c in maxes.items()],
+            *[F.max_by(c, F.when(c.isNotNull(), place)).alias(f"_t_{n}") for n, c in lasts.items()],
         )
         .select(
             *slot,
             *[F.sum(f"_t_{n}").over(earlier).alias(f"_c_{n}") for n in sums],
             *[F.max(f"_t_{n}").over(earlier).alias(f"_c_{n}") for n in maxes],
+            *[F.last(f"_t_{n}", ignorenulls=True).over(earlier).alias(f"_c_{n}") for n in lasts],
         )
     )
 
@@ -70,6 +74,7 @@ def running(
         "*",
         *[F.sum(c).over(inside).alias(f"_l_{n}") for n, c in sums.items()],
         *[F.max(c).over(inside).alias(f"_l_{n}") for n, c in maxes.items()],
+        *[F.last(c, ignorenulls=True).over(inside).alias(f"_l_{n}") for n, c in lasts.items()],
     )
     return local.join(carry, slot, "left").select(
         *df.columns,
@@ -78,6 +83,7 @@ def running(
             for n in sums
         ],
         *[F.greatest(f"_l_{n}", f"_c_{n}").alias(n) for n in maxes],
+        *[F.coalesce(f"_l_{n}", f"_c_{n}").alias(n) for n in lasts],
     )
 
 
