@@ -83,11 +83,14 @@ WITH {TX}, {split_sql()}, u AS (
   SELECT description, category FROM base UNION SELECT description, category FROM drifted UNION SELECT trim(text), 'en' FROM benchmark)
 SELECT 'detected' AS outcome, category, count(*) AS n FROM u GROUP BY category""")
 def retrain_job(t):
-    """Drift found, corpus combined, ingested, encoded, fitted, evaluated, gated, stored; the ingested rows are counted."""
+    """Drift found, corpus combined, ingested, encoded, fitted, evaluated, gated, stored; the ingested rows are counted.
+
+    The threshold is 0, so that the job also runs through on small tables.
+    """
     base, drifted = split_rows(t)
     feedback = t.benchmark.select(F.col("text").alias("description"), F.lit("en").alias("actual_category"))
     folder = work_folder(t.spark, "retrain")
     ingest(base, f"{folder}/base", LANGUAGES, "row_id")
-    result = retrain(base, drifted, feedback, f"{folder}/base/baseline_stats", f"{folder}/run", "run-1", LANGUAGES, P)
+    result = retrain(base, drifted, feedback, f"{folder}/base/baseline_stats", f"{folder}/run", "run-1", LANGUAGES, P, threshold=0.0)
     rows = t.spark.read.parquet(f"{folder}/run/ingested/transactions")
     return rows.groupBy("category").agg(F.count("*").alias("n")).withColumn("outcome", F.lit(result.outcome))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from ledgerlens.config import F1_GATE, FeatureParams, SPENDING_CATEGORIES
+from ledgerlens.config import DRIFT_THRESHOLD, F1_GATE, FeatureParams, SPENDING_CATEGORIES
 from ledgerlens.operators.classifier import NaiveBayes, fit, predict, save_model
 from ledgerlens.operators.drift import check_drift, next_step
 from ledgerlens.operators.evaluation import check_gate, confusion, summary_metrics
@@ -55,7 +55,7 @@ def with_row_id(rows: DataFrame) -> DataFrame:
 def retrain(baseline: DataFrame, new_rows: DataFrame | None, feedback: DataFrame | None,
             baseline_path: str | None, path: str, run_id: str,
             allowed: Sequence[str] = SPENDING_CATEGORIES, params: FeatureParams = FeatureParams(),
-            gate: float = F1_GATE) -> RetrainResult:
+            gate: float = F1_GATE, threshold: float = DRIFT_THRESHOLD) -> RetrainResult:
     """Check drift; when found, combine, ingest, build features, fit, evaluate, gate, save.
 
     `baseline_path` holds the stored ingest baseline. Stages hand over written
@@ -65,7 +65,7 @@ def retrain(baseline: DataFrame, new_rows: DataFrame | None, feedback: DataFrame
     """
     spark = baseline.sparkSession
     stored = baseline_counts(read_ingest_baseline(spark, baseline_path)) if baseline_path else None
-    outcome, _ = check_drift(stored, new_rows)
+    outcome, _ = check_drift(stored, new_rows, threshold)
     if next_step(outcome) == "finish":
         return RetrainResult(outcome, None, None)
 
