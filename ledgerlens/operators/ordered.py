@@ -45,7 +45,8 @@ def running(
 
     `bucket` must not decrease along `order`; `order` must be unique inside a
     series for a defined result. With `include_current=False` the aggregates
-    cover the rows strictly before each row.
+    cover the rows strictly before each row. The input is read twice, once for
+    the totals; hand over a written table where it is costly to compute.
     """
     sums, maxes, lasts = sums or {}, maxes or {}, lasts or {}
     place = F.struct(*order)

@@ -63,22 +63,20 @@ def best_epoch(history: DataFrame) -> DataFrame:
 def early_stop(history: DataFrame, patience: int = EARLY_STOP_PATIENCE, bucket_epochs: int = 1_000) -> DataFrame:
     """Per epoch: did it improve, the best so far, and epochs since the last improvement.
 
-    An epoch improves when its F1 is above 0 and above all F1 before it.
+    An epoch improves when its F1 is above 0 and above all F1 before it, so the
+    last improvement is where the running best was first reached. Epochs of a
+    run are numbered without gaps.
     """
-    bucket = F.floor(F.col("epoch") / bucket_epochs)
-    before = running(
-        history, ["run_id"], ["epoch"], bucket, sums={"_earlier": F.lit(1).cast("long")},
-        maxes={"_best": F.col("val_f1")}, include_current=False)
-    best = F.greatest("_best", F.lit(0.0))
-    row = F.col("_earlier") + 1
-    marked = before.select(
-        *history.columns, row.alias("_row"),
-        F.coalesce(F.col("val_f1") > best, F.lit(False)).alias("improved"),
-        F.greatest("val_f1", best).alias("best_so_far"))
-    out = running(marked, ["run_id"], ["epoch"], bucket, maxes={"_gain": F.when(F.col("improved"), F.col("_row"))})
-    stale = (F.col("_row") - F.coalesce("_gain", F.lit(0))).cast("int")
+    out = running(
+        history, ["run_id"], ["epoch"], F.floor(F.col("epoch") / bucket_epochs),
+        maxes={"_best": F.struct("val_f1", (-F.col("epoch")).alias("late")), "_first": -F.col("epoch")})
+    gained = F.when(F.col("_best.val_f1") > 0, -F.col("_best.late"))
+    stale = F.col("epoch") - F.coalesce(gained, -F.col("_first") - 1)
     return out.select(
-        *history.columns, "improved", "best_so_far", stale.alias("stale_epochs"), (stale >= patience).alias("should_stop"))
+        *history.columns,
+        F.coalesce(gained == F.col("epoch"), F.lit(False)).alias("improved"),
+        F.greatest(F.col("_best.val_f1"), F.lit(0.0)).alias("best_so_far"),
+        stale.alias("stale_epochs"), (stale >= patience).alias("should_stop"))
 
 
 def stop_epoch(history: DataFrame, patience: int = EARLY_STOP_PATIENCE) -> DataFrame:

@@ -32,6 +32,7 @@ def cut_points(df: DataFrame, strata: Sequence[str], row_id: str, seed: int, quo
 
     `quotas` has the strata, a `cut` name and the number `k` of rows wanted.
     A quota of 0 yields no row; `k` must not exceed the stratum's row count.
+    Without strata, `quotas` is one row for the whole table.
     """
     hashed = df.select(*strata, F.col(row_id).alias("_id"), row_hash(row_id, seed).alias("_h"))
     prefix = F.substring("_h", 1, PREFIX_CHARS)
@@ -40,9 +41,12 @@ def cut_points(df: DataFrame, strata: Sequence[str], row_id: str, seed: int, quo
         hashed.groupBy(*strata, prefix.alias("_p")).agg(F.count("*").alias("_n"))
         .withColumn("_before", F.coalesce(F.sum("_n").over(below), F.lit(0)))
     )
+    if strata:
+        wanted = counts.join(quotas, [*strata])
+    else:
+        wanted = counts.withColumn("k", quotas.select("k").scalar()).withColumn("cut", F.lit("sample"))
     edge = settle(
-        counts.join(quotas, [*strata])
-        .where((F.col("_before") < F.col("k")) & (F.col("k") <= F.col("_before") + F.col("_n")))
+        wanted.where((F.col("_before") < F.col("k")) & (F.col("k") <= F.col("_before") + F.col("_n")))
         .select(*strata, "cut", "_p", (F.col("k") - F.col("_before")).alias("_need"))
     )
     rank = F.row_number().over(Window.partitionBy(*strata, "cut").orderBy("_h", "_id"))
@@ -107,18 +111,17 @@ def sample_rows(df: DataFrame, row_id: str, n: int | Column, seed: int, size: Da
     """
     size = size if size is not None else df.agg(F.count("*").alias("n"))
     wanted = F.least(F.lit(n).cast("long") if isinstance(n, int) else n, F.col("n"))
-    return capped_per_group(
-        df.withColumn("_all", F.lit(0)), "_all", row_id, wanted, seed,
-        size.withColumn("_all", F.lit(0)),
-    ).drop("_all")
+    marks = cut_points(df, [], row_id, seed, size.select(wanted.alias("k")))
+    return (
+        df.withColumn("_mark_sample", marks.select("mark").scalar())
+        .where(_within("_mark_sample", row_id, seed)).drop("_mark_sample")
+    )
 
 
-def capped_per_group(df: DataFrame, group: str, row_id: str, cap: int | Column, seed: int,
-                     sizes: DataFrame | None = None) -> DataFrame:
+def capped_per_group(df: DataFrame, group: str, row_id: str, cap: int, seed: int) -> DataFrame:
     """At most `cap` uniformly drawn rows per group."""
-    sizes = sizes if sizes is not None else strata_sizes(df, [group])
-    wanted = F.least(F.lit(cap).cast("long"), F.col("n")) if isinstance(cap, int) else cap
-    quotas = sizes.select(group, F.lit("sample").alias("cut"), wanted.alias("k"))
+    wanted = F.least(F.lit(cap).cast("long"), F.col("n"))
+    quotas = strata_sizes(df, [group]).select(group, F.lit("sample").alias("cut"), wanted.alias("k"))
     marks = _wide(cut_points(df, [group], row_id, seed, quotas), [group], ["sample"])
     return df.join(marks, group).where(_within("_mark_sample", row_id, seed)).select(*df.columns)
 
