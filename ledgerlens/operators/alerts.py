@@ -177,9 +177,9 @@ def alert_states(signals: DataFrame, rules: Sequence[AlertRule], step: int = TIC
     active stretch began and what the state one tick earlier was. All rules
     share one window over the ticks and are spread into rows afterwards.
     """
-    start = signals.agg(F.min("tick_no")).scalar()
-    wide = signals.select("tick_no", *[
-        F.coalesce(r.condition, F.lit(False)).alias(f"on{i}") for i, r in enumerate(rules)])
+    wide = written(signals.select("tick_no", *[
+        F.coalesce(r.condition, F.lit(False)).alias(f"on{i}") for i, r in enumerate(rules)]), "conditions")
+    start = wide.agg(F.min("tick_no")).scalar()
     marked = running(
         wide, [], ["tick_no"], F.floor(F.col("tick_no") / (DAY // step)),
         maxes={f"off{i}": F.when(~F.col(f"on{i}"), F.col("tick_no")) for i in range(len(rules))},
