@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.catalog.bindings import (
     ALLOWED, ALLOWED_SQL, CLEAN, DIRTY, FEEDBACK, GUESSED, SHORT, TX, dirty_transactions, feedback,
-    guessed_language, runs, short_transactions, transactions, RUNS, EVENT_SYMBOLS, EVENT_SYMBOLS_SQL,
+    guessed_language, runs, short_transactions, transactions, EVENT_SYMBOLS, EVENT_SYMBOLS_SQL,
 )
 from ledgerlens.catalog.registry import query
 from ledgerlens.functions import numbers, text as tx

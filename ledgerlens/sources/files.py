@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -126,8 +125,6 @@ def path_exists(spark: SparkSession, path: str) -> bool:
         if "PATH_NOT_FOUND" in (e.getCondition() or str(e)):
             return False
         raise
-    except Py4JJavaError:
-        return False
 
 
 def source_size(spark: SparkSession, path: str) -> DataFrame:

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import sys
 import time
-import traceback
 
 from tests.compare import differences, oracle
 
