@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import blob_ledger, uniform_shards
+from ledgerlens.llm import blob_ledger, token_store, uniform_shards
 from ledgerlens.session import work_folder
 
 
@@ -13,6 +14,14 @@ def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
+def op1_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents as compressed token ids in files, read back."""
+    tokens = token_store.write_tokens(
+        _read(spark, folder, "documents"), work_folder(spark, "tokens"), tokenizer=public_tokenizers.path("word_bpe_49k.json"))
+    return token_store.read_tokens(spark, tokens).select(
+        F.col("id").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op3_uniform_shuffle(spark: SparkSession, folder: str) -> DataFrame:
     """All documents in 24 shards by a uniform shuffle; the law is `rows`."""
     placed = uniform_shards.uniform_shards(_read(spark, folder, "documents"), shards=24)
@@ -37,6 +46,6 @@ def op8_secret_ledger(spark: SparkSession, folder: str) -> DataFrame:
         blob_ledger.span_text(F.col("spans")).alias("spans"))
 
 
-QUERIES = {f.__name__: f for f in (op3_uniform_shuffle, op8_secret_ledger)}
+QUERIES = {f.__name__: f for f in (op1_token_files, op3_uniform_shuffle, op8_secret_ledger)}
 
 SQL: dict[str, str] = {}
