@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import blob_ledger, token_store, uniform_shards
+from ledgerlens.llm import blob_ledger, token_store, uniform_shards, viterbi_pieces
 from ledgerlens.session import work_folder
 
 
@@ -46,6 +46,16 @@ def op8_secret_ledger(spark: SparkSession, folder: str) -> DataFrame:
         blob_ledger.span_text(F.col("spans")).alias("spans"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_files, op3_uniform_shuffle, op8_secret_ledger)}
+def op7_sentence_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents as sentence pieces and back: pieces, their checksum, and whether the text came back."""
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    docs = _read(spark, folder, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    back = viterbi_pieces.decode(viterbi_pieces.encode(docs, model), model)
+    return back.select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"),
+        F.char_length("decoded").cast("long").alias("n_chars"), (F.col("decoded") == F.col("text")).alias("exact"))
+
+
+QUERIES = {f.__name__: f for f in (op1_token_files, op3_uniform_shuffle, op7_sentence_pieces, op8_secret_ledger)}
 
 SQL: dict[str, str] = {}
