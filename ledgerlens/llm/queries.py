@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import blob_ledger, token_store, uniform_shards, viterbi_pieces
+from ledgerlens.llm import blob_ledger, fertility, token_store, uniform_shards, viterbi_pieces
 from ledgerlens.session import work_folder
 
 
@@ -22,6 +22,11 @@ def op1_token_files(spark: SparkSession, folder: str) -> DataFrame:
         F.col("id").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op2_fertility(spark: SparkSession, folder: str) -> DataFrame:
+    """Base counts and the fertility verdict of every document."""
+    return fertility.judge(_read(spark, folder, "documents"))
+
+
 def op3_uniform_shuffle(spark: SparkSession, folder: str) -> DataFrame:
     """All documents in 24 shards by a uniform shuffle; the law is `rows`."""
     placed = uniform_shards.uniform_shards(_read(spark, folder, "documents"), shards=24)
@@ -56,6 +61,6 @@ def op7_sentence_pieces(spark: SparkSession, folder: str) -> DataFrame:
         F.char_length("decoded").cast("long").alias("n_chars"), (F.col("decoded") == F.col("text")).alias("exact"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_files, op3_uniform_shuffle, op7_sentence_pieces, op8_secret_ledger)}
+QUERIES = {f.__name__: f for f in (op1_token_files, op2_fertility, op3_uniform_shuffle, op7_sentence_pieces, op8_secret_ledger)}
 
 SQL: dict[str, str] = {}
