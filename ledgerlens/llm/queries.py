@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import blob_ledger, fertility, token_store, uniform_shards, viterbi_pieces
+from ledgerlens.llm import blob_ledger, capture_index, fertility, token_store, uniform_shards, viterbi_pieces
 from ledgerlens.session import work_folder
 
 
@@ -51,6 +51,17 @@ def op8_secret_ledger(spark: SparkSession, folder: str) -> DataFrame:
         blob_ledger.span_text(F.col("spans")).alias("spans"))
 
 
+def op5_capture_index(spark: SparkSession, folder: str) -> DataFrame:
+    """Pages as WARC records, all looked up through the capture index and read back."""
+    pages = _read(spark, folder, "pages")
+    captures = capture_index.write_archives(pages, work_folder(spark, "warc"))
+    shards = capture_index.write_index(captures, work_folder(spark, "captures"))
+    found = capture_index.read_records(capture_index.lookup(pages, shards))
+    return found.select(
+        F.col("id").alias("page_id"), F.coalesce(F.octet_length("payload").cast("long"), "payload_bytes").alias("payload_bytes"),
+        F.coalesce(F.sha1("payload"), "payload_digest").alias("payload_digest"), F.col("kind").alias("record_type"), "refers_to")
+
+
 def op7_sentence_pieces(spark: SparkSession, folder: str) -> DataFrame:
     """Documents as sentence pieces and back: pieces, their checksum, and whether the text came back."""
     model = public_tokenizers.path("piece_bpe_32k.model")
@@ -61,6 +72,15 @@ def op7_sentence_pieces(spark: SparkSession, folder: str) -> DataFrame:
         F.char_length("decoded").cast("long").alias("n_chars"), (F.col("decoded") == F.col("text")).alias("exact"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_files, op2_fertility, op3_uniform_shuffle, op7_sentence_pieces, op8_secret_ledger)}
+QUERIES = {f.__name__: f for f in (op1_token_files, op2_fertility, op3_uniform_shuffle, op5_capture_index, op7_sentence_pieces, op8_secret_ledger)}
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op5_capture_index": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+        f AS (SELECT html, max(page_id) AS first FROM p WHERE strlen(html) >= 1000 GROUP BY html),
+        j AS (SELECT p.page_id, p.html, CASE WHEN f.first IS DISTINCT FROM p.page_id THEN f.first END AS refers_to
+              FROM p LEFT JOIN f USING (html))
+        SELECT page_id, strlen(html) AS payload_bytes, sha1(html) AS payload_digest,
+               CASE WHEN refers_to IS NULL THEN 'response' ELSE 'revisit' END AS record_type, refers_to
+        FROM j""",
+}

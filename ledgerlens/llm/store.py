@@ -29,7 +29,7 @@ def make_folder(uri: str) -> None:
 def write(uri: str, chunks: Iterable[bytes]) -> int:
     system, path = place(uri)
     size = 0
-    with system.open_output_stream(path) as out:
+    with system.open_output_stream(path, compression=None) as out:
         for chunk in chunks:
             out.write(chunk)
             size += len(chunk)
