@@ -20,7 +20,7 @@ def oracle(folder: str) -> duckdb.DuckDBPyConnection:
 
 
 def _cell(value):
-    if value is None or value is pd.NaT:
+    if value is None or value is pd.NaT or value is pd.NA:
         return (0, "")
     if isinstance(value, (bool, np.bool_)):
         return (1, bool(value))
