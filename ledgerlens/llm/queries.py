@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import blob_ledger, capture_index, fertility, token_store, uniform_shards, viterbi_pieces
+from ledgerlens.llm import blob_ledger, capture_index, contamination, fertility, token_store, uniform_shards, viterbi_pieces
 from ledgerlens.session import work_folder
 
 
@@ -62,6 +62,11 @@ def op5_capture_index(spark: SparkSession, folder: str) -> DataFrame:
         F.coalesce(F.sha1("payload"), "payload_digest").alias("payload_digest"), F.col("kind").alias("record_type"), "refers_to")
 
 
+def op6_contamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Pairs of a document and a benchmark item with 0.8 or more of the item's shingles in the document."""
+    return contamination.contained_items(_read(spark, folder, "documents"), _read(spark, folder, "benchmark"))
+
+
 def op7_sentence_pieces(spark: SparkSession, folder: str) -> DataFrame:
     """Documents as sentence pieces and back: pieces, their checksum, and whether the text came back."""
     model = public_tokenizers.path("piece_bpe_32k.model")
@@ -72,9 +77,25 @@ def op7_sentence_pieces(spark: SparkSession, folder: str) -> DataFrame:
         F.char_length("decoded").cast("long").alias("n_chars"), (F.col("decoded") == F.col("text")).alias("exact"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_files, op2_fertility, op3_uniform_shuffle, op5_capture_index, op7_sentence_pieces, op8_secret_ledger)}
+QUERIES = {f.__name__: f for f in (op1_token_files, op2_fertility, op3_uniform_shuffle, op5_capture_index, op6_contamination, op7_sentence_pieces, op8_secret_ledger)}
+
+#: The distinct shingles of a table: five words, or all words where there are fewer.
+_SHINGLES = r"""
+    SELECT DISTINCT id, array_to_string(list_slice(w, k, k + 4), ' ') AS shingle
+    FROM (SELECT id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS k
+          FROM (SELECT {id} AS id, regexp_extract_all(
+                    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+                FROM {table})
+          WHERE len(w) > 0)"""
 
 SQL: dict[str, str] = {
+    "op6_contamination": f"""
+        WITH d AS ({_SHINGLES.format(id="doc_id", table="documents")}),
+        i AS ({_SHINGLES.format(id="item_id", table="benchmark")}),
+        n AS (SELECT id, count(*) AS n_item FROM i GROUP BY id)
+        SELECT d.id AS doc_id, i.id AS item_id, n_item, count(*) AS n_shared
+        FROM i JOIN n ON i.id = n.id JOIN d ON d.shingle = i.shingle
+        GROUP BY d.id, i.id, n_item HAVING 100 * count(*) >= 80 * n_item""",
     "op5_capture_index": """
         WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
         f AS (SELECT html, max(page_id) AS first FROM p WHERE strlen(html) >= 1000 GROUP BY html),
