@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import blob_ledger, capture_index, contamination, fertility, token_store, uniform_shards, viterbi_pieces
+from ledgerlens.llm import blob_ledger, capture_index, contamination, fertility, markov_lm, token_store, uniform_shards, viterbi_pieces
 from ledgerlens.session import work_folder
 
 
@@ -77,7 +77,12 @@ def op7_sentence_pieces(spark: SparkSession, folder: str) -> DataFrame:
         F.char_length("decoded").cast("long").alias("n_chars"), (F.col("decoded") == F.col("text")).alias("exact"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_files, op2_fertility, op3_uniform_shuffle, op5_capture_index, op6_contamination, op7_sentence_pieces, op8_secret_ledger)}
+def op10_hidden_markov(spark: SparkSession, folder: str) -> DataFrame:
+    """Unigram and hidden Markov log probabilities of every document."""
+    return markov_lm.score_texts(_read(spark, folder, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_token_files, op2_fertility, op3_uniform_shuffle, op5_capture_index, op6_contamination, op7_sentence_pieces, op8_secret_ledger, op10_hidden_markov)}
 
 #: The distinct shingles of a table: five words, or all words where there are fewer.
 _SHINGLES = r"""
