@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import blob_ledger, capture_index, contamination, fertility, markov_lm, token_store, uniform_shards, viterbi_pieces
+from ledgerlens.llm import blob_ledger, capture_index, contamination, fertility, markov_lm, token_store, toxic_segments, uniform_shards, viterbi_pieces
 from ledgerlens.session import work_folder
 
 
@@ -51,6 +51,14 @@ def op8_secret_ledger(spark: SparkSession, folder: str) -> DataFrame:
         blob_ledger.span_text(F.col("spans")).alias("spans"))
 
 
+def op4_toxic_passages(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of every document by its maximum-scoring segments."""
+    scored = toxic_segments.score_texts(_read(spark, folder, "documents"), _read(spark, folder, "labels"))
+    return scored.select(
+        "doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        F.size("passages").alias("n_passages"))
+
+
 def op5_capture_index(spark: SparkSession, folder: str) -> DataFrame:
     """Pages as WARC records, all looked up through the capture index and read back."""
     pages = _read(spark, folder, "pages")
@@ -82,7 +90,7 @@ def op10_hidden_markov(spark: SparkSession, folder: str) -> DataFrame:
     return markov_lm.score_texts(_read(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_files, op2_fertility, op3_uniform_shuffle, op5_capture_index, op6_contamination, op7_sentence_pieces, op8_secret_ledger, op10_hidden_markov)}
+QUERIES = {f.__name__: f for f in (op1_token_files, op2_fertility, op3_uniform_shuffle, op4_toxic_passages, op5_capture_index, op6_contamination, op7_sentence_pieces, op8_secret_ledger, op10_hidden_markov)}
 
 #: The distinct shingles of a table: five words, or all words where there are fewer.
 _SHINGLES = r"""
