@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import blob_ledger, capture_index, contamination, fertility, markov_lm, token_store, toxic_segments, uniform_shards, viterbi_pieces
+from ledgerlens.llm import blob_ledger, capture_index, combination_join, contamination, fertility, markov_lm, token_store, toxic_segments, uniform_shards, viterbi_pieces
 from ledgerlens.session import work_folder
 
 
@@ -85,12 +85,17 @@ def op7_sentence_pieces(spark: SparkSession, folder: str) -> DataFrame:
         F.char_length("decoded").cast("long").alias("n_chars"), (F.col("decoded") == F.col("text")).alias("exact"))
 
 
+def op9_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents by components of links of 80 % or more between their sets of five-word shingles."""
+    return combination_join.join_components(_read(spark, folder, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op10_hidden_markov(spark: SparkSession, folder: str) -> DataFrame:
     """Unigram and hidden Markov log probabilities of every document."""
     return markov_lm.score_texts(_read(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_files, op2_fertility, op3_uniform_shuffle, op4_toxic_passages, op5_capture_index, op6_contamination, op7_sentence_pieces, op8_secret_ledger, op10_hidden_markov)}
+QUERIES = {f.__name__: f for f in (op1_token_files, op2_fertility, op3_uniform_shuffle, op4_toxic_passages, op5_capture_index, op6_contamination, op7_sentence_pieces, op8_secret_ledger, op9_ngram_join, op10_hidden_markov)}
 
 #: The distinct shingles of a table: five words, or all words where there are fewer.
 _SHINGLES = r"""
@@ -109,6 +114,18 @@ SQL: dict[str, str] = {
         SELECT d.id AS doc_id, i.id AS item_id, n_item, count(*) AS n_shared
         FROM i JOIN n ON i.id = n.id JOIN d ON d.shingle = i.shingle
         GROUP BY d.id, i.id, n_item HAVING 100 * count(*) >= 80 * n_item""",
+    "op9_ngram_join": f"""
+        WITH RECURSIVE d AS ({_SHINGLES.format(id="doc_id", table="documents")}),
+        n AS (SELECT id, count(*) AS n FROM d GROUP BY id),
+        s AS (SELECT x.id AS a, y.id AS b, count(*) AS common
+              FROM d x JOIN d y ON x.shingle = y.shingle AND x.id <> y.id GROUP BY x.id, y.id),
+        links AS (SELECT s.a, s.b FROM s JOIN n p ON p.id = s.a JOIN n q ON q.id = s.b
+                  WHERE 100 * common >= 80 * (p.n + q.n - common)),
+        reach AS (SELECT doc_id AS a, doc_id AS b FROM documents
+                  UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
+        SELECT doc_id, coalesce(n.n, 0) AS n_shingles, r.least AS component_id
+        FROM documents LEFT JOIN n ON n.id = doc_id
+        JOIN (SELECT a, min(b) AS least FROM reach GROUP BY a) r ON r.a = doc_id""",
     "op5_capture_index": """
         WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
         f AS (SELECT html, max(page_id) AS first FROM p WHERE strlen(html) >= 1000 GROUP BY html),
