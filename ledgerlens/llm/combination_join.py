@@ -275,6 +275,30 @@ def _link_components(groups: DataFrame, sets: DataFrame, least: int, rounds: int
     return found if found is not None else spark.range(0).select(F.col("id").alias("node"), F.col("id").alias("component"))
 
 
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, least: int = 80,
+             rounds: int = 5) -> DataFrame:
+    """The rows with one left of each component: that of the least id and, among its texts, the least set name.
+
+    Rows without words are in no component and all stay.
+    """
+    found = join_components(docs, id_col, text_col, width, least, rounds).where("node IS NOT NULL")
+    winners = found.groupBy("component_id").agg(F.min(F.struct(F.col(id_col).cast("long").alias("of"), "node")).alias("w"))
+    winners = written(winners.select("w.of", "w.node"), "winners")
+    names = docs.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in arrays.pieces(batches, "text"):
+            sets = _sets(piece.column("text"), width)
+            mine = [len(x) > 0 and _node(x) == n for x, n in zip(sets, piece.column("node").to_pylist())]
+            yield piece.select(["row", "node"]).filter(pa.array(mine, pa.bool_()))
+
+    rows = docs.select(F.struct(*names).alias("row"), F.col(text_col).alias("text"), F.col(id_col).cast("long").alias("id"))
+    own = rows.join(winners.hint("shuffle_hash"), F.col("id").eqNullSafe(F.col("of"))).select("row", "text", "node")
+    shape = rows.schema["row"].dataType.simpleString()
+    kept = own.mapInArrow(run, f"row {shape}, node long").dropDuplicates(["node"]).select("row.*")
+    return kept.union(docs.where(~F.coalesce(F.col(text_col), F.lit("")).rlike(r"[^\x20\x09-\x0D]")))
+
+
 def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5,
                     least: int = 80, rounds: int = 5) -> DataFrame:
     """id, n_shingles, node (name of the set) and component_id (the least id reachable by links) of every row."""

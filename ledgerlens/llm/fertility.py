@@ -43,6 +43,7 @@ from ledgerlens.llm import arrays
 from ledgerlens.operators.sizing import written
 
 SYMBOLS = b"#*$%&|<>"
+COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_tokens")
 MEASURES = ("chars_per_token", "byte_share", "entropy")
 #: The least stretch beyond a quartile.
 FLOORS = {"chars_per_token": 0.05, "byte_share": 0.02, "entropy": 0.06}
@@ -127,22 +128,20 @@ def bands(numbers: DataFrame, lang_col: str, reach: float, least_tokens: int) ->
     return long_enough.groupBy(lang_col).agg(*[e for name in MEASURES for e in edges(name)])
 
 
-def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-          vocabulary: str | None = None, reach: float = 2.5, least_tokens: int = 50,
-          typical_tokens: int = 500, least_words: int = 50) -> DataFrame:
-    """Counts, fertility numbers, `base_failed` and `kept` of every row."""
-    path = vocabulary or public_tokenizers.path("piece_bpe_32k.model")
-    counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_tokens")
+def _judged(docs: DataFrame, keep: tuple[str, ...], text_col: str, lang_col: str, path: str, reach: float,
+            least_tokens: int, typical_tokens: int, least_words: int) -> DataFrame:
+    """`row` (a struct of the columns to keep) with counts, fertility numbers, `base_failed` and `kept`."""
+    lang_kind = docs.schema[lang_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in arrays.pieces(batches, "text"):
             yield pa.RecordBatch.from_pydict(
-                {"id": piece.column("id"), "lang": piece.column("lang")} | measure(piece.column("text"), path))
+                {"row": piece.column("row"), "lang": piece.column("lang")} | measure(piece.column("text"), path))
 
-    rows = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
-    fields = f"id {rows.schema['id'].dataType.simpleString()}, lang {rows.schema['lang'].dataType.simpleString()}"
+    rows = docs.select(F.struct(*keep).alias("row"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
+    fields = [f"row {rows.schema['row'].dataType.simpleString()}", f"lang {lang_kind}"]
     numbers = rows.mapInArrow(
-        run, ", ".join([fields, *[f"{c} long" for c in counts], *[f"{m} double" for m in MEASURES]]))
+        run, ", ".join([*fields, *[f"{c} long" for c in COUNTS], *[f"{m} double" for m in MEASURES]]))
     numbers = written(numbers, "fertility")
     edges = bands(numbers, "lang", reach, least_tokens).withColumnRenamed("lang", "band")
     failed = (F.col("n_words") < least_words) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
@@ -153,5 +152,22 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
         inside &= F.col(name).between(F.col(f"{name}_low") - wide, F.col(f"{name}_high") + wide)
     short = F.col("n_tokens") < least_tokens
     return numbers.join(edges, F.col("lang").eqNullSafe(F.col("band")), "left").select(
-        F.col("id").alias(id_col), F.col("lang").alias(lang_col), *counts, *MEASURES, failed.alias("base_failed"),
+        "row", "lang", *COUNTS, *MEASURES, failed.alias("base_failed"),
         (~failed & (short | F.coalesce(inside, F.lit(True)))).alias("kept"))
+
+
+def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+          vocabulary: str | None = None, reach: float = 2.5, least_tokens: int = 50,
+          typical_tokens: int = 500, least_words: int = 50) -> DataFrame:
+    """Counts, fertility numbers, `base_failed` and `kept` of every row."""
+    path = vocabulary or public_tokenizers.path("piece_bpe_32k.model")
+    out = _judged(docs, (id_col,), text_col, lang_col, path, reach, least_tokens, typical_tokens, least_words)
+    return out.select(F.col("row")[id_col].alias(id_col), F.col("lang").alias(lang_col), *COUNTS, *MEASURES, "base_failed", "kept")
+
+
+def kept_rows(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", vocabulary: str | None = None,
+              reach: float = 2.5, least_tokens: int = 50, typical_tokens: int = 500, least_words: int = 50) -> DataFrame:
+    """The rows that pass, with their columns as they came."""
+    path = vocabulary or public_tokenizers.path("piece_bpe_32k.model")
+    out = _judged(docs, tuple(docs.columns), text_col, lang_col, path, reach, least_tokens, typical_tokens, least_words)
+    return out.where("kept").select("row.*")
