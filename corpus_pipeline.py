@@ -1,27 +1,74 @@
-"""A corpus pipeline of the operators in `ledgerlens.llm`, stage after stage."""
+"""A corpus pipeline of the operators in `ledgerlens.llm`, stage after stage.
+
+Every stage keeps rows as they are, whatever their ids: decisions go by text, so
+rows with null or repeated ids fare like any others. An empty table passes through.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerlens.llm import blob_ledger
+from ledgerlens.llm import blob_ledger, combination_join, contamination, fertility, viterbi_pieces
+from ledgerlens.operators.sizing import written
 from ledgerlens.session import work_folder
-from pyspark.sql import functions as F
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the base rules and lie inside the fertility bands of their language."""
+    return fertility.kept_rows(docs)
+
+
+def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component of near duplicates."""
+    return combination_join.keep_one(docs)
+
+
+def _key(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    keyed = docs.select(_key(F.col("text")).alias("key"), "text")
+    hits = written(contamination.contained_items(keyed, items, id_col="key").select("key").distinct(), "contaminated")
+    return docs.join(hits, _key(docs["text"]) == hits["key"], "left_anti")
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with every secret span masked; no document goes."""
-    found = blob_ledger.scan(docs, work_folder(spark, "ledger")).select("blob", "spans").where(F.size("spans") > 0)
-    blob = F.unhex(F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256))
-    masked = docs.withColumn("_blob", blob).join(
-        found.dropDuplicates(["blob"]).withColumnsRenamed({"blob": "_blob", "spans": "_spans"}), "_blob", "left")
-    text = blob_ledger.mask(F.col("text"), F.coalesce("_spans", F.array()))
-    return masked.withColumn("text", text).withColumn("n_chars", F.char_length("text").cast("long")).select(docs.columns)
+    """All documents, every secret span masked."""
+    scanned = blob_ledger.scan(docs, work_folder(spark, "ledger")).where(F.size("spans") > 0)
+    found = written(scanned.select(F.col("blob").alias("_blob"), F.col("spans").alias("_spans")).dropDuplicates(["_blob"]), "secrets")
+    blob = F.unhex(F.sha2(F.coalesce(docs["text"], F.lit("")).cast("binary"), 256))
+    masked = blob_ledger.mask(F.col("text"), F.col("_spans"))
+    return (
+        docs.join(found, blob == found["_blob"], "left")
+        .withColumn("text", F.when(F.col("_spans").isNull(), F.col("text")).otherwise(masked))
+        .withColumn("n_chars", F.when(F.col("_spans").isNull(), F.col("n_chars")).otherwise(F.char_length("text")))
+        .select(docs.columns))
+
+
+def sentence_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as piece ids, with whether decoding gives the text back."""
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    rows = docs.select("doc_id", "lang", "source", F.coalesce("text", F.lit("")).alias("text"))
+    back = viterbi_pieces.decode(viterbi_pieces.encode(rows, model), model)
+    return back.select(
+        "doc_id", "lang", "source", "ids", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        (F.col("decoded") == F.col("text")).alias("exact"))
 
 
-STAGES = [("secret scans", secret_scans)]
+STAGES = [
+    ("quality rules", quality_rules),
+    ("n-gram Jaccard join", ngram_join),
+    ("benchmark decontamination", benchmark_decontamination),
+    ("secret scans", secret_scans),
+    ("SentencePiece encoding and decoding", sentence_pieces),
+]
 
-#: Sentence pieces and containment in windows have no SQL form.
+#: Piece counts decide the quality stage, and pieces are the result of the last one; SQL has neither.
 ORACLE_SQL = None
 
 
