@@ -282,7 +282,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
     Rows without words are in no component and all stay.
     """
     found = join_components(docs, id_col, text_col, width, least, rounds).where("node IS NOT NULL")
-    winners = found.groupBy("component_id").agg(F.min(F.struct(F.col(id_col).cast("long").alias("of"), "node")).alias("w"))
+    winners = found.groupBy("component").agg(F.min(F.struct(F.col(id_col).cast("long").alias("of"), "node")).alias("w"))
     winners = written(winners.select("w.of", "w.node"), "winners")
     names = docs.columns
 
@@ -301,7 +301,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
 
 def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5,
                     least: int = 80, rounds: int = 5) -> DataFrame:
-    """id, n_shingles, node (name of the set) and component_id (the least id reachable by links) of every row."""
+    """id, n_shingles, node (name of the set), component and component_id (its least id) of every row."""
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     first = _first_pass(rows, width)
     table, frequent = _frequencies(first)
@@ -313,5 +313,5 @@ def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     named = written(named.select("id", "size", "node", "class"), "classes")
     least_id = named.where("class IS NOT NULL").groupBy("class").agg(F.min("id").alias("least_id"))
     return named.join(least_id, "class", "left").select(
-        F.col("id").alias(id_col), F.col("size").alias("n_shingles"), "node",
+        F.col("id").alias(id_col), F.col("size").alias("n_shingles"), "node", F.col("class").alias("component"),
         F.when(F.col("class").isNull(), F.col("id")).otherwise(F.col("least_id")).alias("component_id"))

@@ -22,7 +22,7 @@ joins the pieces' bytes and drops the space that encoding put in front; a text
 without U+2581 comes back exactly.
 
 Null texts count as empty and have no ids. Repeated rows are kept. All columns of
-the input stay; `ids` and `decoded` must not be among them (ValueError).
+the input stay; one of the new column's name is replaced.
 """
 
 from __future__ import annotations
@@ -292,16 +292,16 @@ def decode_batch(ids: np.ndarray, offsets: np.ndarray, path: str) -> list[str]:
 
 
 def _with_column(docs: DataFrame, name: str, kind: str, column: str, fill) -> DataFrame:
-    if name in docs.columns:
-        raise ValueError(f"the input has a column {name}")
-    names = docs.columns
+    kept = [f for f in docs.schema if f.name.lower() != name.lower() or f.name == column]
+    names = [f.name for f in kept if f.name != name]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in arrays.pieces(batches, column):
-            yield pa.RecordBatch.from_arrays([*piece.columns, fill(piece.column(column))], [*names, name])
+            columns = [piece.column(n) for n in names]
+            yield pa.RecordBatch.from_arrays([*columns, fill(piece.column(column))], [*names, name])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(run, f"{fields}, {name} {kind}")
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in kept if f.name != name]
+    return docs.select([f.name for f in kept]).mapInArrow(run, ", ".join([*fields, f"{name} {kind}"]))
 
 
 def encode(docs: DataFrame, path: str, text_col: str = "text") -> DataFrame:
