@@ -41,13 +41,13 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """All documents, every secret span masked."""
     scanned = blob_ledger.scan(docs, work_folder(spark, "ledger")).where(F.size("spans") > 0)
     found = written(scanned.select(F.col("blob").alias("_blob"), F.col("spans").alias("_spans")).dropDuplicates(["_blob"]), "secrets")
-    blob = F.unhex(F.sha2(F.coalesce(docs["text"], F.lit("")).cast("binary"), 256))
-    masked = blob_ledger.mask(F.col("text"), F.col("_spans"))
-    return (
-        docs.join(found, blob == found["_blob"], "left")
-        .withColumn("text", F.when(F.col("_spans").isNull(), F.col("text")).otherwise(masked))
-        .withColumn("n_chars", F.when(F.col("_spans").isNull(), F.col("n_chars")).otherwise(F.char_length("text")))
-        .select(docs.columns))
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.unhex(F.sha2(
+        F.coalesce("text", F.lit("")).cast("binary"), 256)).alias("blob"))
+    text = F.col("row.text")
+    masked = F.when(F.col("_spans").isNull(), text).otherwise(blob_ledger.mask(text, F.col("_spans")))
+    changed = {"text": masked, "n_chars": F.when(F.col("_spans").isNull(), F.col("row.n_chars")).otherwise(F.char_length(masked))}
+    return rows.join(found, rows["blob"] == found["_blob"], "left").select(
+        *[changed.get(c, F.col("row")[c]).alias(c) for c in docs.columns])
 
 
 def sentence_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
