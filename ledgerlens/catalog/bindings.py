@@ -218,7 +218,7 @@ def history(t: Tables) -> DataFrame:
 
     order = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate"]
     lines = t.lineitem.select("l_orderkey", *order, "l_discount", "l_tax", "l_quantity")
-    return with_position(lines, ["l_orderkey"], order, F.col("l_linenumber"), "epoch").select(
+    return with_position(lines, ["l_orderkey"], order, "epoch").select(
         F.col("l_orderkey").alias("run_id"), F.col("epoch").cast("int").alias("epoch"),
         (F.col("l_discount") * 10).alias("val_f1"), F.col("l_tax").alias("loss"), F.col("l_quantity").cast("long").alias("n"))
 

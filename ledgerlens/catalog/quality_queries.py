@@ -19,11 +19,25 @@ def pruned_scan(t):
     return transactions(t).select("row_id", "category")
 
 
-@query("head_scan", "S3")
+@query("head_scan", "S3", f"""
+WITH {TX} SELECT least(1000, count(*)) AS n, least(1000, count(*)) AS n_ids, least(1000, count(*)) AS n_in_table FROM tx""")
 def head_scan(t):
+    """Which rows a head scan takes is open; how many, and that they are different rows of the table, is not."""
     from ledgerlens.sources.files import head_sample
 
-    return head_sample(transactions(t).select("row_id", "category"))
+    rows = transactions(t).select("row_id", "category")
+    head = head_sample(rows).withColumn("mine", F.lit(1))
+    found = head.join(rows, ["row_id", "category"], "left_semi").agg(F.count("*")).scalar()
+    return head.agg(F.count("*").alias("n"), F.countDistinct("row_id").alias("n_ids")).withColumn("n_in_table", found)
+
+
+@query("sizes_in_megabytes", "F19", """
+SELECT doc_id AS row_id, round_even(strlen(text) * 1000 / 1048576::DOUBLE, 1) AS size_mb FROM documents""")
+def sizes_in_megabytes(t):
+    """Bytes as megabytes with one digit, for a thousand copies of each text."""
+    from ledgerlens.functions.numbers import megabytes
+
+    return t.documents.select(F.col("doc_id").alias("row_id"), megabytes(F.octet_length("text") * 1000).alias("size_mb"))
 
 
 @query("description_lines", "S7, P6, F4", r"""

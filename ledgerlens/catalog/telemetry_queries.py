@@ -153,7 +153,7 @@ def hold_states(t):
     at = epoch_micros(F.col("ts")) * 100 + F.col("event_id") % 100
     rows = requests(t).select("user_id", at.alias("moment"), (F.col("latency_s") > 0.3).alias("active"))
     day = 86_400_000_000 * 100
-    states = alerts.hold_states(rows, ["user_id"], "moment", F.floor(F.col("moment") / F.lit(7 * day)), F.lit(day))
+    states = alerts.hold_states(rows, ["user_id"], "moment", F.lit(day))
     return states.select("user_id", "moment", F.coalesce("since", F.lit(-1)).alias("since"), "state")
 
 
@@ -172,13 +172,16 @@ def replaced_gauges(t):
 
 @query("silence_gaps", "T15", """
 WITH e AS (SELECT ts, event_id FROM events WHERE value > 250),
-g AS (SELECT lag(ts) OVER (ORDER BY ts, event_id) AS silent_from, ts AS silent_to FROM e)
-SELECT silent_from, silent_to, epoch_us(silent_to) / 1000000.0::DOUBLE - epoch_us(silent_from) / 1000000.0::DOUBLE AS gap_seconds,
+g AS (SELECT lag(ts) OVER (ORDER BY ts, event_id) AS silent_from, ts AS silent_to, false AS open FROM e
+      UNION ALL SELECT max(ts), (SELECT max(ts) + INTERVAL 3 DAY FROM events), true FROM e)
+SELECT open, silent_from, silent_to, epoch_us(silent_to) / 1000000.0::DOUBLE - epoch_us(silent_from) / 1000000.0::DOUBLE AS gap_seconds,
        (epoch_us(silent_to) - epoch_us(silent_from)) >= 86400000000 + 21600000000 AS alerted
 FROM g WHERE epoch_us(silent_to) - epoch_us(silent_from) > 86400000000""".replace(
     "epoch_us(silent_to) / 1000000.0::DOUBLE - epoch_us(silent_from) / 1000000.0::DOUBLE", "(epoch_us(silent_to) - epoch_us(silent_from)) / 1000000.0::DOUBLE"))
 def silence_gaps(t):
-    return telemetry.silence_gaps(t.events.where("value > 250"), hold_seconds=6 * telemetry.HOUR)
+    """Silences of a rare event type, the open one included, three days after the log's last event."""
+    now = t.events.agg(F.max("ts") + F.expr("INTERVAL 3 DAYS")).scalar()
+    return telemetry.silence_gaps(t.events.where("value > 250"), hold_seconds=6 * telemetry.HOUR, now=now)
 
 
 # --- Alerts -----------------------------------------------------------------
@@ -274,12 +277,13 @@ def now_firing(t):
 
 
 @query("alert_notices", "T10", f"""
-WITH {ALERTS}, b AS (SELECT *, firing_from * 15 + 30 AS first, coalesce(resolved_at, firing_from) * 15 AS until FROM intervals),
+WITH {ALERTS}, b AS (SELECT *, firing_from * 15 + 30 AS first, coalesce(resolved_at, (SELECT max(tick_no) FROM spine) + 1) * 15 AS until FROM intervals),
 k AS (SELECT * FROM b WHERE resolved_at IS NULL OR first < until)
 SELECT alertname, severity, 'firing' AS kind, unnest(range(first, greatest(first, until - 1) + 1, 900)) AS at_seconds FROM k
 UNION ALL SELECT alertname, severity, 'resolved', first + (until - first + 299) // 300 * 300 FROM k WHERE resolved_at IS NOT NULL""")
 def alert_notices(t):
-    return alerts.notices(alerts.firing_intervals(states(t)))
+    rows = states(t)
+    return alerts.notices(alerts.firing_intervals(rows), end_tick=rows.agg(F.max("tick_no")).scalar())
 
 
 _SEVERE = """fired AS (

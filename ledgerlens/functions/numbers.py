@@ -6,12 +6,17 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, functions as F
 
+# Digits with an optional sign, point and exponent, or the words for what is no finite number.
+PLAIN_NUMBER = r"^\s*[+-]?(\d+\.?\d*([eE][+-]?\d+)?|\.\d+([eE][+-]?\d+)?|(?i:nan|inf|infinity))\s*$"
 EPOCH = "timestamp_ntz'1970-01-01 00:00:00'"
 
 
 def to_number(text: Column) -> Column:
-    """Parse a double; text that is no plain number gives null, never an error."""
-    return text.try_cast("double")
+    """Parse a double; text that is no plain number gives null, never an error.
+
+    A cast alone also takes type suffixes ('500D') and hexadecimal forms ('0x1p3').
+    """
+    return F.when(text.rlike(PLAIN_NUMBER), text.try_cast("double"))
 
 
 def metric_or_null(value: Column) -> Column:
@@ -42,7 +47,7 @@ def from_micros(micros: Column) -> Column:
 
 def parse_event_time(text: Column) -> Column:
     """Epoch seconds ('1700000000.5') or ISO text to a timestamp, else null."""
-    micros = F.round(text.try_cast("double") * 1e6).try_cast("long")
+    micros = F.round(to_number(text) * 1e6).try_cast("long")
     return F.coalesce(F.timestamp_micros(micros), F.try_to_timestamp(text))
 
 

@@ -35,8 +35,13 @@ def tokens(text: Column) -> Column:
 
 
 def first_tokens(text: Column, length: int) -> Column:
-    """The first `length` words of the whole text."""
-    return F.slice(tokens(text), 1, length)
+    """The first `length` words of the whole text.
+
+    A possessive pattern takes the prefix that holds them, so that the words after
+    it are not cut out.
+    """
+    held = F.regexp_extract(F.lower(text), f"^(?:[^a-z0-9]*+[a-z0-9]++){{0,{length}}}+", 0)
+    return F.regexp_extract_all(held, F.lit("[a-z0-9]+"), 0)
 
 
 def pad_right(items: Column, length: int, pad: int = 0) -> Column:
@@ -78,8 +83,8 @@ def text_prefix(text: Column, length: int) -> Column:
 
 
 def percent_text(share: Column, digits: int = 1) -> Column:
-    """0.1234 -> '12.3%'."""
-    return F.format_string(f"%.{digits}f%%", share.cast("double") * 100)
+    """0.1234 -> '12.3%'; a tie goes to the even digit, as floats are printed."""
+    return F.format_string(f"%.{digits}f%%", F.bround(share.cast("double") * 100, digits))
 
 
 def thousands_text(number: Column) -> Column:

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ledgerlens.config import F1_GATE, LATENCY_BOUNDS
 from ledgerlens.functions.numbers import epoch_micros, from_micros
 from ledgerlens.operators.ordered import running, with_previous
-from ledgerlens.operators.sizing import settle, written
+from ledgerlens.operators.sizing import one_row, written
 from ledgerlens.operators.telemetry import DAY, HOUR, SECOND, quantile_of_buckets, rolling_error_rate
 
 TICK_SECONDS = 15
@@ -93,7 +93,7 @@ def service_signals(requests: DataFrame, pushes: DataFrame, step: int = TICK_SEC
         F.max_by("value", F.struct("ts", "event_id")).alias("value")
     ).select("tick_no", *[F.when(F.col("metric") == g, F.col("value")).alias(g) for g in gauges])
     times = requests.select("ts").unionByName(pushes.select("ts"))
-    ends = settle(times.agg(tick_number(F.min("ts"), step).alias("lo"), tick_number(F.max("ts"), step).alias("hi")))
+    ends = one_row(times.agg(tick_number(F.min("ts"), step).alias("lo"), tick_number(F.max("ts"), step).alias("hi")))
 
     counted = [*[f"c{i}" for i in range(n)], "total", "feedback", "switches"]
     held = ["error_rate", *gauges]
@@ -107,7 +107,7 @@ def service_signals(requests: DataFrame, pushes: DataFrame, step: int = TICK_SEC
     ), "panes")
     totals = written(
         running(
-            panes, [], ["tick_no"], F.floor(F.col("tick_no") / (DAY // step)),
+            panes, [], ["tick_no"],
             sums={c: F.col(f"p_{c}") for c in counted},
             lasts={g: F.col(f"p_{g}") for g in held},
         ).select("tick_no", *counted, *held),
@@ -148,7 +148,7 @@ def rule_conditions(signals: DataFrame, rules: Sequence[AlertRule]) -> DataFrame
     return signals.select("tick_no", F.explode(F.array(*cells)).alias("x")).select("tick_no", "x.*")
 
 
-def hold_states(conditions: DataFrame, keys: Sequence[str], order: str, bucket: Column, hold: Column,
+def hold_states(conditions: DataFrame, keys: Sequence[str], order: str, hold: Column,
                 active: str = "active") -> DataFrame:
     """Add `since`, `state` and `prev_state` for a condition that must hold without a break.
 
@@ -156,9 +156,9 @@ def hold_states(conditions: DataFrame, keys: Sequence[str], order: str, bucket:
     are inactive, pending and firing; `since` is the start of the latest
     active stretch.
     """
-    prev = with_previous(conditions, keys, [order], bucket, [order, active])
+    prev = with_previous(conditions, keys, [order], [order, active])
     began = F.when(F.col(active) & ~F.coalesce(F.col(f"prev_{active}"), F.lit(False)), F.col(order))
-    out = running(prev, keys, [order], bucket, maxes={"since": began})
+    out = running(prev, keys, [order], maxes={"since": began})
 
     def state(on: Column, at: Column) -> Column:
         return F.when(~F.coalesce(on, F.lit(False)), "inactive").when(at - F.col("since") >= hold, "firing").otherwise("pending")
@@ -181,7 +181,7 @@ def alert_states(signals: DataFrame, rules: Sequence[AlertRule], step: int = TIC
         F.coalesce(r.condition, F.lit(False)).alias(f"on{i}") for i, r in enumerate(rules)]), "conditions")
     start = wide.agg(F.min("tick_no")).scalar()
     marked = running(
-        wide, [], ["tick_no"], F.floor(F.col("tick_no") / (DAY // step)),
+        wide, [], ["tick_no"],
         maxes={f"off{i}": F.when(~F.col(f"on{i}"), F.col("tick_no")) for i in range(len(rules))},
         include_current=False,
     ).withColumn("_start", start)
@@ -251,16 +251,17 @@ def inhibit(firing: DataFrame, on: Sequence[str] = ("alertname",)) -> DataFrame:
 
 
 def notices(intervals: DataFrame, step: int = TICK_SECONDS, wait: int = 30, interval: int = 300, repeat: int = 900,
-            end_tick: Column | None = None) -> DataFrame:
+            *, end_tick: Column) -> DataFrame:
     """(alertname, severity, kind, at_seconds): what is sent for each firing stretch.
 
     The first notice goes out `wait` seconds after firing starts, one repeat
     per `repeat` seconds while it fires, and one resolved notice at the next
     multiple of `interval` after the first notice. A stretch that ends within
-    the wait sends nothing. Seconds count from 1970.
+    the wait sends nothing. A stretch that still fires repeats up to `end_tick`, the
+    last tick evaluated. Seconds count from 1970.
     """
     first = F.col("firing_from") * step + wait
-    until = F.coalesce(F.col("resolved_at"), end_tick if end_tick is not None else F.col("firing_from")) * step
+    until = F.coalesce(F.col("resolved_at"), end_tick + 1) * step
     base = intervals.select("alertname", "severity", first.alias("_first"), until.alias("_until"), "resolved_at").where(
         F.col("resolved_at").isNull() | (F.col("_first") < F.col("_until")))
     firing = base.select("alertname", "severity", F.lit("firing").alias("kind"), F.explode(F.sequence(

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerlens.functions.numbers import softmax
 from ledgerlens.operators.features import sequence_indices, token_indices
-from ledgerlens.operators.sizing import settle, written
+from ledgerlens.operators.sizing import written
 
 
 @dataclass(frozen=True)
@@ -53,7 +53,7 @@ def fit(train: DataFrame, labels: DataFrame, vocabulary: DataFrame, row_id: str,
     token_counts = written(token_counts, "nb-token")
     classes = _class_table(
         train.groupBy("label_idx").agg(F.count("*").alias("n_docs")), token_counts, labels, run_id)
-    return NaiveBayes(settle(classes), token_counts, vocabulary, vocabulary.count() + 1, max_seq_len)
+    return NaiveBayes(written(classes), token_counts, vocabulary, vocabulary.count() + 1, max_seq_len)
 
 
 def _words(df: DataFrame, vocabulary: DataFrame, row_id: str, length: int, column: str, carry: Sequence[str]) -> DataFrame:
@@ -84,7 +84,7 @@ def merge(old: NaiveBayes, new: NaiveBayes, run_id: str) -> NaiveBayes:
         .groupBy("label_idx", "category").agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
         .select(F.lit(run_id).alias("run_id"), "label_idx", "category", "n_docs", "n_tokens")
     )
-    return NaiveBayes(settle(classes), written(tokens, "nb-token"), old.vocabulary, old.vocabulary_size, old.max_seq_len)
+    return NaiveBayes(written(classes), written(tokens, "nb-token"), old.vocabulary, old.vocabulary_size, old.max_seq_len)
 
 
 def class_rows(model: NaiveBayes) -> list:
@@ -102,13 +102,11 @@ def score_columns(df: DataFrame, model: NaiveBayes, row_id: str, column: str = "
     """
     classes = class_rows(model)
     n_all = sum(c["n_docs"] for c in classes)
-    weights = settle(
+    weights = written(
         model.token_counts.groupBy("idx").agg(*[
             F.coalesce(F.max(F.when(F.col("label_idx") == c["label_idx"], F.log(F.col("n") + F.lit(1.0)))), F.lit(0.0))
             .alias(f"_w{i}") for i, c in enumerate(classes)
-        ]),
-        rows=model.vocabulary_size,
-    )
+        ]), "weights")
     words = _words(df, model.vocabulary, row_id, model.max_seq_len, column, carry)
     sums = (
         words.join(weights, "idx", "left").groupBy(row_id, *carry)
@@ -172,6 +170,6 @@ def load_model(spark, path: str, run_id: str) -> NaiveBayes:
     if not settings:
         raise LookupError(f"no model for run id {run_id}")
     return NaiveBayes(
-        settle(get("nb_class")), get("nb_token"), get("vocabulary").select("token", "idx"),
+        written(get("nb_class")), get("nb_token"), get("vocabulary").select("token", "idx"),
         settings[0]["vocabulary_size"], settings[0]["max_seq_len"],
     )

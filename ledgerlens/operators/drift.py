@@ -8,7 +8,7 @@ from ledgerlens.config import DRIFT_THRESHOLD, MIN_FEEDBACK_SAMPLES
 from ledgerlens.functions.numbers import half_even
 from ledgerlens.operators.labels import decode_counts
 from ledgerlens.operators.profile import feedback_label_counts, shares_of_counts, value_shares
-from ledgerlens.operators.sizing import settle
+from ledgerlens.operators.sizing import written
 
 
 def compare_shares(baseline: DataFrame, current: DataFrame, threshold: float = DRIFT_THRESHOLD,
@@ -103,7 +103,7 @@ def feedback_status(baseline_label_counts: DataFrame, labels: DataFrame, feedbac
 
     The feedback is counted once; everything after that is label-sized.
     """
-    counts = settle(feedback_label_counts(feedback))
+    counts = written(feedback_label_counts(feedback))
     return counted_feedback_status(baseline_label_counts, labels, counts, threshold, minimum)
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ledgerlens.config import F1_GATE
 from ledgerlens.functions.numbers import safe_ratio
-from ledgerlens.operators.sizing import settle
+from ledgerlens.operators.sizing import written
 
 
 def confusion(df: DataFrame, actual: str = "actual", predicted: str = "predicted") -> DataFrame:
@@ -25,7 +25,7 @@ def confusion_dense(matrix: DataFrame) -> DataFrame:
     Each actual label gets its counts as a map and walks the label array, so
     no label pairs are joined.
     """
-    matrix = settle(matrix)
+    matrix = written(matrix)
     names = matrix.select(F.explode(F.array("actual", "predicted")).alias("label")).distinct()
     label_array = names.agg(F.array_sort(F.collect_list("label"))).scalar()
     rows = matrix.groupBy("actual").agg(F.map_from_entries(F.collect_list(F.struct("predicted", "n"))).alias("_row"))
@@ -60,7 +60,7 @@ def class_metrics(matrix: DataFrame) -> DataFrame:
 
 def summary_metrics(matrix: DataFrame) -> DataFrame:
     """One row: accuracy, macro F1, support-weighted F1."""
-    matrix = settle(matrix)
+    matrix = written(matrix)
     scores = class_metrics(matrix).agg(
         F.avg("f1").alias("f1_macro"),
         safe_ratio(F.sum(F.col("f1") * F.col("support")), F.sum("support")).alias("f1_weighted"),
@@ -75,7 +75,7 @@ def accuracy(df: DataFrame, actual: str = "actual", predicted: str = "predicted"
 
 def evaluation_report(df: DataFrame, actual: str = "actual", predicted: str = "predicted") -> DataFrame:
     """Long report (metric, label, value): averages, per-class F1 and cell counts."""
-    matrix = settle(confusion(df, actual, predicted))
+    matrix = written(confusion(df, actual, predicted))
     overall = summary_metrics(matrix).select(F.explode(F.create_map(
         F.lit("test_accuracy"), F.col("accuracy"),
         F.lit("test_f1_macro"), F.col("f1_macro"),

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ledgerlens.config import FIRST_WORD_INDEX, PAD_INDEX, UNK_INDEX
 from ledgerlens.functions.numbers import count_non_pad
 from ledgerlens.functions.text import first_tokens, pad_right
 from ledgerlens.operators.profile import token_frequency
-from ledgerlens.operators.sizing import settle
+from ledgerlens.operators.sizing import written
 
 
 def build_vocabulary(df: DataFrame, max_size: int, min_freq: int, column: str = "description") -> DataFrame:
@@ -26,7 +26,7 @@ def build_vocabulary(df: DataFrame, max_size: int, min_freq: int, column: str =
         .limit(max_size)
     )
     rank = F.row_number().over(Window.orderBy(F.desc("n"), "token"))
-    return settle(kept.select("token", (rank + (FIRST_WORD_INDEX - 1)).alias("idx")), rows=max_size)
+    return written(kept.select("token", (rank + (FIRST_WORD_INDEX - 1)).alias("idx")))
 
 
 def with_special_tokens(vocabulary: DataFrame, pad: int = PAD_INDEX, unk: int = UNK_INDEX) -> DataFrame:
@@ -75,6 +75,11 @@ def encode_texts(df: DataFrame, vocabulary: DataFrame, row_id: str, length: int,
     return indexed.groupBy(row_id, *carry).agg(pad_right(ordered, length, pad).alias("seq"))
 
 
+def _wide(column: str) -> Column:
+    """A sum of longs whose products fit."""
+    return F.sum(column).cast("decimal(19,0)")
+
+
 def feature_baseline(features: DataFrame, pad: int = PAD_INDEX) -> DataFrame:
     """One row: mean and population deviation of the text lengths in words, rows per label."""
     grouped = features.groupBy("label_idx", count_non_pad(F.col("seq"), pad).alias("len")).agg(F.count("*").alias("n"))
@@ -87,7 +92,7 @@ def feature_baseline(features: DataFrame, pad: int = PAD_INDEX) -> DataFrame:
     return by_label.agg(
         mean.alias("seq_nonzero_mean"),
         # integer sums make the variance exact up to the last division
-        (F.sqrt((F.sum("n") * F.sum("s2") - F.sum("s1") * F.sum("s1")).cast("double")) / F.sum("n")).alias("seq_nonzero_std"),
+        (F.sqrt((_wide("n") * _wide("s2") - _wide("s1") * _wide("s1")).cast("double")) / F.sum("n")).alias("seq_nonzero_std"),
         F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.col("label_idx").cast("string"), "n")))).alias("label_distribution"),
     )
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ledgerlens.operators.profile import distinct_values
-from ledgerlens.operators.sizing import settle
+from ledgerlens.operators.sizing import written
 
 
 def label_index(df: DataFrame, column: str = "category") -> DataFrame:
@@ -13,7 +13,7 @@ def label_index(df: DataFrame, column: str = "category") -> DataFrame:
 
     The window covers the distinct labels only.
     """
-    return settle(number_labels(distinct_values(df, column), column))
+    return written(number_labels(distinct_values(df, column), column))
 
 
 def number_labels(labels: DataFrame, column: str = "category") -> DataFrame:

@@ -1,11 +1,16 @@
 """Running aggregates over ordered series without one task per series.
 
 A plain window with `partitionBy(series)` sorts a whole series in one task; a
-series that holds a third of all rows would not finish. Here each series is
-cut into ordered buckets. The window runs inside (series, bucket), and a small
-table of bucket totals supplies what came before the bucket. Sum, count and
-max compose this way, and `lag` is the max of (order, value) pairs before the
-row.
+series that holds a third of all rows would not finish. Here the rows are
+partitioned by range of (series, order) once, so parts have about equal numbers
+of rows whether they hold many series or a piece of one, and whatever the clock
+says. The window runs inside (series, part); a small table of totals carries what
+came before the part, which only concerns series that go on from the part before.
+Sum, count and max compose this way, and `lag` is the max of (order, value) pairs
+before the row.
+
+Parts are written to the shared folder with their numbers, since a task that is
+run again must find its rows where the totals saw them.
 """
 
 from __future__ import annotations
@@ -14,7 +19,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-_BUCKET = "_bucket"
+from ledgerlens.operators.sizing import written
+
+_PART = "_part"
 
 
 def _slot(df: DataFrame, keys: Sequence[str]) -> dict[str, Column]:
@@ -35,26 +42,27 @@ def running(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
-    bucket: Column,
     sums: dict[str, Column] | None = None,
     maxes: dict[str, Column] | None = None,
     lasts: dict[str, Column] | None = None,
     include_current: bool = True,
 ) -> DataFrame:
-    """Add running sums, maxes and last non-null values per series, in bucketed form.
+    """Add running sums, maxes and last non-null values per series.
 
-    `bucket` must not decrease along `order`; `order` must be unique inside a
-    series for a defined result. With `include_current=False` the aggregates
-    cover the rows strictly before each row. The input is read twice, once for
-    the totals; hand over a written table where it is costly to compute.
+    `order` must be unique inside a series for a defined result. With
+    `include_current=False` the aggregates cover the rows strictly before each
+    row. The input is computed twice, once to find the ranges; hand over a
+    written table where it is costly.
     """
     sums, maxes, lasts = sums or {}, maxes or {}, lasts or {}
     place = F.struct(*order)
     series = _slot(df, keys)
-    slot = [*series, _BUCKET]
-    placed = df.withColumns({**series, _BUCKET: bucket})
+    slot = [*series, _PART]
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = written(
+        df.withColumns(series).repartitionByRange(parts, *series, *order).withColumn(_PART, F.spark_partition_id()), "ranges")
 
-    earlier = Window.partitionBy(*series).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(*series).orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
     carry = (
         placed.groupBy(*slot).agg(
             *[F.sum(c).alias(f"_t_{n}") for n, c in sums.items()],
@@ -66,7 +74,10 @@ def running(
             *[F.sum(f"_t_{n}").over(earlier).alias(f"_c_{n}") for n in sums],
             *[F.max(f"_t_{n}").over(earlier).alias(f"_c_{n}") for n in maxes],
             *[F.last(f"_t_{n}", ignorenulls=True).over(earlier).alias(f"_c_{n}") for n in lasts],
+            F.count("*").over(earlier).alias("_before"),
         )
+        # a part has one series at most that began before it
+        .where("_before > 0")
     )
 
     last = 0 if include_current else -1
@@ -92,27 +103,25 @@ def with_previous(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
-    bucket: Column,
     columns: Sequence[str],
 ) -> DataFrame:
     """Add `prev_<column>`: the value of the row before, null on the first row."""
     packed = F.struct(*[F.col(o) for o in order], *[F.col(c).alias(f"v_{c}") for c in columns])
-    out = running(df, keys, order, bucket, maxes={"_prev": packed}, include_current=False)
+    out = running(df, keys, order, maxes={"_prev": packed}, include_current=False)
     return out.select(*df.columns, *[F.col(f"_prev.v_{c}").alias(f"prev_{c}") for c in columns])
 
 
 def with_position(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: Column, name: str = "pos"
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "pos"
 ) -> DataFrame:
     """Add the dense 1-based position of each row inside its series."""
-    return running(df, keys, order, bucket, sums={name: F.lit(1).cast("long")})
+    return running(df, keys, order, sums={name: F.lit(1).cast("long")})
 
 
 def rolling_mean(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
-    bucket: Column,
     value: Column,
     rows: int,
     name: str,
@@ -126,7 +135,7 @@ def rolling_mean(
     rows however long a series is.
     """
     chunk_rows = max(chunk_rows, rows)
-    placed = with_position(df.withColumn("_value", value), keys, order, bucket, "_pos")
+    placed = with_position(df.withColumn("_value", value), keys, order, "_pos")
     chunk = F.floor((F.col("_pos") - 1) / chunk_rows)
     offset = (F.col("_pos") - 1) % chunk_rows
     homes = F.when(offset >= chunk_rows - (rows - 1), F.array(chunk, chunk + 1)).otherwise(F.array(chunk))

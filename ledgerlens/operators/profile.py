@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ledgerlens.functions.numbers import safe_ratio
 from ledgerlens.functions.text import strip, tokens
-from ledgerlens.operators.sizing import settle
+from ledgerlens.operators.sizing import written
 
 
 def row_count(df: DataFrame) -> DataFrame:
@@ -79,7 +79,7 @@ def length_histogram(df: DataFrame, by: str = "split", column: str = "descriptio
     Lengths are grouped first, so the bin edges and the counts come from one
     pass over the texts.
     """
-    lengths = settle(
+    lengths = written(
         df.groupBy(by, F.length(column).alias("len")).agg(F.count("*").alias("n")).where("len IS NOT NULL"))
     edges = lengths.agg(F.min("len").alias("lo"), F.max("len").alias("hi"))
     low, high = edges.select("lo").scalar(), edges.select("hi").scalar()

@@ -60,7 +60,7 @@ def best_epoch(history: DataFrame) -> DataFrame:
         "run_id", (-F.col("_b._late")).alias("epoch"), F.col("_b.val_f1").alias("val_f1"))
 
 
-def early_stop(history: DataFrame, patience: int = EARLY_STOP_PATIENCE, bucket_epochs: int = 1_000) -> DataFrame:
+def early_stop(history: DataFrame, patience: int = EARLY_STOP_PATIENCE) -> DataFrame:
     """Per epoch: did it improve, the best so far, and epochs since the last improvement.
 
     An epoch improves when its F1 is above 0 and above all F1 before it, so the
@@ -68,7 +68,7 @@ def early_stop(history: DataFrame, patience: int = EARLY_STOP_PATIENCE, bucket_e
     run are numbered without gaps.
     """
     out = running(
-        history, ["run_id"], ["epoch"], F.floor(F.col("epoch") / bucket_epochs),
+        history, ["run_id"], ["epoch"],
         maxes={"_best": F.struct("val_f1", (-F.col("epoch")).alias("late")), "_first": -F.col("epoch")})
     gained = F.when(F.col("_best.val_f1") > 0, -F.col("_best.late"))
     stale = F.col("epoch") - F.coalesce(gained, -F.col("_first") - 1)

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ledgerlens.config import DriftSplitParams
 from ledgerlens.operators.ordered import with_position
 from ledgerlens.operators.profile import top_values
-from ledgerlens.operators.sizing import settle, written
+from ledgerlens.operators.sizing import one_row, written
 
 PREFIX_CHARS = 4
 
@@ -45,12 +45,12 @@ def cut_points(df: DataFrame, strata: Sequence[str], row_id: str, seed: int, quo
         wanted = counts.join(quotas, [*strata])
     else:
         wanted = counts.withColumn("k", quotas.select("k").scalar()).withColumn("cut", F.lit("sample"))
-    edge = settle(
+    edge = written(
         wanted.where((F.col("_before") < F.col("k")) & (F.col("k") <= F.col("_before") + F.col("_n")))
         .select(*strata, "cut", "_p", (F.col("k") - F.col("_before")).alias("_need"))
     )
     rank = F.row_number().over(Window.partitionBy(*strata, "cut").orderBy("_h", "_id"))
-    return settle(
+    return written(
         hashed.withColumn("_p", prefix).join(edge, [*strata, "_p"])
         .withColumn("_rank", rank)
         .where(F.col("_rank") == F.col("_need"))
@@ -141,13 +141,10 @@ def draw_with_replacement(pool: DataFrame, row_id: str, draws: Column | int, see
     `draws` may be an expression over the one-row table `sizes`. An empty pool
     gives an empty result.
     """
-    place = with_position(
-        pool.withColumn("_h", row_hash(row_id, seed)), [], ["_h", row_id],
-        F.substring("_h", 1, PREFIX_CHARS), "_pos",
-    ).drop("_h")
+    place = with_position(pool.select(row_id, row_hash(row_id, seed).alias("_h")), [], ["_h", row_id], "_pos").drop("_h")
     size = pool.agg(F.count("*").alias("_m"))
     wanted = sizes.select(draws.alias("_draws")) if sizes is not None else size.select(F.lit(draws).cast("long").alias("_draws"))
-    plan = settle(wanted.withColumn("_m", size.scalar()))
+    plan = one_row(wanted.withColumn("_m", size.scalar()))
     starts = (
         plan.where("_m > 0 AND _draws > 0")
         .select("_m", "_draws", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_draws") - 1) / chunk))).alias("_part"))
@@ -159,8 +156,10 @@ def draw_with_replacement(pool: DataFrame, row_id: str, draws: Column | int, see
     digest = F.md5(F.concat_ws("|", F.lit(str(seed)), F.lit("draw"), F.col("_draw").cast("string")))
     position = F.conv(F.substring(digest, 1, 15), 16, 10).cast("long") % F.col("_m") + 1
     hits = numbers.groupBy(position.alias("_pos")).agg(F.count("*").alias("_times"))
+    # positions are found on ids alone, so the rows themselves move once
+    drawn = place.join(hits, "_pos").select(row_id, "_times")
     return (
-        place.join(hits, "_pos")
+        pool.join(drawn, row_id)
         .select(*pool.columns, F.explode(F.sequence(F.lit(1).cast("long"), F.col("_times"))).alias("copy_no"))
     )
 
@@ -174,7 +173,7 @@ def train_val_test(df: DataFrame, label: str, row_id: str, test_size: float, val
     same way. Labels with a single row stay in train. `sizes` passes rows per
     label (label, n) that are known already.
     """
-    sizes = sizes if sizes is not None else settle(strata_sizes(df, [label]))
+    sizes = sizes if sizes is not None else written(strata_sizes(df, [label]))
     quotas = split_quotas(sizes, label, test_size, val_size)
     cuts = quotas.select(label, F.explode(F.array(
         F.struct(F.lit("test").alias("cut"), F.col("n_test").alias("k")),
@@ -205,15 +204,17 @@ def _largest_remainder(sizes: DataFrame, label: str, count: str, share: float, n
     whole = (
         sizes.withColumn("_all", F.sum(count).over(everything))
         .withColumn("_goal", F.ceil(F.lit(share).cast("double") * F.col("_all")))
-        .withColumn("_floor", F.expr(f"(_goal * {count}) div _all"))
-        .withColumn("_left", (F.col("_goal") * F.col(count)) % F.col("_all"))
+        # the product of two row counts leaves the range of a long at 10^10 rows
+        .withColumn("_wide", F.col("_goal").cast("decimal(19,0)") * F.col(count).cast("decimal(19,0)"))
+        .withColumn("_floor", F.expr("_wide div _all"))
+        .withColumn("_left", F.col("_wide") % F.col("_all"))
     )
     order = F.row_number().over(everything.orderBy(F.desc("_left"), label))
     extra = F.col("_goal") - F.sum("_floor").over(everything)
     return (
         whole.withColumn("_extra", extra).withColumn("_order", order)
         .withColumn(name, F.col("_floor") + (F.col("_order") <= F.col("_extra")).cast("long"))
-        .drop("_all", "_goal", "_floor", "_left", "_extra", "_order")
+        .drop("_all", "_goal", "_wide", "_floor", "_left", "_extra", "_order")
     )
 
 
@@ -231,8 +232,8 @@ def drift_split(df: DataFrame, row_id: str, stratum: str = "category",
     baseline = flagged.where("in_sample").drop("in_sample")
     # a tenth of the table is read several times below, so it is written once
     rest = written(flagged.where("NOT in_sample").drop("in_sample"), "rest")
-    top = settle(top_values(df, params.top_categories, stratum).select(stratum))
-    sizes = settle(rest.agg(F.count("*").alias("n_rest")))
+    top = written(top_values(df, params.top_categories, stratum).select(stratum))
+    sizes = one_row(rest.agg(F.count("*").alias("n_rest")))
     n_top = F.floor(F.lit(params.top_share) * F.col("n_rest"))
 
     top_rows = rest.join(top, stratum, "left_semi").select(*df.columns)

@@ -1,11 +1,12 @@
-"""Materialise the small sides of joins, with a size check.
+"""Materialise tables that are read several times or joined as a small side.
 
 The plan-time estimate of an aggregated table is the size of its input, so a
-join against ten label rows would shuffle the large side. Once materialised,
-such a table reports its real size: below `spark.sql.autoBroadcastJoinThreshold`
-Spark broadcasts it, above it the join is a shuffled one with skew handling.
-Nothing is forced and nothing is cut off. Materialising also ends the lineage,
-so plans stay short and a lost executor costs no recomputation.
+join against ten label rows would shuffle the large side. Once written, such a
+table reports its real size: below `spark.sql.autoBroadcastJoinThreshold` Spark
+broadcasts it, above it the join is a shuffled one with skew handling. Nothing is
+forced, nothing passes through the driver, and the path is the same at any size.
+Writing also ends the lineage, so plans stay short and a lost executor costs no
+recomputation.
 """
 
 from __future__ import annotations
@@ -14,8 +15,6 @@ from pyspark.sql import DataFrame
 
 from ledgerlens.session import work_folder
 
-LOCAL_ROWS = 10_000
-
 
 def written(df: DataFrame, purpose: str = "table") -> DataFrame:
     """The table, written once to the shared working folder and read back."""
@@ -25,25 +24,6 @@ def written(df: DataFrame, purpose: str = "table") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def settle(df: DataFrame, rows: int = LOCAL_ROWS) -> DataFrame:
-    """Materialise a table of label-domain size.
-
-    Up to `rows` rows become a local table of the plan; a larger table is
-    written to the shared folder, whole.
-    """
-    head = df.limit(rows + 1).toArrow()
-    if head.num_rows > rows:
-        return written(df)
-    return df.sparkSession.createDataFrame(head, schema=df.schema)
-
-
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Share out a file scan that has fewer splits than there are cores.
-
-    Meant for texts about to be tokenised: a file of one row group is one task
-    however many cores wait. Large tables have more splits than cores and pass
-    through unchanged. The rows are shared out by key, so a later grouping by
-    that key needs no further shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
+def one_row(df: DataFrame) -> DataFrame:
+    """A one-row result, such as an aggregate without keys, as a literal of the plan."""
+    return df.sparkSession.createDataFrame(df.limit(1).toArrow(), schema=df.schema)

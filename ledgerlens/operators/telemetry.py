@@ -18,11 +18,6 @@ HOUR = 3600
 DAY = 24 * HOUR
 
 
-def time_bucket(ts: Column, seconds: int) -> Column:
-    """Number of the time bucket a timestamp falls into."""
-    return F.floor(epoch_micros(ts) / F.lit(seconds * SECOND)).cast("long")
-
-
 def counters(df: DataFrame, labels: Sequence[str], name: str = "n") -> DataFrame:
     """Events per label set."""
     return df.groupBy(*labels).agg(F.count("*").alias(name))
@@ -128,19 +123,19 @@ def error_share(df: DataFrame, by: Sequence[str] = (), error: Column | None = No
 
 
 def rolling_error_rate(df: DataFrame, keys: Sequence[str] = (), ts: str = "ts", tie: str = "event_id",
-                       ok: str = "ok", window: int = ERROR_WINDOW, bucket_seconds: int = HOUR) -> DataFrame:
+                       ok: str = "ok", window: int = ERROR_WINDOW) -> DataFrame:
     """Share of failures among the last `window` requests, per request."""
     failed = F.when(F.col(ok), 0).otherwise(1)
-    return rolling_mean(df, keys, [ts, tie], time_bucket(F.col(ts), bucket_seconds), failed, window, "error_rate")
+    return rolling_mean(df, keys, [ts, tie], failed, window, "error_rate")
 
 
 def counter_increase(samples: DataFrame, series: Sequence[str], ts: str = "ts", tie: str = "sample_id",
-                     value: str = "value", bucket_seconds: int = DAY) -> DataFrame:
+                     value: str = "value") -> DataFrame:
     """Add `increase` since the previous sample; a drop means the counter restarted at 0.
 
     The first sample of a series has no increase.
     """
-    prev = with_previous(samples, series, [ts, tie], time_bucket(F.col(ts), bucket_seconds), [value])
+    prev = with_previous(samples, series, [ts, tie], [value])
     before, now = F.col(f"prev_{value}"), F.col(value)
     return prev.withColumn(
         "increase", F.when(before.isNull(), 0.0).when(now < before, now).otherwise(now - before)
@@ -178,19 +173,25 @@ def vector_match(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFr
 
 
 def silence_gaps(events: DataFrame, ts: str = "ts", tie: str = "event_id", gap_seconds: int = DAY,
-                 hold_seconds: int = 2 * DAY, bucket_seconds: int = DAY) -> DataFrame:
+                 hold_seconds: int = 2 * DAY, now: Column | None = None) -> DataFrame:
     """Gaps between events longer than the range, with `alerted` where the hold time also passed.
 
     After a gap the increase over the range is 0 from start + range on; the
-    alert fires if that lasts for the hold time.
+    alert fires if that lasts for the hold time. With `now` (a timestamp, such as
+    the last tick of the wider log) the silence since the last event counts too; it is
+    `open`, and its `silent_to` is now.
     """
-    prev = with_previous(events.select(ts, tie), [], [ts, tie], time_bucket(F.col(ts), bucket_seconds), [ts])
-    gap = (epoch_micros(F.col(ts)) - epoch_micros(F.col(f"prev_{ts}"))) / F.lit(float(SECOND))
+    prev = with_previous(events.select(ts, tie), [], [ts, tie], [ts])
+    gaps = prev.select(F.col(f"prev_{ts}").alias("silent_from"), F.col(ts).alias("silent_to"), F.lit(False).alias("open"))
+    if now is not None:
+        gaps = gaps.unionByName(events.agg(F.max(ts).alias("silent_from")).select(
+            "silent_from", now.alias("silent_to"), F.lit(True).alias("open")))
+    gap = (epoch_micros(F.col("silent_to")) - epoch_micros(F.col("silent_from"))) / F.lit(float(SECOND))
     return (
-        prev.withColumn("gap_seconds", gap).where(F.col("gap_seconds") > gap_seconds)
+        gaps.withColumn("gap_seconds", gap).where(F.col("gap_seconds") > gap_seconds)
         .select(
-            F.col(f"prev_{ts}").alias("silent_from"), F.col(ts).alias("silent_to"), "gap_seconds",
-            (F.col("gap_seconds") >= gap_seconds + hold_seconds).alias("alerted"),
+            "silent_from", "silent_to", "gap_seconds",
+            (F.col("gap_seconds") >= gap_seconds + hold_seconds).alias("alerted"), "open",
         )
     )
 

@@ -11,7 +11,7 @@ from ledgerlens.operators.features import build_vocabulary, encode_texts, featur
 from ledgerlens.operators.labels import encode_labels, number_labels
 from ledgerlens.operators.profile import value_counts
 from ledgerlens.operators.sampling import train_val_test
-from ledgerlens.operators.sizing import settle
+from ledgerlens.operators.sizing import written
 from ledgerlens.sinks.writers import write_lookups, write_table
 
 
@@ -32,8 +32,8 @@ class Features:
 
 def build_features(rows: DataFrame, row_id: str, params: FeatureParams = FeatureParams()) -> Features:
     """`rows` holds row_id, description and category. No test text reaches the vocabulary."""
-    counts = settle(value_counts(rows))
-    labels = settle(number_labels(counts))
+    counts = written(value_counts(rows))
+    labels = written(number_labels(counts))
     split = encode_labels(
         train_val_test(rows, "category", row_id, params.test_size, params.val_size, params.seed, counts), labels)
     vocabulary = build_vocabulary(split.where("split = 'train'"), params.max_vocab_size, params.min_freq)

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
@@ -33,13 +35,22 @@ def build_session(app: str = "ledgerlens", master: str | None = None,
     return builder.getOrCreate()
 
 
+@lru_cache
+def _own_folder(app: str) -> str:
+    """One temporary folder for each application on one machine."""
+    return tempfile.mkdtemp(prefix="ledgerlens-")
+
+
 def work_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder path for checkpoints and hand-over tables.
 
-    It lies in the shared folder the cluster names in `spark.checkpoint.dir`;
-    only where that is unset (tests on one machine) a temporary folder is used.
+    It lies in the shared folder the cluster names in `spark.checkpoint.dir`. Where
+    that is unset, a session on one machine gets a temporary folder of its own;
+    executors elsewhere could not read it, so any other master is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = tempfile.mkdtemp(prefix="ledgerlens-")
+        if not re.match(r"local(\[|$)", spark.conf.get("spark.master", "")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        root = _own_folder(spark.conf.get("spark.app.id", ""))
     return os.path.join(root, f"ledgerlens-{purpose}-{uuid.uuid4().hex}")

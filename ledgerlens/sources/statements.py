@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ledgerlens.functions.text import strip
-from ledgerlens.operators.sizing import settle
+from ledgerlens.operators.sizing import written
 from ledgerlens.session import work_folder
 
 
@@ -55,7 +55,7 @@ def statement_rows(lines: DataFrame, delimiter: str = ",") -> DataFrame:
     withdrawal column yield nothing; `headerless_files` lists them.
     """
     cells = with_cells(lines, delimiter)
-    header = settle(_headers(cells))
+    header = written(_headers(cells))
     below = cells.join(header, "file").where((F.col("line_order") > F.col("header_order")) & (F.col("withdrawal_at") > 0))
 
     def cell(position: str) -> Column:

@@ -26,7 +26,7 @@ def test_rolling_rate_equals_plain_window(rows, keys):
     df = log(rows)
     w = Window.partitionBy(*keys).orderBy("ts", "event_id").rowsBetween(-99, 0)
     want = df.select("event_id", F.avg(F.when(F.col("ok"), 0).otherwise(1)).over(w).alias("r"))
-    got = ordered.rolling_mean(df, keys, ["ts", "event_id"], telemetry.time_bucket(F.col("ts"), 600), F.when(F.col("ok"), 0).otherwise(1), 100, "r", chunk_rows=150)
+    got = ordered.rolling_mean(df, keys, ["ts", "event_id"], F.when(F.col("ok"), 0).otherwise(1), 100, "r", chunk_rows=150)
     assert got.select("event_id", "r").exceptAll(want).isEmpty() and got.count() == 5000
 
 
@@ -34,7 +34,7 @@ def test_running_with_null_keys_and_values(rows):
     data = [(i, None if i % 3 == 0 else "k", None if i % 5 == 0 else i) for i in range(300)]
     df = rows(data, "i long, key string, v long")
     w = Window.partitionBy("key").orderBy("i")
-    got = ordered.running(df, ["key"], ["i"], F.floor(F.col("i") / 7), sums={"s": F.col("v")}, maxes={"m": F.col("v")})
+    got = ordered.running(df, ["key"], ["i"], sums={"s": F.col("v")}, maxes={"m": F.col("v")})
     want = df.select("*", F.coalesce(F.sum("v").over(w), F.lit(0)).alias("s"), F.max("v").over(w).alias("m"))
     assert got.exceptAll(want).isEmpty() and got.count() == 300
 
@@ -43,7 +43,7 @@ def test_previous_equals_lag(rows):
     df = log(rows, 2000)
     w = Window.partitionBy("key").orderBy("ts", "event_id")
     want = df.select("*", F.lag("ok").over(w).alias("prev_ok"))
-    got = ordered.with_previous(df, ["key"], ["ts", "event_id"], telemetry.time_bucket(F.col("ts"), 300), ["ok"])
+    got = ordered.with_previous(df, ["key"], ["ts", "event_id"], ["ok"])
     assert got.exceptAll(want).isEmpty()
 
 
@@ -100,7 +100,7 @@ def test_alert_states(rows, hold):
     assert got == states_by_hand(active, -(-hold // 15))
     previous = [x["prev_state"] for x in states.orderBy("tick_no").collect()]
     assert previous == ["inactive", *got[:-1]]
-    held = alerts.hold_states(df.withColumn("active", F.col("flag")), [], "tick_no", F.floor(F.col("tick_no") / 50), F.lit(-(-hold // 15)))
+    held = alerts.hold_states(df.withColumn("active", F.col("flag")), [], "tick_no", F.lit(-(-hold // 15)))
     assert [x["state"] for x in held.orderBy("tick_no").collect()] == got
 
 
