@@ -11,9 +11,11 @@ more, at most t = n - ceil(0.8 n) tokens of either are missing in the other.
   so documents that link share a signature (the usual argument for prefixes in a
   global order, with one common token a group not enough).
 * The number of groups depends on the size class of a document (powers of two). A
-  document writes the pairs of its own class and of the class of n / 0.8 (`least` as a share), so two
-  documents that link have a class in common. Classes of small documents have
-  singles only.
+  document writes the pairs of its own class and of the class of n / 0.8 (`least` as
+  a share), so two documents that link have a class in common. Classes of small
+  documents have singles only.
+* Of two documents that link, the smaller misses at most n - ceil(1.6 n / 1.8) of its
+  tokens, so the shared signature lies in its short prefix, made for that number.
 
 Frequencies are counts of hash buckets over all documents; they only set the order,
 so a collision costs time, never a link.
@@ -48,7 +50,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import arrays
@@ -147,61 +149,83 @@ def _pairs_of_groups(tokens: np.ndarray, groups: np.ndarray, size_class: int) ->
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
-def signatures(tokens: np.ndarray, steps: np.ndarray, frequent: int, least: int = 80) -> np.ndarray:
-    """Signatures of a set: rare tokens, and pairs of frequent ones, of its prefixes."""
+def signatures(tokens: np.ndarray, steps: np.ndarray, frequent: int, least: int = 80) -> tuple[np.ndarray, np.ndarray]:
+    """Signatures of a set, ascending, and which of them the short prefix has too."""
     n = len(tokens)
-    need = n - -(-least * n // 100) + 1
     order = np.lexsort((tokens, steps))
-    tokens = tokens[order]
-    n_rare = int((steps < frequent).sum())
-    if n_rare >= need:
-        return tokens[:need]
-    out = []
-    for size_class in {n.bit_length() - 1, (n * 100 // least).bit_length() - 1}:
-        if size_class < _SINGLES_BELOW:
-            out.append(tokens[:need])
-            continue
-        rest = tokens[n_rare:]
-        groups = (arrays.mixed(rest) % np.uint64(1 << size_class - 2)).astype(np.int64)
-        first = np.zeros(len(rest), bool)
-        first[np.unique(groups, return_index=True)[1]] = True
-        upto = int(np.searchsorted(np.cumsum(~first), need - n_rare)) + 1
-        out += [tokens[:n_rare], _pairs_of_groups(rest[:upto], groups[:upto], size_class)]
-    return np.unique(np.concatenate(out))
+    tokens, n_rare = tokens[order], int((steps < frequent).sum())
+
+    def of_prefix(need: int) -> list[np.ndarray]:
+        if n_rare >= need:
+            return [tokens[:need]]
+        out = []
+        for size_class in {n.bit_length() - 1, (n * 100 // least).bit_length() - 1}:
+            if size_class < _SINGLES_BELOW:
+                out.append(tokens[:need])
+                continue
+            rest = tokens[n_rare:]
+            groups = (arrays.mixed(rest) % np.uint64(1 << size_class - 2)).astype(np.int64)
+            first = np.zeros(len(rest), bool)
+            first[np.unique(groups, return_index=True)[1]] = True
+            upto = int(np.searchsorted(np.cumsum(~first), need - n_rare)) + 1
+            out += [tokens[:n_rare], _pairs_of_groups(rest[:upto], groups[:upto], size_class)]
+        return out
+
+    long = np.unique(np.concatenate(of_prefix(n - -(-least * n // 100) + 1)))
+    short = np.concatenate(of_prefix(n - -(-2 * least * n // (100 + least)) + 1))
+    return long, np.isin(long, short)
+
+
+_MEMBER = "struct<node:long,size:long,near:boolean>"
 
 
 def _signature_rows(docs: DataFrame, width: int, table: np.ndarray, frequent: int, least: int) -> DataFrame:
-    """sig, node, size and part: 0 first of its piece, 1 first of several, 2 another."""
+    """A row for each signature and piece of texts: one node, and the others of the piece."""
+    member = pa.struct([("node", pa.int64()), ("size", pa.int64()), ("near", pa.bool_())])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in arrays.pieces(batches, "text"):
-            seen: dict[int, tuple[int, np.ndarray]] = {}
+            seen: dict[int, tuple[int, np.ndarray, np.ndarray]] = {}
             for tokens in _sets(piece.column("text"), width):
                 if len(tokens) and (node := _node(tokens)) not in seen:
-                    seen[node] = len(tokens), signatures(tokens, table[_bucket(tokens)], frequent, least)
+                    seen[node] = len(tokens), *signatures(tokens, table[_bucket(tokens)], frequent, least)
             if not seen:
                 continue
-            counts = [len(s) for _, s in seen.values()]
-            sigs = np.concatenate([s for _, s in seen.values()])
-            _, first, which, times = np.unique(sigs, return_index=True, return_inverse=True, return_counts=True)
-            part = np.full(len(sigs), 2, np.int64)
-            part[first] = times > 1
-            yield pa.RecordBatch.from_pydict({
-                "sig": sigs.astype(np.int64), "node": np.repeat(np.fromiter(seen, np.int64, len(seen)), counts),
-                "size": np.repeat([n for n, _ in seen.values()], counts), "part": part})
-
-    return written(docs.select("text").mapInArrow(run, "sig long, node long, size long, part long"), "signatures")
-
-
-def _groups(rows: DataFrame) -> DataFrame:
-    """sig, node and size of signatures that two nodes or more have."""
+            counts = [len(s) for _, s, _ in seen.values()]
+            sigs = np.concatenate([s for _, s, _ in seen.values()])
+            columns = {"sig": sigs.astype(np.int64), "node": np.repeat(np.fromiter(seen, np.int64, len(seen)), counts),
+                       "size": np.repeat([n for n, *_ in seen.values()], counts),
+                       "near": np.concatenate([n for *_, n in seen.values()])}
+            order = np.argsort(sigs, kind="stable")
+            heads = np.flatnonzero(np.append(True, np.diff(sigs[order]) != 0))
+            alone = np.diff(np.append(heads, len(sigs))) == 1
+            first = order[heads]
+            others: list = [None] * len(heads)
+            for h in np.flatnonzero(~alone):
+                rest = order[heads[h] + 1:heads[h + 1] if h + 1 < len(heads) else len(sigs)]
+                others[h] = [{"node": int(columns["node"][i]), "size": int(columns["size"][i]), "near": bool(columns["near"][i])} for i in rest]
+            back = np.argsort(first, kind="stable")  # rows of one document stay together and pack well
+            yield pa.RecordBatch.from_pydict(
+                {k: v[first[back]] for k, v in columns.items()} | {"others": pa.array([others[i] for i in back], pa.list_(member))})
+
+    return docs.select("text").mapInArrow(run, f"sig long, node long, size long, near boolean, others array<{_MEMBER}>")
+
+
+def _groups(rows: DataFrame, least: int) -> DataFrame:
+    """sig, node, size and near of signatures by which two nodes may link."""
     same = Window.partitionBy("sig")
-    shared = (F.min("node").over(same) != F.max("node").over(same)) | (F.max("part").over(same) > 0)
-    heads = rows.where("part < 2").withColumn("shared", shared).where("shared")
-    return written(heads.select("sig", "node", "size").union(rows.where("part = 2").select("sig", "node", "size")).distinct(), "groups")
+    members = F.concat(F.array(F.struct("node", "size", "near")), F.coalesce("others", F.array().cast(f"array<{_MEMBER}>")))
+    sizes = F.transform("members", lambda m: m["size"])
+    n = F.sum(F.size("members")).over(same)
+    several = (F.min("node").over(same) != F.max("node").over(same)) | (F.max(F.size("members")).over(same) > 1)
+    near = F.max(F.exists("members", lambda m: m["near"])).over(same)
+    close = 100 * F.min(F.array_min(sizes)).over(same) >= least * F.max(F.array_max(sizes)).over(same)
+    shared = rows.withColumn("members", members).withColumn("shared", several & near & (close | (n > 2))).where("shared")
+    return written(shared.select("sig", F.inline("members")).distinct(), "groups")
 
 
 def _sets_of(docs: DataFrame, nodes: DataFrame, first: DataFrame, width: int) -> DataFrame:
-    """node and its set, for the given nodes, each from one of its documents."""
+    """node and its set, for the given nodes, each from the document of its least id (twice if that row is repeated)."""
     chosen = first.where("node IS NOT NULL").join(nodes, "node", "left_semi").groupBy("node").agg(F.min("id").alias("of"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -213,7 +237,7 @@ def _sets_of(docs: DataFrame, nodes: DataFrame, first: DataFrame, width: int) ->
                 "node": pa.array([w for w, _ in hits], pa.int64()), "tokens": pa.array([x for _, x in hits], pa.binary())})
 
     texts = docs.join(chosen.hint("shuffle_hash"), F.col("id").eqNullSafe(F.col("of"))).select("node", "text")
-    return written(texts.mapInArrow(run, "node long, tokens binary").dropDuplicates(["node"]), "token-sets")
+    return written(texts.mapInArrow(run, "node long, tokens binary"), "token-sets")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, least: int) -> DataFrame:
@@ -232,8 +256,10 @@ def _verified(pairs: DataFrame, sets: DataFrame, least: int) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def _close(least: int):
-    return (100 * F.least("size", "other_size") >= least * F.greatest("size", "other_size"))
+def _may_link(least: int) -> Column:
+    """Sizes are close, and the signature lies in the smaller set's short prefix."""
+    close = 100 * F.least("size", "other_size") >= least * F.greatest("size", "other_size")
+    return close & (F.col("near") | (F.col("size") > F.col("other_size"))) & (F.col("other_near") | (F.col("size") < F.col("other_size")))
 
 
 def _link_components(groups: DataFrame, sets: DataFrame, least: int, rounds: int) -> DataFrame:
@@ -249,7 +275,7 @@ def _link_components(groups: DataFrame, sets: DataFrame, least: int, rounds: int
             unfinished = placed.groupBy("sig").agg(
                 F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("sig")
             open_ = placed.join(unfinished, "sig")
-        groups = written(open_.select("sig", "node", "size", "component"), "groups")
+        groups = written(open_.select("sig", "node", "size", "near", "component"), "groups")
         sizes = groups.groupBy("sig", "component").agg(F.count("*").alias("n")).groupBy("sig").agg(
             F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("inside"))
         rows, left = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum(F.expr("(n * n - inside) / 2")), F.lit(0))).first()
@@ -257,13 +283,15 @@ def _link_components(groups: DataFrame, sets: DataFrame, least: int, rounds: int
             break
         last = r == rounds or left <= 2 * rows
         if last:
-            other = groups.select("sig", F.col("node").alias("other"), F.col("size").alias("other_size"), F.col("component").alias("c"))
-            pairs = groups.join(other, "sig").where((F.col("node") < F.col("other")) & (F.col("component") != F.col("c")) & _close(least))
+            other = groups.select("sig", F.col("node").alias("other"), F.col("size").alias("other_size"),
+                                  F.col("near").alias("other_near"), F.col("component").alias("c"))
+            pairs = groups.join(other, "sig").where((F.col("node") < F.col("other")) & (F.col("component") != F.col("c")) & _may_link(least))
         else:
             leaders = groups.groupBy("sig").agg(
-                F.min_by(F.struct("node", "size", "component"), F.xxhash64("node", F.lit(r))).alias("l")).select(
-                "sig", F.col("l.node").alias("other"), F.col("l.size").alias("other_size"), F.col("l.component").alias("c"))
-            pairs = groups.join(leaders, "sig").where((F.col("component") != F.col("c")) & _close(least))
+                F.min_by(F.struct("node", "size", "near", "component"), F.xxhash64("node", F.lit(r))).alias("l")).select(
+                "sig", F.col("l.node").alias("other"), F.col("l.size").alias("other_size"),
+                F.col("l.near").alias("other_near"), F.col("l.component").alias("c"))
+            pairs = groups.join(leaders, "sig").where((F.col("component") != F.col("c")) & _may_link(least))
         pairs = pairs.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
         pairs = written(pairs.join(checked, ["a", "b"], "left_anti"), "pairs")
         checked = checked.union(pairs)
@@ -305,7 +333,7 @@ def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     first = _first_pass(rows, width)
     table, frequent = _frequencies(first)
-    groups = _groups(_signature_rows(rows, width, table, frequent, least))
+    groups = _groups(_signature_rows(rows, width, table, frequent, least), least)
     sets = _sets_of(rows, groups.select("node").distinct(), first, width)
     found = _link_components(groups, sets, least, rounds)
 
