@@ -8,6 +8,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -20,14 +21,15 @@ HEADLINES = [
     "train_val_test_split", "feature_rows", "nb_token_counts", "predicted_labels", "test_confusion", "drift_report",
     "feedback_status", "combined_corpus", "statement_debits", "spend_percentages", "latency_histogram_per_hour",
     "latency_quantiles_sliding", "rolling_error_rate_by_endpoint", "increase_per_hour", "alert_transitions",
-    "early_stop", "stream_request_counters",
+    "early_stop", "stream_request_counters", "encoded_texts", "description_lines", "predicted_scores",
 ]
 
 
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", str(os.cpu_count() or 4))
-    spark = build_session("bench", f"local[{cpus}]", int(cpus), spark__ui__enabled="false", spark__driver__memory="12g")
+    shared = tempfile.mkdtemp(prefix="bench-")
+    spark = build_session("bench", f"local[{cpus}]", int(cpus), shared, spark__ui__enabled="false", spark__driver__memory="12g")
     spark.sparkContext.setLogLevel("ERROR")
     spark.read.parquet(f"{folder}/events.parquet").groupBy("event_type").count().collect()
     names = [n for n in (sys.argv[1:] or HEADLINES) if n in REGISTRY]

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ledgerlens.catalog.registry import Tables
+from ledgerlens.session import work_folder
+from ledgerlens.sources.statements import read_statement_lines
 
 ALLOWED = ("de", "en", "fr")
 ALLOWED_SQL = "('de', 'en', 'fr')"
@@ -276,5 +278,14 @@ def statement_lines(t: Tables) -> DataFrame:
         .unionByName(extra(1 << 60, "Total,,,,99.00,,")))
 
 
+def exported_lines(t: Tables) -> DataFrame:
+    """The statement exports as text files, read back; `file` is the priority again."""
+    folder = work_folder(t.spark, "exports")
+    lines = statement_lines(t).repartition("file").sortWithinPartitions("file", "line_order")
+    lines.select("file", F.col("line").alias("value")).write.partitionBy("file").text(folder)
+    name = F.url_decode(F.regexp_extract("file", "file=([^/]+)", 1))
+    return read_statement_lines(t.spark, folder).withColumn("file", name)
+
+
 EVENT_SYMBOLS = {"click": "+", "error": "!", "view": "o"}
 EVENT_SYMBOLS_SQL = "WHEN 'click' THEN '+' WHEN 'error' THEN '!' WHEN 'view' THEN 'o'"

@@ -10,7 +10,7 @@ from ledgerlens.catalog.bindings import (
 )
 from ledgerlens.catalog.registry import REGISTRY, query
 from ledgerlens.operators import alerts
-from ledgerlens.session import work_folder
+from ledgerlens.session import ROCKSDB, STATE_STORE, work_folder
 from ledgerlens.streaming import alerts as stream_alerts, feedback as stream_feedback, scoring, telemetry
 from ledgerlens.streaming.io import latest_state, read_batches, start_table, stream_lines, stream_parquet
 
@@ -109,6 +109,7 @@ def stream_alert_transitions(t):
     folder = work_folder(t.spark, "conditions")
     conditions.write.parquet(folder)
     ticks = stream_parquet(t.spark, folder, conditions.schema)
+    t.spark.conf.set(STATE_STORE, ROCKSDB)  # a session not made by build_session may lack it
     return run_table(t, stream_alerts.alert_transition_stream(ticks), "alerts").drop("batch_id")
 
 

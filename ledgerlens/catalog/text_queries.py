@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.catalog.bindings import (
     ALLOWED, CLEAN, FEEDBACK, LABEL_BASE, SHORT, STATEMENT, TX, dirty_transactions, event_labels, feedback,
-    label_baseline, short_transactions, statement_lines, transactions,
+    exported_lines, label_baseline, short_transactions, statement_lines, transactions,
 )
 from ledgerlens.catalog.registry import query
 from ledgerlens.config import FeatureParams
@@ -454,7 +454,7 @@ def combined_corpus(t):
 @query("statement_debits", "S6, P8, P9, P10, P11, F3, F4, D9", f"""
 WITH {STATEMENT} SELECT file, description, amount, count(*) AS n FROM debits GROUP BY ALL""")
 def statement_debits(t):
-    rows = statement_rows(statement_lines(t))
+    rows = statement_rows(exported_lines(t))
     return statement.debit_rows(rows.drop("line_order")).groupBy("file", "description", "amount").agg(F.count("*").alias("n"))
 
 

@@ -2,8 +2,9 @@
 
 Rows are put in a fixed pseudo-random order per stratum: the order of
 md5(seed|row_id). "The k first rows of the order" is found without sorting a
-stratum: rows are counted per hash prefix, whole prefixes below the cut are
-in, and only the rows of the one prefix that straddles the cut are ranked.
+stratum: rows are counted per short hash prefix, whole prefixes below the cut are
+in, the one prefix that straddles the cut is counted by a longer one, and so on;
+only the rows of the last prefix are ranked.
 The result is a threshold per stratum, so the sample itself is a filter on
 the table with no shuffle of its rows.
 """
@@ -19,7 +20,8 @@ from ledgerlens.operators.ordered import with_position
 from ledgerlens.operators.profile import top_values
 from ledgerlens.operators.sizing import one_row, written
 
-PREFIX_CHARS = 4
+#: Prefix lengths, in turn: a count by two characters is 256 rows a stratum from each task.
+PREFIXES = (2, 5)
 
 
 def row_hash(row_id: str, seed: int) -> Column:
@@ -35,23 +37,30 @@ def cut_points(df: DataFrame, strata: Sequence[str], row_id: str, seed: int, quo
     Without strata, `quotas` is one row for the whole table.
     """
     hashed = df.select(*strata, F.col(row_id).alias("_id"), row_hash(row_id, seed).alias("_h"))
-    prefix = F.substring("_h", 1, PREFIX_CHARS)
-    below = Window.partitionBy(*strata).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    counts = (
-        hashed.groupBy(*strata, prefix.alias("_p")).agg(F.count("*").alias("_n"))
-        .withColumn("_before", F.coalesce(F.sum("_n").over(below), F.lit(0)))
-    )
     if strata:
-        wanted = counts.join(quotas, [*strata])
+        edge = quotas.select(*strata, "cut", F.col("k").alias("_need"))
     else:
-        wanted = counts.withColumn("k", quotas.select("k").scalar()).withColumn("cut", F.lit("sample"))
-    edge = written(
-        wanted.where((F.col("_before") < F.col("k")) & (F.col("k") <= F.col("_before") + F.col("_n")))
-        .select(*strata, "cut", "_p", (F.col("k") - F.col("_before")).alias("_need"))
-    )
+        edge = quotas.select(F.lit("sample").alias("cut"), F.col("k").alias("_need"))
+    edge = written(edge.withColumn("_p", F.lit("")), "edges")
+    below = Window.partitionBy(*strata, "cut").orderBy("_q").rowsBetween(Window.unboundedPreceding, -1)
+    shorter = 0
+    for length in PREFIXES:
+        narrowed = hashed.withColumns({"_p": F.substring("_h", 1, shorter), "_q": F.substring("_h", 1, length)})
+        counts = (
+            narrowed.groupBy(*strata, "_p", "_q").agg(F.count("*").alias("_n"))
+            if not shorter else
+            narrowed.join(edge.select(*strata, "_p").distinct(), [*strata, "_p"], "left_semi").groupBy(*strata, "_p", "_q").agg(F.count("*").alias("_n"))
+        )
+        held = (
+            counts.join(edge, [*strata, "_p"])
+            .withColumn("_before", F.coalesce(F.sum("_n").over(below), F.lit(0)))
+            .where((F.col("_before") < F.col("_need")) & (F.col("_need") <= F.col("_before") + F.col("_n")))
+        )
+        edge = written(held.select(*strata, "cut", F.col("_q").alias("_p"), (F.col("_need") - F.col("_before")).alias("_need")), "edges")
+        shorter = length
     rank = F.row_number().over(Window.partitionBy(*strata, "cut").orderBy("_h", "_id"))
     return written(
-        hashed.withColumn("_p", prefix).join(edge, [*strata, "_p"])
+        hashed.withColumn("_p", F.substring("_h", 1, shorter)).join(edge, [*strata, "_p"])
         .withColumn("_rank", rank)
         .where(F.col("_rank") == F.col("_need"))
         .select(*strata, "cut", F.struct("_h", "_id").alias("mark"))

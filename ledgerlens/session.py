@@ -11,9 +11,15 @@ from functools import lru_cache
 from pyspark.sql import SparkSession
 
 
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def build_session(app: str = "ledgerlens", master: str | None = None,
-                  shuffle_partitions: int | None = None, **conf: str) -> SparkSession:
-    """A session with adaptive execution, skew joins and UTC timestamps on.
+                  shuffle_partitions: int | None = None, shared: str | None = None, **conf: str) -> SparkSession:
+    """A session with adaptive execution, skew joins, UTC timestamps and a state store for timers.
+
+    `shared` is a folder that all executors can write to and read; work tables go there.
 
     On a cluster leave `master` and `shuffle_partitions` unset: the submit
     command names the master, and adaptive execution coalesces the initial
@@ -25,9 +31,12 @@ def build_session(app: str = "ledgerlens", master: str | None = None,
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config(STATE_STORE, ROCKSDB)
     )
     if master:
         builder = builder.master(master)
+    if shared:
+        builder = builder.config("spark.checkpoint.dir", shared)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for key, value in conf.items():

@@ -9,6 +9,8 @@ per file.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ledgerlens.functions.text import strip
@@ -35,15 +37,17 @@ def read_statement_lines(spark: SparkSession, path: str | list[str]) -> DataFram
 def with_cells(lines: DataFrame, delimiter: str = ",") -> DataFrame:
     """Add `cells`: the trimmed cells of each line; quoted cells may hold the delimiter.
 
-    The CSV parser needs a column count; it is taken from the lines, so no
-    cell is cut off.
+    A line has as many cells as it has; a broken line of thousands widens no other.
     """
-    marks = F.length("line") - F.length(F.replace("line", F.lit(delimiter), F.lit("")))
-    width = (lines.agg(F.max(marks)).first()[0] or 0) + 1
-    names = [f"c{i}" for i in range(width)]
-    parsed = F.from_csv("line", ", ".join(f"{n} string" for n in names), {"sep": delimiter, "escape": '"', "mode": "PERMISSIVE"})
-    return lines.withColumn("_row", parsed).withColumn(
-        "cells", F.array(*[strip(F.coalesce(F.col(f"_row.{n}"), F.lit(""))) for n in names])).drop("_row")
+    mark = re.escape(delimiter)
+    # with a delimiter in front every cell has one, so no match is empty
+    found = F.regexp_extract_all(F.concat(F.lit(delimiter), "line"), F.lit(f'{mark}("(?:[^"]|"")*"|[^{mark}]*)'), 1)
+
+    def cell(raw: Column) -> Column:
+        inner = F.replace(F.substring(raw, F.lit(2), F.greatest(F.char_length(raw) - 2, F.lit(0))), F.lit('""'), F.lit('"'))
+        return strip(F.when(raw.rlike('^".*"$'), inner).otherwise(raw))
+
+    return lines.withColumn("cells", F.transform(found, cell))
 
 
 def statement_rows(lines: DataFrame, delimiter: str = ",") -> DataFrame:

@@ -9,7 +9,6 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 STATES = ("inactive", "pending", "firing", "resolved")
 TRANSITIONS = "alertname string, severity string, tick_no bigint, state string"
 
@@ -57,10 +56,9 @@ def alert_transition_stream(conditions: DataFrame, step_seconds: int = 15) -> Da
     """State changes of a stream of (tick_no, alertname, severity, hold_seconds, active).
 
     There is one row per rule and tick, whatever the traffic, so the rows of a
-    key in a batch are as many as the ticks it covers. Needs the RocksDB state
-    store, which is set for the session.
+    key in a batch are as many as the ticks it covers. The session must use the
+    RocksDB state store, as `build_session` sets it.
     """
-    conditions.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     return conditions.groupBy("alertname", "severity").transformWithStateInPandas(
         statefulProcessor=HoldTimer(step_seconds), outputStructType=TRANSITIONS,
         outputMode="Append", timeMode="None")

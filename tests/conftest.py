@@ -9,9 +9,9 @@ from ledgerlens.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
-        "tests", "local[8]", 8, spark__ui__enabled="false", spark__driver__memory="8g")
+        "tests", "local[8]", 8, str(tmp_path_factory.mktemp("shared")), spark__ui__enabled="false", spark__driver__memory="8g")
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

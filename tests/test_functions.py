@@ -4,6 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerlens.functions import numbers, text
+from ledgerlens.functions.numbers import to_number
+from ledgerlens.functions.text import first_tokens, percent_text, tokens
+from ledgerlens.session import work_folder
 
 
 def one(df, column):
@@ -118,3 +121,32 @@ def test_megabytes(rows):
 def test_map_text(rows):
     df = rows([("success",), ("other",)], "s string")
     assert [r[0] for r in df.select(numbers.map_text(F.col("s"), {"success": "+"}, "?")).collect()] == ["+", "?"]
+
+
+def test_plain_numbers_only(rows):
+    cases = {"500D": None, "0x1p3": None, "12f": None, "1,200.00": None, "": None, "abc": None, " 12.5 ": 12.5, "-3": -3.0, "1e3": 1000.0, ".5": 0.5, "7.": 7.0}
+    got = {r["t"]: r["n"] for r in rows([(k,) for k in cases], "t string").select("t", to_number(F.col("t")).alias("n")).collect()}
+    assert got == cases
+
+
+def test_percent_ties_go_to_the_even_digit(rows):
+    cases = [(0.1225, "12.2%"), (0.1235, "12.4%"), (0.1, "10.0%"), (1.0, "100.0%")]
+    got = rows([(s,) for s, _ in cases], "s double").select(percent_text(F.col("s")).alias("p")).collect()
+    assert [r["p"] for r in got] == [p for _, p in cases]
+
+
+def test_first_words_of_a_prefix(rows):
+    texts = ["", "!!!", "a b c d", "  A-b_c d", "é one two", "x" * 50 + " y", "one two"]
+    got = rows([(t,) for t in texts], "t string").select(
+        first_tokens(F.col("t"), 2).alias("a"), F.slice(tokens(F.col("t")), 1, 2).alias("b")).collect()
+    assert all(r["a"] == r["b"] for r in got)
+
+
+def test_shared_folder_is_required_off_one_machine(spark):
+    class Other:
+        class conf:  # noqa: N801
+            get = staticmethod(lambda key, default=None: "spark://host:7077" if key == "spark.master" else default)
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        work_folder(Other, "x")
+    assert work_folder(spark, "x") != work_folder(spark, "x")

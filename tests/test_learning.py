@@ -242,3 +242,15 @@ def test_summary_and_gate(rows):
 def test_confusion_export(rows):
     got = {r["actual"]: r["counts"] for r in evaluation.confusion_matrix_rows(evaluation.confusion(pairs(rows))).collect()}
     assert got == {"a": [2, 1, 0], "b": [0, 1, 0], "c": [0, 1, 0]}
+
+
+def test_products_of_large_counts(rows):
+    """Counts of 10^12 rows a label, and lengths over them, stay in range."""
+    from ledgerlens.operators.features import feature_baseline
+    from ledgerlens.operators.sampling import split_quotas
+
+    n = 10**12
+    quotas = {r["category"]: r for r in split_quotas(rows([("a", n), ("b", 3 * n)], "category string, n long"), "category", 0.15, 0.15).collect()}
+    assert quotas["a"]["n_test"] + quotas["b"]["n_test"] == 6 * 10**11
+    assert quotas["a"]["n_test"] == 15 * 10**10
+    assert feature_baseline(rows([(0, [2, 3, 0]), (1, [2, 0, 0])], "label_idx int, seq array<int>")).first()["seq_nonzero_std"] == 0.5

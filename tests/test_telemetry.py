@@ -223,3 +223,33 @@ def test_alert_stream_over_batches(spark, rows, tmp_path):
         if state != before:
             want.append((i, "resolved" if (before, state) == ("firing", "inactive") else state))
     assert got == want
+
+
+def test_parts_are_even_when_one_second_holds_most_rows(spark):
+    """Nine in ten rows of one series share a second, yet no part has many more than its share."""
+    df = spark.range(20_000).selectExpr(
+        "id AS event_id", "IF(id % 10 < 9, 'hot', concat('k', id % 70)) AS key",
+        "IF(id % 10 < 9, timestamp_ntz'2024-01-01 00:00:00', timestamp_ntz'2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, 0, 0, id)) AS ts")
+    got = ordered.with_position(df, ["key"], ["ts", "event_id"])
+    w = Window.partitionBy("key").orderBy("ts", "event_id")
+    assert got.exceptAll(df.select("*", F.row_number().over(w).cast("long").alias("pos"))).isEmpty()
+    parts = df.repartitionByRange(8, "key", "ts", "event_id").groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert max(r["count"] for r in parts) < 2 * 20_000 / 8
+
+
+def test_open_silence_and_open_stretch(rows):
+    events = rows([(1, START), (2, START + timedelta(days=2))], "event_id long, ts timestamp_ntz")
+    now = F.lit(START + timedelta(days=6)).cast("timestamp_ntz")
+    got = telemetry.silence_gaps(events, now=now).orderBy("silent_from").collect()
+    assert [(r["open"], r["gap_seconds"] / 86400, r["alerted"]) for r in got] == [(False, 2.0, False), (True, 4.0, True)]
+    df = rows([("C", "critical", 100, 100, None)], "alertname string, severity string, since long, firing_from long, resolved_at long")
+    sent = [r["at_seconds"] - 1500 for r in alerts.notices(df, end_tick=F.lit(250)).collect()]
+    assert sorted(sent) == [30, 930, 1830]
+
+
+def test_a_broken_line_widens_no_other(rows):
+    from ledgerlens.sources.statements import with_cells
+
+    data = [("f", 1, 'a,"b, ""c""", d ,'), ("f", 2, "x" + "," * 5000), ("f", 3, "")]
+    got = [r["cells"] for r in with_cells(rows(data, "file string, line_order long, line string")).orderBy("line_order").collect()]
+    assert got[0] == ["a", 'b, "c"', "d", ""] and len(got[1]) == 5001 and got[2] == [""]
