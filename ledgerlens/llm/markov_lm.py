@@ -49,7 +49,7 @@ from ledgerlens.operators.sizing import written
 
 END = "\n"
 BUCKETS = 8192
-_POS_BITS = 24
+_PIECE_BYTES = 8 << 20  # the larger, the fewer words come up in several chunks
 _CHUNK = "chunk long, ids array<long>, held array<boolean>, sizes binary, seq binary, buckets binary, words array<string>, counts array<long>"
 
 
@@ -70,7 +70,7 @@ def _chunks(docs: DataFrame, buckets: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, number = TaskContext.get().partitionId(), 0
         pack = zstandard.ZstdCompressor(level=1).compress
-        for piece in arrays.pieces(batches, "text"):
+        for piece in arrays.pieces(batches, "text", _PIECE_BYTES):
             words = arrays.split(pc.ascii_lower(arrays.whole(piece.column("text"))))
             held = piece.column("held").to_numpy(zero_copy_only=False)
             counts = words.counts
@@ -270,11 +270,14 @@ def _first_model(chunks: DataFrame, sums: np.ndarray, states: int, seeds: int) -
                         found.append((order, np.bincount(tokens[a:b], minlength=symbols).astype("<i4")))
                 found = sorted(found, key=lambda x: x[0])[:seeds]
             yield pa.RecordBatch.from_pydict({
-                "h": pa.array([h for h, _ in found], pa.int64()), "n": pa.array([n.tobytes() for _, n in found], pa.binary())})
+                "h": pa.array([h for h, _ in found], pa.int64()), "n": pa.array([zlib.compress(n.tobytes()) for _, n in found], pa.binary())})
 
-    picked = chunks.select("ids", "held", "sizes", "seq", "buckets").mapInArrow(run, "h long, n binary").orderBy("h").limit(seeds)
+    drawn = written(chunks.select("ids", "held", "sizes", "seq", "buckets").mapInArrow(run, "h long, n binary"), "seeds")
+    # first the hashes alone, so that the driver gets `seeds` rows of counts and not as many from each task
+    last = drawn.select("h").orderBy("h").limit(seeds).agg(F.max("h")).first()[0]
+    picked = drawn.where(F.col("h") <= F.lit(last)).orderBy("h")
     share = (sums[0] + 1) / (sums[0].sum() + symbols)
-    rows = np.array([np.frombuffer(r["n"], "<i4") for r in picked.collect()], float).reshape(-1, symbols)
+    rows = np.array([np.frombuffer(zlib.decompress(r["n"]), "<i4") for r in picked.collect()], float).reshape(-1, symbols)
     rows = rows / np.maximum(rows.sum(1, keepdims=True), 1)
     unit = rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-12)
     chosen = [0] if len(rows) else []
