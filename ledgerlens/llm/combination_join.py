@@ -28,8 +28,10 @@ Equal sets are one node. Nodes of a signature are not paired all with all:
 3. when few pairs are left, or after `rounds` rounds, all pairs of a group whose
    nodes are in different components are verified.
 
-Step 3 leaves no pair out, so components are exact. Verification is by the sets
-themselves, with integers: 100 * intersection >= 80 * union.
+Step 3 leaves no pair out, so components are exact. Pairs are ruled out by sizes and
+by sketches of parity bits, which differ in no more bits than the sets in tokens;
+what remains is verified by the sets themselves, with integers:
+100 * intersection >= 80 * union.
 
 Tasks put one row for each signature and piece of texts into the shuffle that finds
 shared signatures, so a signature that a third of all documents have is as many
@@ -60,6 +62,7 @@ from ledgerlens.operators.sizing import written
 
 BITS = 24
 _SLICE = 1 << 16
+_BLOCK = 500
 _SINGLES_BELOW = 4  # size classes of up to 15 tokens have singles only
 
 
@@ -86,11 +89,12 @@ def _first_pass(docs: DataFrame, width: int) -> DataFrame:
                         ("slice", pa.int64()), ("counts", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << BITS, np.int32)
-        for piece in arrays.pieces(batches, "text"):
+        total = np.zeros(1 << BITS, np.uint16)  # a task counts a bucket up to 65,535, which is frequent anyway
+        for piece in arrays.pieces(batches, "text", 2 << 20):
             sets = list(_sets(piece.column("text"), width))
             every = _bucket(np.concatenate(sets))
-            total += np.bincount(every, minlength=1 << BITS).astype(np.int32)
+            hit, times = np.unique(every, return_counts=True)
+            total[hit] = np.minimum(total[hit] + times, 65_535)
             n = len(sets)
             yield pa.RecordBatch.from_arrays([
                 piece.column("id"), pa.array([len(x) for x in sets], pa.int64()),
@@ -124,7 +128,7 @@ def _frequencies(first: DataFrame) -> tuple[np.ndarray, int]:
                     yield row()
                     total[:] = 0
                 now = slice_
-                total += np.frombuffer(zlib.decompress(raw), np.int32)
+                total += np.frombuffer(zlib.decompress(raw), np.uint16)
         if now is not None:
             yield row()
 
@@ -184,7 +188,7 @@ def _signature_rows(docs: DataFrame, width: int, table: np.ndarray, frequent: in
     member = pa.struct([("node", pa.int64()), ("size", pa.int64()), ("near", pa.bool_())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in arrays.pieces(batches, "text"):
+        for piece in arrays.pieces(batches, "text", 2 << 20):
             seen: dict[int, tuple[int, np.ndarray, np.ndarray]] = {}
             for tokens in _sets(piece.column("text"), width):
                 if len(tokens) and (node := _node(tokens)) not in seen:
@@ -229,15 +233,32 @@ def _sets_of(docs: DataFrame, nodes: DataFrame, first: DataFrame, width: int) ->
     chosen = first.where("node IS NOT NULL").join(nodes, "node", "left_semi").groupBy("node").agg(F.min("id").alias("of"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in arrays.pieces(batches, "text"):
+        for piece in arrays.pieces(batches, "text", 2 << 20):
             sets = list(_sets(piece.column("text"), width))
             wanted = piece.column("node").to_pylist()
-            hits = [(w, x.tobytes()) for w, x in zip(wanted, sets) if len(x) and _node(x) == w]
+            hits = [(w, x.tobytes(), _sketch(x)) for w, x in zip(wanted, sets) if len(x) and _node(x) == w]
             yield pa.RecordBatch.from_pydict({
-                "node": pa.array([w for w, _ in hits], pa.int64()), "tokens": pa.array([x for _, x in hits], pa.binary())})
+                "node": pa.array([h[0] for h in hits], pa.int64()), "tokens": pa.array([h[1] for h in hits], pa.binary()),
+                "sketch": pa.array([h[2] for h in hits], pa.binary())})
 
     texts = docs.join(chosen.hint("shuffle_hash"), F.col("id").eqNullSafe(F.col("of"))).select("node", "text")
-    return written(texts.mapInArrow(run, "node long, tokens binary"), "token-sets")
+    return written(texts.mapInArrow(run, "node long, tokens binary, sketch binary"), "token-sets")
+
+
+def _sketch(tokens: np.ndarray) -> bytes:
+    """A parity bit for each of 2 to 4 slots a token: two sets differ in at least as many tokens as their sketches in bits."""
+    slots = 1 << max(6, (len(tokens) - 1).bit_length() + 1)
+    parity = np.bincount((tokens & np.uint64(slots - 1)).astype(np.int64), minlength=slots) & 1
+    return np.packbits(parity.astype(np.uint8), bitorder="little").tobytes()
+
+
+def _bits_apart(x: bytes, y: bytes) -> int:
+    """Bits in which two sketches differ, the longer one folded to the shorter."""
+    while len(x) != len(y):
+        x, y = (x, y) if len(x) > len(y) else (y, x)
+        half = len(x) // 2
+        x = (int.from_bytes(x[:half], "little") ^ int.from_bytes(x[half:], "little")).to_bytes(half, "little")
+    return (int.from_bytes(x, "little") ^ int.from_bytes(y, "little")).bit_count()
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, least: int) -> DataFrame:
@@ -251,11 +272,75 @@ def _verified(pairs: DataFrame, sets: DataFrame, least: int) -> DataFrame:
                 keep.append(100 * both >= least * (len(x) + len(y) - both))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    one = sets.withColumnsRenamed({"node": "a", "tokens": "x"})
-    two = sets.withColumnsRenamed({"node": "b", "tokens": "y"})
+    one = sets.select(F.col("node").alias("a"), F.col("tokens").alias("x"))
+    two = sets.select(F.col("node").alias("b"), F.col("tokens").alias("y"))
     return pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
+def _not_far(pairs: DataFrame, sets: DataFrame, least: int) -> DataFrame:
+    """The pairs (a, b, size, other_size) that their sketches do not rule out."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            both = (batch.column("size").to_numpy() + batch.column("other_size").to_numpy()) * (100 - least)
+            apart = [_bits_apart(x, y) for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist())]
+            keep = np.array(apart, np.int64) * (100 + least) <= both
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    one = sets.select(F.col("node").alias("a"), F.col("sketch").alias("x"))
+    two = sets.select(F.col("node").alias("b"), F.col("sketch").alias("y"))
+    return pairs.join(one, "a").join(two, "b").select("a", "b", "size", "other_size", "x", "y").mapInArrow(run, "a long, b long")
+
+
+def _all_pairs_left(groups: DataFrame, sets: DataFrame, least: int) -> DataFrame:
+    """Pairs (a, b) of a signature's nodes in different components that sizes and sketches do not rule out.
+
+    A group is cut into blocks of about `_BLOCK` nodes, and a task gets two blocks, so
+    no task holds a whole group; what leaves a task are pairs that must be verified.
+    """
+    def pairs_of(rows: list[tuple]) -> Iterator[tuple[int, int]]:
+        block, node, size, near, component = (np.array(c) for c in list(zip(*rows))[:5])
+        sketches = [r[5] for r in rows]
+        x, y = np.triu_indices(len(rows), 1)
+        smaller, larger = np.minimum(size[x], size[y]), np.maximum(size[x], size[y])
+        fine = (component[x] != component[y]) & (100 * smaller >= least * larger)
+        fine &= (near[x] | (size[x] > size[y])) & (near[y] | (size[y] > size[x]))
+        if block.min() != block.max():
+            fine &= block[x] != block[y]
+        for i, j in zip(x[fine].tolist(), y[fine].tolist()):
+            if _bits_apart(sketches[i], sketches[j]) * (100 + least) <= int(size[i] + size[j]) * (100 - least):
+                yield int(min(node[i], node[j])), int(max(node[i], node[j]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, rows = None, []
+
+        def flush() -> pa.RecordBatch:
+            found = list(pairs_of(rows)) if len(rows) > 1 else []
+            return pa.RecordBatch.from_pydict({
+                "a": pa.array([f[0] for f in found], pa.int64()), "b": pa.array([f[1] for f in found], pa.int64())})
+
+        for batch in batches:
+            keys = zip(*[batch.column(c).to_pylist() for c in ("sig", "i", "j")])
+            members = zip(*[batch.column(c).to_pylist() for c in ("block", "node", "size", "near", "component", "sketch")])
+            for key, member in zip(keys, members):
+                if key != now:
+                    if len(rows) > 1:
+                        yield flush()
+                    now, rows = key, []
+                rows.append(member)
+        if len(rows) > 1:
+            yield flush()
+
+    blocks = groups.groupBy("sig").agg(F.ceil(F.count("*") / _BLOCK).cast("int").alias("blocks"))
+    placed = (
+        groups.join(sets.select("node", "sketch").dropDuplicates(["node"]), "node").join(blocks, "sig")
+        .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")))
+    both = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(
+        F.least("block", k).alias("i"), F.greatest("block", k).alias("j")))
+    spread = placed.select("sig", "block", "node", "size", "near", "component", "sketch", F.inline(both))
+    dealt = spread.repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j")
+    return dealt.mapInArrow(run, "a long, b long").distinct()
+
+
 def _may_link(least: int) -> Column:
     """Sizes are close, and the signature lies in the smaller set's short prefix."""
     close = 100 * F.least("size", "other_size") >= least * F.greatest("size", "other_size")
@@ -283,16 +368,15 @@ def _link_components(groups: DataFrame, sets: DataFrame, least: int, rounds: int
             break
         last = r == rounds or left <= 2 * rows
         if last:
-            other = groups.select("sig", F.col("node").alias("other"), F.col("size").alias("other_size"),
-                                  F.col("near").alias("other_near"), F.col("component").alias("c"))
-            pairs = groups.join(other, "sig").where((F.col("node") < F.col("other")) & (F.col("component") != F.col("c")) & _may_link(least))
+            pairs = _all_pairs_left(groups, sets, least)
         else:
             leaders = groups.groupBy("sig").agg(
                 F.min_by(F.struct("node", "size", "near", "component"), F.xxhash64("node", F.lit(r))).alias("l")).select(
                 "sig", F.col("l.node").alias("other"), F.col("l.size").alias("other_size"),
                 F.col("l.near").alias("other_near"), F.col("l.component").alias("c"))
             pairs = groups.join(leaders, "sig").where((F.col("component") != F.col("c")) & _may_link(least))
-        pairs = pairs.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+            pairs = pairs.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"), "size", "other_size")
+            pairs = _not_far(pairs.dropDuplicates(["a", "b"]), sets, least)
         pairs = written(pairs.join(checked, ["a", "b"], "left_anti"), "pairs")
         checked = checked.union(pairs)
         links = links.union(written(_verified(pairs, sets, least), "found"))
@@ -304,7 +388,7 @@ def _link_components(groups: DataFrame, sets: DataFrame, least: int, rounds: int
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, least: int = 80,
-             rounds: int = 5) -> DataFrame:
+             rounds: int = 2) -> DataFrame:
     """The rows with one left of each component: that of the least id and, among its texts, the least set name.
 
     Rows without words are in no component and all stay.
@@ -315,7 +399,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
     names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in arrays.pieces(batches, "text"):
+        for piece in arrays.pieces(batches, "text", 2 << 20):
             sets = _sets(piece.column("text"), width)
             mine = [len(x) > 0 and _node(x) == n for x, n in zip(sets, piece.column("node").to_pylist())]
             yield piece.select(["row", "node"]).filter(pa.array(mine, pa.bool_()))
@@ -328,7 +412,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
 
 
 def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5,
-                    least: int = 80, rounds: int = 5) -> DataFrame:
+                    least: int = 80, rounds: int = 2) -> DataFrame:
     """id, n_shingles, node (name of the set), component and component_id (its least id) of every row."""
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     first = _first_pass(rows, width)

@@ -143,7 +143,8 @@ def _judged(docs: DataFrame, keep: tuple[str, ...], text_col: str, lang_col: str
     numbers = rows.mapInArrow(
         run, ", ".join([*fields, *[f"{c} long" for c in COUNTS], *[f"{m} double" for m in MEASURES]]))
     numbers = written(numbers, "fertility")
-    edges = bands(numbers, "lang", reach, least_tokens).withColumnRenamed("lang", "band")
+    # a row for each language; written, its size is known and the texts need no shuffle
+    edges = written(bands(numbers, "lang", reach, least_tokens).withColumnRenamed("lang", "band"), "bands")
     failed = (F.col("n_words") < least_words) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     loose = F.greatest(F.lit(1.0), F.sqrt(F.lit(typical_tokens) / F.greatest("n_tokens", F.lit(1))))
     inside = F.lit(True)

@@ -79,7 +79,7 @@ def op7_sentence_pieces(spark: SparkSession, folder: str) -> DataFrame:
     """Documents as sentence pieces and back: pieces, their checksum, and whether the text came back."""
     model = public_tokenizers.path("piece_bpe_32k.model")
     docs = _read(spark, folder, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    back = viterbi_pieces.decode(viterbi_pieces.encode(docs, model), model)
+    back = viterbi_pieces.round_trip(docs, model)
     return back.select(
         "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"),
         F.char_length("decoded").cast("long").alias("n_chars"), (F.col("decoded") == F.col("text")).alias("exact"))

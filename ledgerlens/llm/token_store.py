@@ -47,6 +47,7 @@ _INDEX = np.dtype([("id", "<i8"), ("offset", "<u8"), ("count", "<u4"), ("null",
 _FOOTER = "<QQ8s"
 _FOOTER_SIZE = struct.calcsize(_FOOTER)
 _CACHED = 300_000
+_PIECE_BYTES = 8 << 20
 _PLAIN = "^[\\x21-\\x7eÀ-ÖØ-öø-ÿ]*$"
 _PARTS = r"('s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+)"
 
@@ -144,7 +145,7 @@ def _zstd(dictionary: bytes) -> zstandard.ZstdCompressionDict | None:
 
 def _serialised(docs: DataFrame, path: str, end_id: int, width: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in arrays.pieces(batches, "text"):
+        for piece in arrays.pieces(batches, "text", _PIECE_BYTES):
             ids, offsets = encode(piece.column("text"), path, end_id)
             raw = ids.astype(f"<u{width}")
             yield pa.RecordBatch.from_pydict({
@@ -176,7 +177,7 @@ def write_tokens(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col:
         def frames() -> Iterator[bytes]:
             nonlocal at, total
             yield MAGIC + bytes([width]) + name
-            for piece in arrays.pieces(batches, "text"):
+            for piece in arrays.pieces(batches, "text", _PIECE_BYTES):
                 ids, offsets = encode(piece.column("text"), path, end_id)
                 raw = memoryview(ids.astype(f"<u{width}").tobytes())
                 packed = [pack(raw[a * width:b * width]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]

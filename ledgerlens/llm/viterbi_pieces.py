@@ -44,6 +44,7 @@ _BASE = 0x9E3779B97F4A7C15 | 1
 _MASK = (1 << 64) - 1
 _TABLE_BITS = 21
 _STEP = 4096
+_PIECE_BYTES = 8 << 20
 
 
 class Pieces:
@@ -291,32 +292,43 @@ def decode_batch(ids: np.ndarray, offsets: np.ndarray, path: str) -> list[str]:
     return out
 
 
-def _with_column(docs: DataFrame, name: str, kind: str, column: str, fill) -> DataFrame:
-    kept = [f for f in docs.schema if f.name.lower() != name.lower() or f.name == column]
-    names = [f.name for f in kept if f.name != name]
+def _as_bytes(ids: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    raw = memoryview(ids.astype("<u4").tobytes())
+    return pa.array([raw[4 * a:4 * b].tobytes() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())], pa.binary())
+
+
+def _with_columns(docs: DataFrame, new: dict[str, str], column: str, fill) -> DataFrame:
+    """The rows with new columns made of one column, in one pass."""
+    kept = [f for f in docs.schema if f.name.lower() not in new or f.name == column]
+    names = [f.name for f in kept if f.name not in new]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in arrays.pieces(batches, column):
+        for piece in arrays.pieces(batches, column, _PIECE_BYTES):
             columns = [piece.column(n) for n in names]
-            yield pa.RecordBatch.from_arrays([*columns, fill(piece.column(column))], [*names, name])
+            yield pa.RecordBatch.from_arrays([*columns, *fill(piece.column(column))], [*names, *new])
 
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in kept if f.name != name]
-    return docs.select([f.name for f in kept]).mapInArrow(run, ", ".join([*fields, f"{name} {kind}"]))
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in kept if f.name not in new]
+    fields += [f"{name} {kind}" for name, kind in new.items()]
+    return docs.select([f.name for f in kept]).mapInArrow(run, ", ".join(fields))
 
 
 def encode(docs: DataFrame, path: str, text_col: str = "text") -> DataFrame:
     """The rows with `ids`, the ids as little-endian unsigned 32-bit integers in a binary."""
-    def fill(texts: pa.Array) -> pa.Array:
-        ids, offsets = encode_batch(texts, path)
-        raw = memoryview(ids.astype("<u4").tobytes())
-        return pa.array([raw[4 * a:4 * b].tobytes() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())], pa.binary())
-    return _with_column(docs, "ids", "binary", text_col, fill)
+    return _with_columns(docs, {"ids": "binary"}, text_col, lambda texts: [_as_bytes(*encode_batch(texts, path))])
 
 
 def decode(docs: DataFrame, path: str, ids_col: str = "ids") -> DataFrame:
     """The rows with `decoded`, the text that the ids spell."""
-    def fill(ids: pa.Array) -> pa.Array:
+    def fill(ids: pa.Array) -> list[pa.Array]:
         raw = [x or b"" for x in ids.to_pylist()]
         offsets = np.concatenate([[0], np.cumsum([len(x) // 4 for x in raw], dtype=np.int64)])
-        return pa.array(decode_batch(np.frombuffer(b"".join(raw), "<u4").astype(np.int64), offsets, path), pa.string())
-    return _with_column(docs, "decoded", "string", ids_col, fill)
+        return [pa.array(decode_batch(np.frombuffer(b"".join(raw), "<u4").astype(np.int64), offsets, path), pa.string())]
+    return _with_columns(docs, {"decoded": "string"}, ids_col, fill)
+
+
+def round_trip(docs: DataFrame, path: str, text_col: str = "text") -> DataFrame:
+    """The rows with `ids` and with `decoded`, the text that the ids spell, in one pass."""
+    def fill(texts: pa.Array) -> list[pa.Array]:
+        ids, offsets = encode_batch(texts, path)
+        return [_as_bytes(ids, offsets), pa.array(decode_batch(ids, offsets, path), pa.string())]
+    return _with_columns(docs, {"ids": "binary", "decoded": "string"}, text_col, fill)

@@ -90,3 +90,13 @@ def test_components_of_a_path_and_a_star(spark):
     found = {r["node"]: r["component"] for r in rows}
     assert {found[i] for i in range(41)} == {0} and {found[100 + i] for i in range(30)} == {100} and found[501] == 500
     assert len(found) == 41 + 30 + 2
+
+
+def test_sketches_never_rule_out_a_link():
+    rng = np.random.default_rng(2)
+    for n in [1, 2, 9, 31, 33, 100, 700]:
+        for share in (0.8, 0.9, 1.0):
+            x = np.unique(rng.integers(0, 1 << 62, n).astype(np.uint64))
+            y = np.unique(np.concatenate([rng.choice(x, max(1, int(n * share)), replace=False), rng.integers(0, 1 << 62, n // 10).astype(np.uint64)]))
+            apart = len(np.setxor1d(x, y))
+            assert j._bits_apart(j._sketch(x), j._sketch(y)) <= apart

@@ -23,6 +23,8 @@ def test_rows_come_back(spark, docs, no_docs):
     rows = v.decode(v.encode(docs, PATH), PATH).collect()
     assert sorted(r["decoded"] for r in rows) == sorted(t or "" for _, t, _ in ROWS)
     assert all(r["size"] == "clash" and len(bytes(r["ids"])) % 4 == 0 for r in rows)
+    both = v.round_trip(docs, PATH).collect()
+    assert sorted((bytes(r["ids"]), r["decoded"]) for r in both) == sorted((bytes(r["ids"]), r["decoded"]) for r in rows)
     assert v.decode(v.encode(no_docs, PATH), PATH).collect() == []
 
 
