@@ -54,7 +54,7 @@ def sentence_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Documents as piece ids, with whether decoding gives the text back."""
     model = public_tokenizers.path("piece_bpe_32k.model")
     rows = docs.select("doc_id", "lang", "source", F.coalesce("text", F.lit("")).alias("text"))
-    back = viterbi_pieces.decode(viterbi_pieces.encode(rows, model), model)
+    back = viterbi_pieces.round_trip(rows, model)
     return back.select(
         "doc_id", "lang", "source", "ids", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         (F.col("decoded") == F.col("text")).alias("exact"))
