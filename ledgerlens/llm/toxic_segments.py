@@ -29,6 +29,7 @@ score is 0. Repeated rows each get a score. Only the named columns are read.
 
 from __future__ import annotations
 
+import math
 import string
 import zlib
 from collections.abc import Iterator
@@ -36,7 +37,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import arrays
@@ -164,6 +165,17 @@ def logistic(x: np.ndarray, weight: np.ndarray, label: np.ndarray) -> np.ndarray
     return beta
 
 
+def surprise(log_expected: Column) -> Column:
+    """Bits of a chance segment as good, of which exp(log_expected) are expected; 40 at most.
+
+    Below e**-20 the chance of one equals the number expected, so the bits are taken
+    from its logarithm: the number itself becomes 0 for strong texts.
+    """
+    few = -log_expected / math.log(2)
+    return F.least(F.lit(40.0), F.greatest(F.lit(0.0), F.when(log_expected < -20, few).otherwise(
+        -F.log2(-F.expm1(-F.exp(log_expected))))))
+
+
 def score_texts(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
                 fold: int = 5, training_rows: int = 100_000, bits: int = 20, prior: float = 5000.0, z: float = 3.0,
                 drift: float = 0.05, chance: float = 0.05) -> DataFrame:
@@ -182,11 +194,11 @@ def score_texts(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
         F.count("*"), F.sum(F.col("n_tokens") * F.exp(-rate * F.col("best")))).first()
     k = clean[0] / clean[1] if clean[1] else 1.0
 
-    def expected(score):
-        return k * F.col("n_tokens") * F.exp(-rate * score)
+    def log_expected(score):
+        return F.log(k * F.col("n_tokens")) - rate * score
 
-    passages = F.filter("segments", lambda s: expected(s["score"]) < chance)
-    bits_of_best = F.when(F.col("best") > 0, F.least(F.lit(40.0), F.greatest(F.lit(0.0), -F.log2(-F.expm1(-expected(F.col("best")))))))
+    passages = F.filter("segments", lambda s: log_expected(s["score"]) < math.log(chance))
+    bits_of_best = F.when(F.col("best") > 0, surprise(log_expected(F.col("best"))))
     evidence = [F.round(F.coalesce(bits_of_best, F.lit(0.0)), 1), F.log1p(F.least(F.size("passages"), F.lit(100)).cast("double"))]
     rows = rows.withColumn("passages", passages).withColumn("x1", evidence[0]).withColumn("x2", evidence[1])
 

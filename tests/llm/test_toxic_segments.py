@@ -1,7 +1,9 @@
+import math
 import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerlens.llm import toxic_segments as t
 from tests.llm.conftest import ROWS
@@ -77,6 +79,23 @@ def test_held_out_accuracy_and_passages(corpus):
             assert {"fool,", "Rotten", "vile."} & set(words)
 
 
+def test_the_strongest_texts_keep_their_evidence(spark, corpus):
+    """So many toxic words that the expected number of chance segments is 0 as a double."""
+    texts, labels = corpus
+    long = [(5001, "fool, Rotten vile. " * 1500), (5002, "w1 w2 w3 " * 200 + "vile. fool, " * 300), (5003, "w1 w2 w3 " * 1500)]
+    rows = t.score_texts(texts.union(spark.createDataFrame(long, texts.schema)), labels, prior=500.0).collect()
+    score = {r["doc_id"]: r["score"] for r in rows}
+    assert score[5001] > 0.9 and score[5002] > 0.9 and score[5003] < 0.5
+
+
+def test_surprise_in_bits(spark):
+    logs = [-1e6, -800.0, -745.0, -27.0, -20.1, -19.9, -1.0, 0.0, 5.0, 800.0]
+    rows = spark.createDataFrame([(x,) for x in logs], "x double").select("x", t.surprise(F.col("x")).alias("bits")).collect()
+    for r in rows:
+        chance = -math.expm1(-math.exp(min(r["x"], 700.0)))
+        assert r["bits"] == pytest.approx(min(40.0, -math.log2(chance)) if chance > 0 else 40.0, rel=1e-6, abs=1e-9)
+
+
 def test_held_out_labels_are_not_used(spark, corpus):
     texts, labels = corpus
     other = labels.selectExpr("doc_id", "CASE WHEN crc32(CAST(CAST(doc_id AS STRING) AS BINARY)) % 5 = 0 THEN 1 - toxic ELSE toxic END AS toxic")
