@@ -1,8 +1,13 @@
+import random
 import re
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
+from ledgerlens.llm import arrays
 from ledgerlens.llm import fertility as f
 from tests.llm.conftest import CLASHES, ROWS, sentence
 
@@ -49,3 +54,40 @@ def test_odd_texts_fall_outside_the_band(spark):
     kept = {r["doc_id"]: r["kept"] for r in rows.collect()}
     assert all(kept[i] for i in kept if i < 100)
     assert not kept.get(100, False) and not kept[101]
+
+
+#: Syllables of four languages, so that texts of a language are alike in how often a vocabulary splits their words.
+SYLLABLES = {
+    "en": "the and ing ion er re an st ble sh th on es in ha".split(),
+    "de": "der und ein ge be ver ung heit ich sch en er lich auf zu".split(),
+    "fr": "le la que eau tion elle re en eux ier oi on au ment é".split(),
+    "es": "el la que ción ado os as re men te lo un ía ó do".split()}
+
+
+def prose(rng, lang, n):
+    return ["".join(rng.choices(SYLLABLES[lang], k=rng.choice([1, 1, 2, 2, 3]))) for _ in range(n)]
+
+
+def test_littered_texts_of_every_language_and_length(spark):
+    """Signs after every word fail, short or long; clean texts, also with one long secret, pass."""
+    rng, rows, odd = random.Random(4), [], set()
+    for lang in SYLLABLES:
+        for i in range(150):
+            rows.append((len(rows), " ".join(prose(rng, lang, rng.choice([60, 100, 300, 800]))), lang))
+        for n in (60, 100, 300, 2000):
+            odd.add(len(rows))
+            rows.append((len(rows), " ".join(w + rng.choice(["&&&", "$$$", "%%%", "***"]) for w in prose(rng, lang, n)), lang))
+            secret = "".join(rng.choices("0123456789abcdef", k=40))
+            rows.append((len(rows), " ".join([*prose(rng, lang, n), secret]), lang))
+    got = f.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string")).where(~F.col("base_failed")).collect()
+    assert odd <= {r["doc_id"] for r in got}
+    assert [r["doc_id"] for r in got if r["kept"] and r["doc_id"] in odd] == []
+    wrong = [r["doc_id"] for r in got if not r["kept"] and r["doc_id"] not in odd]
+    assert len(wrong) <= 0.02 * len(got)
+
+
+def test_standard_errors():
+    words = arrays.split(pa.array(["a bb ccc", "", "a a a"]))
+    sizes = pc.utf8_length(words.vocab).to_numpy(zero_copy_only=False).astype(np.int64)
+    value, err = f.ratio(words, sizes, np.ones(len(sizes), np.int64))
+    assert np.allclose(value, [2, 0, 1]) and np.allclose(err, [np.sqrt(2) / 3, 0, 0])
