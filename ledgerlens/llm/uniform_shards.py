@@ -13,9 +13,13 @@
 The driver sees one count for each block: `blocks` numbers, whatever the input.
 Everything else is DataFrame expressions.
 
+Whole rows move: through the deal into shards, through the second permutation, and
+into the shards' files, one folder for each shard. Sizes and checksums of the result
+are those of the texts read back from the files.
+
 Rows with a null id or text are ordinary rows (a null text has size 8 and the
 checksum of no bytes). Repeated rows keep one slot each. An empty table gives no
-rows. Only the two named columns are read, so other columns may have any name.
+rows. Columns may have any name, as rows travel as one struct.
 """
 
 from __future__ import annotations
@@ -27,8 +31,10 @@ from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ledgerlens.operators.sizing import written
+from ledgerlens.session import work_folder
 
 
 def hypergeometric(rng: random.Random, good: int, bad: int, draws: int) -> int:
@@ -83,31 +89,29 @@ def communication_matrix(block_rows: list[int], shards: int, seed: int) -> list[
     return matrix
 
 
-def uniform_shards(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shards: int = 24,
-                   blocks: int = 512, cells: int = 64, seed: int = 20) -> DataFrame:
-    """id, size, text_crc32, shard and slot of every row; slots are gapless from 0 in a shard."""
+def write_shards(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col: str = "text", shards: int = 24,
+                 blocks: int = 512, cells: int = 64, seed: int = 20) -> None:
+    """Writes every row, as a struct `row`, with its slot to the files of its shard; slots are gapless from 0 in a shard."""
     spark = docs.sparkSession
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(
-        F.col(id_col).alias("id"),
-        (F.octet_length(text) + F.lit(8)).cast("long").alias("size"),
-        F.crc32(text.cast("binary")).alias("text_crc32"))
 
     def drawn(step: int) -> Column:
         return F.xxhash64(F.lit(seed * 1000 + step), F.col("id"), F.col("text_crc32"))
 
-    rows = written(rows.withColumn("block", F.pmod(drawn(0), F.lit(blocks)).cast("int")), "shard-rows")
+    rows = docs.select(
+        F.struct(*docs.columns).alias("row"), F.col(id_col).alias("id"), F.crc32(text.cast("binary")).alias("text_crc32"))
+    rows = rows.withColumn("block", F.pmod(drawn(0), F.lit(blocks)).cast("int"))
     counts = sorted((r["block"], r["count"]) for r in rows.groupBy("block").count().collect())
     matrix = communication_matrix([n for _, n in counts], shards, seed)
     bounds = json.dumps([{"block": b, "bounds": list(accumulate(row))} for (b, _), row in zip(counts, matrix)])
     plan = spark.range(1).select(F.inline(F.from_json(
         F.lit(bounds), "array<struct<block:int,bounds:array<bigint>>>")))
 
-    inside = Window.partitionBy("block").orderBy(drawn(1), "id", "text_crc32", "size")
+    inside = Window.partitionBy("block").orderBy(drawn(1), "id", "text_crc32")
     dealt = (
         rows.withColumn("place", F.row_number().over(inside))
         .join(plan, "block")
-        .select("id", "size", "text_crc32",
+        .select("row", "id", "text_crc32",
                 F.size(F.filter("bounds", lambda upto: upto < F.col("place"))).alias("shard"),
                 F.pmod(drawn(2), F.lit(cells)).cast("int").alias("cell")))
     dealt = written(dealt, "shard-dealt")
@@ -117,9 +121,28 @@ def uniform_shards(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         F.coalesce(F.sum("count").over(
             Window.partitionBy("shard").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)),
             F.lit(0)).alias("first"))
-    again = Window.partitionBy("shard", "cell").orderBy(drawn(3), "id", "text_crc32", "size")
-    return (
+    again = Window.partitionBy("shard", "cell").orderBy(drawn(3), "id", "text_crc32")
+    (
         dealt.withColumn("place", F.row_number().over(again))
         .join(firsts, ["shard", "cell"])
-        .select(F.col("id").alias(id_col), "size", "text_crc32", "shard",
-                (F.col("first") + F.col("place") - 1).alias("slot")))
+        .select("shard", (F.col("first") + F.col("place") - 1).alias("slot"), "row")
+        .write.partitionBy("shard").parquet(folder))
+
+
+def read_shards(docs: DataFrame, folder: str) -> DataFrame:
+    """shard, slot and row (a struct of the columns of `docs`) of all that the shards' files hold."""
+    shape = StructType().add("slot", "long").add("row", docs.schema).add("shard", "integer")
+    return docs.sparkSession.read.schema(shape).parquet(folder)
+
+
+def uniform_shards(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shards: int = 24,
+                   blocks: int = 512, cells: int = 64, seed: int = 20) -> DataFrame:
+    """id, text, size, text_crc32, shard and slot of every row, as read back from the shards' files."""
+    folder = work_folder(docs.sparkSession, "shards")
+    write_shards(docs, folder, id_col, text_col, shards, blocks, cells, seed)
+    row = F.col("row")
+    text = F.coalesce(row[text_col], F.lit(""))
+    return read_shards(docs, folder).select(
+        row[id_col].alias(id_col), row[text_col].alias(text_col),
+        (F.octet_length(text) + F.lit(8)).cast("long").alias("size"),
+        F.crc32(text.cast("binary")).alias("text_crc32"), "shard", "slot")

@@ -2,7 +2,7 @@ import random
 import zlib
 from collections import Counter
 
-from ledgerlens.llm.uniform_shards import communication_matrix, hypergeometric, uniform_shards
+from ledgerlens.llm.uniform_shards import communication_matrix, hypergeometric, read_shards, uniform_shards, write_shards
 from tests.llm.conftest import ROWS
 
 
@@ -22,6 +22,22 @@ def test_every_row_has_a_slot(docs):
     assert Counter((r["doc_id"], r["size"], r["text_crc32"]) for r in rows) == want
 
 
+def test_shards_hold_the_whole_rows(docs, tmp_path):
+    """Every column of every row comes back from the shards' files; shards are folders of their own."""
+    folder = str(tmp_path / "shards")
+    write_shards(docs, folder, shards=5)
+    rows = read_shards(docs, folder).collect()
+    check(rows, len(ROWS), 5)
+    assert Counter(tuple(r["row"]) for r in rows) == Counter(map(tuple, docs.collect()))
+    assert {p.name for p in (tmp_path / "shards").glob("shard=*")} == {f"shard={s}" for s in range(5)}
+
+
+def test_the_result_has_the_texts(docs):
+    rows = uniform_shards(docs, shards=5).collect()
+    assert Counter((r["doc_id"], r["text"]) for r in rows) == Counter((i, t) for i, t, _ in ROWS)
+    assert all(r["text_crc32"] == zlib.crc32((r["text"] or "").encode()) for r in rows)
+
+
 def test_same_rows_same_places(docs):
     one = uniform_shards(docs.repartition(1), shards=5).collect()
     two = uniform_shards(docs.repartition(7), shards=5).collect()
