@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import string
+
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import blob_ledger, capture_index, combination_join, contamination, fertility, markov_lm, token_store, toxic_segments, uniform_shards, viterbi_pieces
+from ledgerlens.llm import blob_ledger, capture_index, combination_join, contamination, fertility, markov_lm, merkle_manifest, token_store, toxic_segments, uniform_shards, viterbi_pieces
 from ledgerlens.session import work_folder
 
 
@@ -95,7 +97,21 @@ def op10_hidden_markov(spark: SparkSession, folder: str) -> DataFrame:
     return markov_lm.score_texts(_read(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_files, op2_fertility, op3_uniform_shuffle, op4_toxic_passages, op5_capture_index, op6_contamination, op7_sentence_pieces, op8_secret_ledger, op9_ngram_join, op10_hidden_markov)}
+def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Proofs of all documents, and what they say of a table in which a third of the texts was lower-cased."""
+    columns = ("doc_id", "source", "lang", "n_chars", "text")
+    lowered = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    text = F.when(tampered, lowered).otherwise(F.col("text"))
+    claimed = merkle_manifest.digest(*[text if c == "text" else F.col(c) for c in columns])
+    proofs = merkle_manifest.prove(_read(spark, folder, "documents"), columns=columns, carry={"claimed": claimed})
+    found = proofs.withColumn("folded_root", merkle_manifest.folded(F.col("claimed"), F.col("path")))
+    return found.select(
+        F.col("id").alias("doc_id"), "leaf", "subroot", "root", merkle_manifest.siblings_digest(F.col("path")).alias("proof_sha256"),
+        "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+QUERIES = {f.__name__: f for f in (op1_token_files, op2_fertility, op3_uniform_shuffle, op4_toxic_passages, op5_capture_index, op6_contamination, op7_sentence_pieces, op8_secret_ledger, op9_ngram_join, op10_hidden_markov, op11_merkle_manifest)}
 
 #: The distinct shingles of a table: five words, or all words where there are fewer.
 _SHINGLES = r"""
@@ -106,7 +122,62 @@ _SHINGLES = r"""
                 FROM {table})
           WHERE len(w) > 0)"""
 
+#: H of the named values.
+def _digest_sql(*values: str) -> str:
+    entries = " || ".join(f"coalesce(strlen({v}::VARCHAR) || ':' || {v}::VARCHAR, '-')" for v in values)
+    return f"sha256({entries})"
+
+
+#: The nodes of the trees over `rows` (part, i, h): part, level, i, h, and n nodes on the level.
+_TREE = """
+    SELECT part, 0 AS level, i, h, count(*) OVER (PARTITION BY part) AS n FROM {rows}
+    UNION ALL
+    SELECT part, level + 1, i // 8, sha256(string_agg('64:' || h, '' ORDER BY i)), (n + 7) // 8
+    FROM {nodes} WHERE n > 1 GROUP BY part, level, i // 8, n"""
+
+#: The left and the right siblings of each row of `rows` (key, part, i) on every level below the root.
+_STEPS = """
+    SELECT r.key, t.level, coalesce(string_agg('64:' || t.h, '' ORDER BY t.i) FILTER (WHERE t.i < r.i >> 3 * t.level), '') AS l,
+           coalesce(string_agg('64:' || t.h, '' ORDER BY t.i) FILTER (WHERE t.i > r.i >> 3 * t.level), '') AS r
+    FROM {rows} r JOIN {nodes} t ON r.part IS NOT DISTINCT FROM t.part AND t.i >> 3 = r.i >> 3 * t.level + 3
+    WHERE t.n > 1 GROUP BY r.key, t.level"""
+
 SQL: dict[str, str] = {
+    "op11_merkle_manifest": f"""
+        WITH RECURSIVE crc AS (
+            SELECT doc_id, xor(4294967295::UBIGINT, list_reduce(
+                [4294967295::UBIGINT] || [ascii(b)::UBIGINT FOR b IN string_split(doc_id::VARCHAR, '')],
+                lambda c, b: list_reduce([xor(c, b)] || [0::UBIGINT FOR k IN range(8)],
+                    lambda x, z: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384::UBIGINT) ELSE x >> 1 END))) AS crc
+            FROM documents),
+        docs AS (
+            SELECT doc_id AS key, lang AS part, {_digest_sql("doc_id", "source", "lang", "n_chars", "text")} AS h,
+                   CASE WHEN crc % 3 = 0 THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')
+                        ELSE text END AS tampered,
+                   {_digest_sql("doc_id", "source", "lang", "n_chars", "tampered")} AS claimed,
+                   row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS i
+            FROM documents JOIN crc USING (doc_id)),
+        nodes AS ({_TREE.format(rows="docs", nodes="nodes")}),
+        subroots AS (SELECT part AS key, 0 AS part, h, row_number() OVER (ORDER BY part NULLS FIRST) - 1 AS i FROM nodes WHERE n = 1),
+        tops AS ({_TREE.format(rows="subroots", nodes="tops")}),
+        low AS ({_STEPS.format(rows="docs", nodes="nodes")}),
+        high AS ({_STEPS.format(rows="subroots", nodes="tops")}),
+        steps AS (
+            SELECT key, row_number() OVER (PARTITION BY key ORDER BY tree, level) AS k, l, r FROM (
+                SELECT key, 0 AS tree, level, l, r FROM low
+                UNION ALL
+                SELECT d.key, 1, level, l, r FROM docs d JOIN high s ON d.part IS NOT DISTINCT FROM s.key)),
+        folds AS (
+            SELECT key, 0 AS k, claimed AS h FROM docs
+            UNION ALL
+            SELECT f.key, f.k + 1, sha256(s.l || '64:' || f.h || s.r) FROM folds f JOIN steps s ON s.key = f.key AND s.k = f.k + 1),
+        ends AS (SELECT key, max_by(h, k) AS folded_root FROM folds GROUP BY key),
+        proofs AS (SELECT key, sha256(string_agg(l || r, '' ORDER BY k)) AS proof FROM steps GROUP BY key)
+        SELECT d.key AS doc_id, d.h AS leaf, s.h AS subroot, t.h AS root, coalesce(proof, sha256('')) AS proof_sha256,
+               folded_root, folded_root = t.h AS verified
+        FROM docs d JOIN subroots s ON d.part IS NOT DISTINCT FROM s.key JOIN tops t ON t.n = 1
+        JOIN ends e ON e.key = d.key LEFT JOIN proofs p ON p.key = d.key""",
+
     "op6_contamination": f"""
         WITH d AS ({_SHINGLES.format(id="doc_id", table="documents")}),
         i AS ({_SHINGLES.format(id="item_id", table="benchmark")}),
