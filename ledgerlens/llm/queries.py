@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import blob_ledger, capture_index, combination_join, contamination, fertility, markov_lm, merkle_manifest, token_store, toxic_segments, uniform_shards, viterbi_pieces
+from ledgerlens.llm import blob_ledger, capture_index, combination_join, contamination, fertility, markov_lm, merkle_manifest, token_store, toxic_segments, uniform_shards, viterbi_pieces, window_packing
+from ledgerlens.operators.sizing import written
 from ledgerlens.session import work_folder
 
 
@@ -111,7 +112,15 @@ def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
         "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_files, op2_fertility, op3_uniform_shuffle, op4_toxic_passages, op5_capture_index, op6_contamination, op7_sentence_pieces, op8_secret_ledger, op9_ngram_join, op10_hidden_markov, op11_merkle_manifest)}
+def op12_window_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents in sequences of at most 1024 tokens, written, and their pieces read back."""
+    sequences = written(window_packing.pack(
+        _read(spark, folder, "documents"), tokenizer=public_tokenizers.path("byte_bpe_50k.json"), end_id=0, window=1024), "sequences")
+    return window_packing.read_pieces(sequences).select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+QUERIES = {f.__name__: f for f in (op1_token_files, op2_fertility, op3_uniform_shuffle, op4_toxic_passages, op5_capture_index, op6_contamination, op7_sentence_pieces, op8_secret_ledger, op9_ngram_join, op10_hidden_markov, op11_merkle_manifest, op12_window_packing)}
 
 #: The distinct shingles of a table: five words, or all words where there are fewer.
 _SHINGLES = r"""

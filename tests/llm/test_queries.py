@@ -37,7 +37,7 @@ def test_all_rows(spark, name):
 
 
 def test_one_query_an_operator():
-    assert sorted(int(q[2:].split("_")[0]) for q in queries() if q.startswith("op")) == list(range(1, 12))
+    assert sorted(int(q[2:].split("_")[0]) for q in queries() if q.startswith("op")) == list(range(1, 13))
     assert "pipeline" in queries()
 
 
