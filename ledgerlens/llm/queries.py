@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import blob_ledger, capture_index, combination_join, contamination, fertility, markov_lm, merkle_manifest, token_store, toxic_segments, uniform_shards, viterbi_pieces, window_packing
+from ledgerlens.llm import blob_ledger, capture_index, combination_join, contamination, fertility, markov_lm, merkle_manifest, token_store, toxic_segments, uniform_shards, viterbi_pieces, whitening, window_packing
 from ledgerlens.operators.sizing import written
 from ledgerlens.session import work_folder
 
@@ -120,7 +120,12 @@ def op12_window_packing(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
-QUERIES = {f.__name__: f for f in (op1_token_files, op2_fertility, op3_uniform_shuffle, op4_toxic_passages, op5_capture_index, op6_contamination, op7_sentence_pieces, op8_secret_ledger, op9_ngram_join, op10_hidden_markov, op11_merkle_manifest, op12_window_packing)}
+def op13_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """Embeddings on their leading 32 principal components, whitened."""
+    return whitening.whiten(_read(spark, folder, "embeddings"), most=32, scale=64, shift=1_000_000).withColumnRenamed("id", "vec_id")
+
+
+QUERIES = {f.__name__: f for f in (op1_token_files, op2_fertility, op3_uniform_shuffle, op4_toxic_passages, op5_capture_index, op6_contamination, op7_sentence_pieces, op8_secret_ledger, op9_ngram_join, op10_hidden_markov, op11_merkle_manifest, op12_window_packing, op13_embedding_whitening)}
 
 #: The distinct shingles of a table: five words, or all words where there are fewer.
 _SHINGLES = r"""
