@@ -11,7 +11,7 @@ from ledgerlens.catalog.bindings import (
 from ledgerlens.catalog.registry import REGISTRY, query
 from ledgerlens.operators import alerts
 from ledgerlens.session import ROCKSDB, STATE_STORE, work_folder
-from ledgerlens.streaming import alerts as stream_alerts, feedback as stream_feedback, scoring, telemetry
+from ledgerlens.streaming import alerts as stream_alerts, feedback as stream_feedback, scoring, signals, telemetry
 from ledgerlens.streaming.io import latest_state, read_batches, start_table, stream_lines, stream_parquet
 
 
@@ -19,6 +19,18 @@ def events_stream(t):
     return stream_parquet(t.spark, t.folder, t.events.schema, "events.parquet")
 
 
+def event_files(t, folder, files, late):
+    """The events as files in order of time, one stream batch each; rows that are `late` come with the file after their own."""
+    edges = t.events.select(F.percentile_approx(F.unix_micros(F.col("ts").cast("timestamp")), F.array(*[
+        F.lit(i / files) for i in range(1, files)]), 10_000).alias("edges"))
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    rows = t.events.crossJoin(F.broadcast(edges))  # one row of edges
+    number = F.size(F.filter("edges", lambda e: e < at))
+    number = F.least(number + F.when(late, 1).otherwise(0), F.lit(files - 1))
+    for i in range(files):
+        rows.where(number == i).select(t.events.columns).coalesce(1).write.mode("append").parquet(f"{folder}/events")
+
+
 def run_table(t, stream, purpose, mode="append"):
     """Run a stream to its end into batch folders and return all written rows."""
     folder = work_folder(t.spark, purpose)
@@ -103,13 +115,29 @@ def stream_feedback_drift(t):
     return read_batches(t.spark, f"{folder}/out").drop("batch_id")
 
 
-@query("stream_alert_transitions", "T9", REGISTRY["alert_transitions"].sql)
-def stream_alert_transitions(t):
-    conditions = alerts.rule_conditions(tq.signals(t), alerts.default_rules())
-    folder = work_folder(t.spark, "conditions")
-    conditions.write.parquet(folder)
-    ticks = stream_parquet(t.spark, folder, conditions.schema)
+def signal_stream(t):
+    """Signals of the request stream over five files of events and a last clock row."""
+    folder = work_folder(t.spark, "log")
+    event_files(t, folder, 5, late=F.lit(False))
+    # a last file with a row that has a time only, just behind the last tick, lets the watermark pass that
+    last = t.events.agg(F.max(alerts.tick_number(F.col("ts"))).alias("tick_no"))
+    clock = F.timestamp_seconds(F.col("tick_no") * alerts.TICK_SECONDS + 601).cast("timestamp_ntz")
+    last.select(*[(clock if f.name == "ts" else F.lit(None).cast(f.dataType)).alias(f.name) for f in t.events.schema]).coalesce(1).write.mode(
+        "append").parquet(f"{folder}/events")
+    rows = stream_parquet(t.spark, f"{folder}/events", t.events.schema, files_per_batch=1)
+    events, ticking = rows.where("event_id IS NOT NULL"), rows.where("event_id IS NULL").select("ts")
     t.spark.conf.set(STATE_STORE, ROCKSDB)  # a session not made by build_session may lack it
-    return run_table(t, stream_alerts.alert_transition_stream(ticks), "alerts").drop("batch_id")
+    return signals.service_signal_stream(
+        signals.service_log(request_columns(events), push_columns(events), ticking), late="10 minutes")
 
 
+@query("stream_service_signals", "T9, T5, T6, W11", REGISTRY["service_signals"].sql)
+def stream_service_signals(t):
+    return tq.signals_per_hour(run_table(t, signal_stream(t), "signals"))
+
+
+@query("stream_alert_transitions", "T9", REGISTRY["alert_transitions"].sql)
+def stream_alert_transitions(t):
+    """From requests to changes of alert states in one stream."""
+    conditions = alerts.rule_conditions(signal_stream(t), alerts.default_rules())
+    return run_table(t, stream_alerts.alert_transition_stream(conditions), "alerts").drop("batch_id")

@@ -9,7 +9,8 @@ from ledgerlens.catalog.bindings import (
 )
 from ledgerlens.catalog.registry import query
 from ledgerlens.config import BATCH_SIZE_BOUNDS, LATENCY_BOUNDS
-from ledgerlens.operators import alerts, runs as run_ops, telemetry
+from ledgerlens.operators import alerts, notify, runs as run_ops, telemetry
+from ledgerlens.operators.sizing import written
 
 DAY_TICKS = telemetry.DAY // alerts.TICK_SECONDS
 
@@ -246,7 +247,11 @@ WITH {_PANES} SELECT CAST(tick_no // 240 AS BIGINT) AS hour_no, count(*) AS n, m
   CAST(max(model_switches_1h) AS BIGINT) AS switches, CAST(min(feedback_24h) AS BIGINT) AS feedback, min(test_f1_macro) AS test_f1, max(training_duration_seconds) AS seconds
 FROM signals GROUP BY 1""")
 def service_signals(t):
-    return signals(t).groupBy(F.floor(F.col("tick_no") / 240).alias("hour_no")).agg(
+    return signals_per_hour(signals(t))
+
+
+def signals_per_hour(ticks):
+    return ticks.groupBy(F.floor(F.col("tick_no") / 240).alias("hour_no")).agg(
         F.count("*").alias("n"), F.max("error_rate").alias("error_rate"), F.round(F.max("latency_p95"), 9).alias("p95"),
         F.round(F.max("latency_p99"), 9).alias("p99"), F.max("model_switches_1h").alias("switches"), F.min("feedback_24h").alias("feedback"),
         F.min("test_f1_macro").alias("test_f1"), F.max("training_duration_seconds").alias("seconds"))
@@ -276,16 +281,100 @@ def now_firing(t):
     return alerts.now_firing(states(t))
 
 
-@query("alert_notices", "T10", f"""
-WITH {ALERTS}, b AS (SELECT *, firing_from * 15 + 30 AS first, coalesce(resolved_at, (SELECT max(tick_no) FROM spine) + 1) * 15 AS until FROM intervals),
-k AS (SELECT * FROM b WHERE resolved_at IS NULL OR first < until)
-SELECT alertname, severity, 'firing' AS kind, unnest(range(first, greatest(first, until - 1) + 1, 900)) AS at_seconds FROM k
-UNION ALL SELECT alertname, severity, 'resolved', first + (until - first + 299) // 300 * 300 FROM k WHERE resolved_at IS NOT NULL""")
+def notices_sql(stretches: str, end: str) -> str:
+    """Flush by flush: the rule of notification groups over stretches (alertname, severity, member, f, e), e null while it fires.
+
+    A row is a flush: its time, the members shown and gone, what the last notice named and when it was sent.
+    """
+    fires = "s.alertname = n.alertname AND s.severity = n.severity AND s.f <= n.moment AND coalesce(s.e, n.moment + 1) > n.moment"
+    return f"""
+s AS ({stretches}),
+finish AS (SELECT {end} AS finish),
+flushes(alertname, severity, moment, shown, gone, alive, named, sent_at, sent) AS (
+  SELECT alertname, severity, CAST(-1 AS BIGINT), CAST([] AS VARCHAR[]), CAST([] AS VARCHAR[]), false, CAST([] AS VARCHAR[]), CAST(NULL AS BIGINT), false
+  FROM (SELECT DISTINCT alertname, severity FROM s)
+  UNION ALL
+  SELECT alertname, severity, moment, shown, gone, alive, CASE WHEN NOT alive THEN CAST([] AS VARCHAR[]) WHEN sent THEN shown ELSE named END,
+         CASE WHEN NOT alive THEN NULL WHEN sent THEN moment ELSE sent_at END, sent
+  FROM (
+    SELECT *, NOT list_has_all(named, shown) OR len(gone) > 0 OR (len(shown) > 0 AND moment - coalesce(sent_at, moment) >= 900) AS sent
+    FROM (
+      SELECT n.alertname, n.severity, n.moment, n.named, n.sent_at, len(firing) > 0 AS alive, list_filter(n.named, lambda m: NOT list_contains(firing, m)) AS gone,
+             CASE WHEN n.severity = 'warning' AND EXISTS (SELECT 1 FROM s c WHERE c.severity = 'critical' AND c.alertname = n.alertname AND c.f <= n.moment AND coalesce(c.e, n.moment + 1) > n.moment)
+                  THEN CAST([] AS VARCHAR[]) ELSE firing END AS shown
+      FROM (
+        SELECT n.*, coalesce((SELECT list(member) FROM s WHERE {fires}), CAST([] AS VARCHAR[])) AS firing
+        FROM (
+          SELECT alertname, severity, named, sent_at, CASE WHEN alive THEN moment + 300 ELSE 30 + (
+                   SELECT min(f) FROM s WHERE s.alertname = flushes.alertname AND s.severity = flushes.severity AND s.f > flushes.moment) END AS moment
+          FROM flushes) n
+        WHERE n.moment < (SELECT finish FROM finish)) n)))"""
+
+
+@query("alert_notices", "T10, T11", f"""
+WITH RECURSIVE {ALERTS}, {notices_sql("SELECT alertname, severity, '' AS member, firing_from * 15 AS f, resolved_at * 15 AS e FROM intervals",
+                                      "(SELECT (max(tick_no) + 1) * 15 FROM spine)")}
+SELECT alertname, severity, CASE WHEN len(shown) > 0 THEN 'firing' ELSE 'resolved' END AS kind, moment AS at_seconds FROM flushes WHERE sent""")
 def alert_notices(t):
-    rows = states(t)
+    rows = written(states(t), "states")
     return alerts.notices(alerts.firing_intervals(rows), end_tick=rows.agg(F.max("tick_no")).scalar())
 
 
+# slow and failing requests as stretches of alerts: of one name and severity for many users, warnings and critical ones at once
+_STRETCHES = """
+  SELECT event_type AS alertname, CASE WHEN value > 100 THEN 'critical' ELSE 'warning' END AS severity, 'user' || (user_id % 7) AS member,
+         epoch_us(ts) // 1000000 AS f, CASE WHEN value <= 200 THEN epoch_us(ts) // 1000000 + CAST(floor(value * 20) AS BIGINT) END AS e
+  FROM events WHERE value > 60"""
+# overlapping stretches of one member are one
+_JOINED = f"""raw AS ({_STRETCHES}),
+reach AS (SELECT *, max(coalesce(e, 99999999999)) OVER (PARTITION BY alertname, severity, member ORDER BY f, coalesce(e, 99999999999) ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS far FROM raw),
+named AS (SELECT *, sum(CASE WHEN far IS NULL OR f > far THEN 1 ELSE 0 END) OVER (PARTITION BY alertname, severity, member ORDER BY f, coalesce(e, 99999999999)) AS k FROM reach),
+joined AS (SELECT alertname, severity, member, min(f) AS f, nullif(max(coalesce(e, 99999999999)), 99999999999) AS e FROM named GROUP BY alertname, severity, member, k)"""
+_END = "(SELECT epoch_us(max(ts)) // 1000000 + 1 FROM events)"
+
+
+def member_stretches(t):
+    """Requests over 0.6 s as stretches of a member; the slowest still last."""
+    at = F.expr("unix_micros(cast(ts AS timestamp)) div 1000000")
+    return t.events.where("value > 60").select(
+        F.col("event_type").alias("alertname"), F.when(F.col("value") > 100, "critical").otherwise("warning").alias("severity"),
+        F.concat(F.lit("user"), (F.col("user_id") % 7).cast("string")).alias("member"), at.alias("fires_at"),
+        F.when(F.col("value") <= 200, at + F.floor(F.col("value") * 20)).alias("ends_at"))
+
+
+def log_end(t):
+    return t.events.agg((F.expr("unix_micros(cast(max(ts) AS timestamp)) div 1000000") + 1)).scalar()
+
+
+@query("grouped_notices", "T10, T11, J8", f"""
+WITH RECURSIVE {_JOINED}, {notices_sql("SELECT * FROM joined", _END)}
+SELECT alertname, severity, moment AS at_seconds, CASE WHEN len(shown) > 0 THEN 'firing' ELSE 'resolved' END AS kind,
+       array_to_string(list_sort(shown), ',') AS firing, array_to_string(list_sort(gone), ',') AS resolved FROM flushes WHERE sent""")
+def grouped_notices(t):
+    """Groups of several members, warnings silent while a critical alert of the same name fires."""
+    stretches = written(notify.joined_stretches(member_stretches(t), ["alertname", "severity", "member"]), "members")
+    hidden = notify.inhibited_time(stretches, log_end(t))
+    sent = notify.group_notices(stretches, log_end(t), hidden)
+    return sent.withColumns({c: F.array_join(c, ",") for c in ("firing", "resolved")})
+
+
+@query("shown_time", "T11, J8", f"""
+WITH {_JOINED},
+closed AS (SELECT alertname, severity, member, f, coalesce(e, {_END}) AS e FROM joined),
+seconds AS (
+  SELECT w.alertname, w.severity, w.member, unnest(range(w.f, w.e)) AS moment FROM closed w WHERE severity = 'warning'
+  EXCEPT SELECT w.alertname, w.severity, w.member, unnest(range(greatest(w.f, c.f), least(w.e, c.e))) FROM closed w JOIN closed c USING (alertname, member)
+  WHERE w.severity = 'warning' AND c.severity = 'critical'),
+numbered AS (SELECT *, moment - row_number() OVER (PARTITION BY alertname, severity, member ORDER BY moment) AS island FROM seconds)
+SELECT alertname, severity, member, min(moment) AS fires_at, max(moment) + 1 AS ends_at FROM numbered GROUP BY alertname, severity, member, island""")
+def shown_time(t):
+    """Warnings without the time in which a critical alert of the same name and member fires, against single seconds."""
+    labels = ["alertname", "severity", "member"]
+    stretches = written(notify.joined_stretches(member_stretches(t), labels), "members")
+    left = notify.shown_time(stretches, log_end(t), ["alertname", "member"], labels)
+    return left.where("severity = 'warning'")
+
+
 _SEVERE = """fired AS (
   SELECT DISTINCT event_type AS alertname, user_id, CASE WHEN value > 100 THEN 'critical' ELSE 'warning' END AS severity FROM events WHERE value > 60)"""
 

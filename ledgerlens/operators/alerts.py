@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerlens.config import F1_GATE, LATENCY_BOUNDS
 from ledgerlens.functions.numbers import epoch_micros, from_micros
+from ledgerlens.operators.notify import group_notices, inhibited_time
 from ledgerlens.operators.ordered import running, with_previous
 from ledgerlens.operators.sizing import one_row, written
 from ledgerlens.operators.telemetry import DAY, HOUR, SECOND, quantile_of_buckets, rolling_error_rate
@@ -250,26 +251,25 @@ def inhibit(firing: DataFrame, on: Sequence[str] = ("alertname",)) -> DataFrame:
     return firing.where("severity <> 'warning'").unionByName(warnings)
 
 
+def notice_stretches(intervals: DataFrame, step: int = TICK_SECONDS) -> DataFrame:
+    """Firing intervals of ticks as stretches of seconds, for `operators.notify`."""
+    return intervals.select(
+        "alertname", "severity", F.lit("").alias("member"), (F.col("firing_from") * step).alias("fires_at"),
+        (F.col("resolved_at") * step).cast("long").alias("ends_at"))
+
+
 def notices(intervals: DataFrame, step: int = TICK_SECONDS, wait: int = 30, interval: int = 300, repeat: int = 900,
             *, end_tick: Column) -> DataFrame:
-    """(alertname, severity, kind, at_seconds): what is sent for each firing stretch.
+    """(alertname, severity, kind, at_seconds): what is sent for the firing intervals of alerts without labels.
 
-    The first notice goes out `wait` seconds after firing starts, one repeat
-    per `repeat` seconds while it fires, and one resolved notice at the next
-    multiple of `interval` after the first notice. A stretch that ends within
-    the wait sends nothing. A stretch that still fires repeats up to `end_tick`, the
-    last tick evaluated. Seconds count from 1970.
+    Each alert is a group with one member; see `operators.notify.group_notices`. Warnings
+    are silent while a critical alert of the same name fires. Seconds count from 1970 and
+    go up to `end_tick`, the last tick evaluated.
     """
-    first = F.col("firing_from") * step + wait
-    until = F.coalesce(F.col("resolved_at"), end_tick + 1) * step
-    base = intervals.select("alertname", "severity", first.alias("_first"), until.alias("_until"), "resolved_at").where(
-        F.col("resolved_at").isNull() | (F.col("_first") < F.col("_until")))
-    firing = base.select("alertname", "severity", F.lit("firing").alias("kind"), F.explode(F.sequence(
-        F.col("_first"), F.greatest(F.col("_first"), F.col("_until") - 1), F.lit(repeat).cast("long"))).alias("at_seconds"))
-    waited = F.ceil((F.col("_until") - F.col("_first")) / F.lit(interval)) * interval
-    resolved = base.where("resolved_at IS NOT NULL").select(
-        "alertname", "severity", F.lit("resolved").alias("kind"), (F.col("_first") + waited).alias("at_seconds"))
-    return firing.unionByName(resolved)
+    end = F.lit(intervals.sparkSession.range(1).select(((end_tick + 1) * step).cast("long")).first()[0])
+    stretches = written(notice_stretches(intervals, step), "stretches")
+    sent = group_notices(stretches, end, inhibited_time(stretches, end), wait=wait, interval=interval, repeat=repeat)
+    return sent.select("alertname", "severity", "kind", "at_seconds")
 
 
 def tick_time(tick_no: Column, step: int = TICK_SECONDS) -> Column:

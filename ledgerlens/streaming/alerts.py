@@ -55,6 +55,9 @@ class HoldTimer(StatefulProcessor):
 def alert_transition_stream(conditions: DataFrame, step_seconds: int = 15) -> DataFrame:
     """State changes of a stream of (tick_no, alertname, severity, hold_seconds, active).
 
+    The rows may come from a table or straight from `service_signal_stream`, by
+    `operators.alerts.rule_conditions`.
+
     There is one row per rule and tick, whatever the traffic, so the rows of a
     key in a batch are as many as the ticks it covers. The session must use the
     RocksDB state store, as `build_session` sets it.

@@ -114,7 +114,9 @@ def test_notices(rows):
     df = rows([("A", "warning", 100, 100, 225), ("B", "warning", 100, 100, 101), ("C", "critical", 100, 100, None)],
               "alertname string, severity string, since long, firing_from long, resolved_at long")
     got = {}
-    for r in alerts.notices(df, end_tick=F.lit(200)).collect():
+    # the log ends at tick 400 for what is resolved, at tick 200 for what still fires
+    ended, open_ = df.where("resolved_at IS NOT NULL"), df.where("resolved_at IS NULL")
+    for r in [*alerts.notices(ended, end_tick=F.lit(400)).collect(), *alerts.notices(open_, end_tick=F.lit(200)).collect()]:
         got.setdefault(r["alertname"], []).append((r["kind"], r["at_seconds"] - 1500))
     # A fires for 1875 s: notices after 30, 930 and 1830 s; resolved at the next five-minute mark
     assert sorted(got["A"], key=lambda x: x[1]) == [("firing", 30), ("firing", 930), ("firing", 1830), ("resolved", 2130)]
