@@ -188,13 +188,17 @@ SAMPLES = """samples AS (
   SELECT event_id AS sample_id, ts, event_type AS series, CAST(floor(value) AS DOUBLE) AS value FROM events)"""
 
 
-def counter_samples(t: Tables) -> DataFrame:
-    """Samples of one counter per event type; every drop is a restart."""
-    return t.events.select(
+def counter_columns(events: DataFrame) -> DataFrame:
+    """Samples of one counter per event type; every drop is a restart. Works on a batch or a streaming events table."""
+    return events.select(
         F.col("event_id").alias("sample_id"), "ts", F.col("event_type").alias("series"),
         F.floor("value").cast("double").alias("value"))
 
 
+def counter_samples(t: Tables) -> DataFrame:
+    return counter_columns(t.events)
+
+
 RUNS = """runs AS (
   SELECT o_orderkey AS run_id, o_orderpriority AS run_name, o_orderstatus AS status, o_orderdate AS start_time,
          o_totalprice AS metric FROM orders)"""

@@ -6,12 +6,12 @@ from pyspark.sql import functions as F
 
 from ledgerlens.catalog import telemetry_queries as tq, text_queries as xq
 from ledgerlens.catalog.bindings import (
-    FEEDBACK, REQUESTS, TX, event_labels, feedback, label_baseline, push_columns, request_columns,
+    FEEDBACK, REQUESTS, TX, counter_columns, event_labels, feedback, label_baseline, push_columns, request_columns,
 )
 from ledgerlens.catalog.registry import REGISTRY, query
 from ledgerlens.operators import alerts
 from ledgerlens.session import ROCKSDB, STATE_STORE, work_folder
-from ledgerlens.streaming import alerts as stream_alerts, feedback as stream_feedback, scoring, signals, telemetry
+from ledgerlens.streaming import alerts as stream_alerts, feedback as stream_feedback, keyed, scoring, signals, telemetry
 from ledgerlens.streaming.io import latest_state, read_batches, start_table, stream_lines, stream_parquet
 
 
@@ -19,16 +19,29 @@ def events_stream(t):
     return stream_parquet(t.spark, t.folder, t.events.schema, "events.parquet")
 
 
-def event_files(t, folder, files, late):
-    """The events as files in order of time, one stream batch each; rows that are `late` come with the file after their own."""
-    edges = t.events.select(F.percentile_approx(F.unix_micros(F.col("ts").cast("timestamp")), F.array(*[
-        F.lit(i / files) for i in range(1, files)]), 10_000).alias("edges"))
+def event_files(t, folder, files, late, again=None):
+    """The events as files in order of time, one stream batch each.
+
+    Rows that are `late` come with the file after their own, and those that come `again` once more
+    with the next one.
+    """
     at = F.unix_micros(F.col("ts").cast("timestamp"))
-    rows = t.events.crossJoin(F.broadcast(edges))  # one row of edges
-    number = F.size(F.filter("edges", lambda e: e < at))
-    number = F.least(number + F.when(late, 1).otherwise(0), F.lit(files - 1))
+    edges = t.events.agg(F.percentile(at, F.array(*[F.lit(i / files) for i in range(1, files)])).alias("edges")).first()["edges"]
+    number = F.least(sum((F.when(at > F.lit(e), 1).otherwise(0) for e in edges), F.lit(0)) + F.when(late, 1).otherwise(0), F.lit(files - 1))
     for i in range(files):
-        rows.where(number == i).select(t.events.columns).coalesce(1).write.mode("append").parquet(f"{folder}/events")
+        rows = t.events.where(number == i)
+        if again is not None:
+            before = F.least(number + 1, F.lit(files - 1))
+            rows = rows.unionByName(t.events.where((before == i) & again))
+        rows.coalesce(1).write.mode("append").parquet(f"{folder}/events")
+
+
+def clock_file(t, folder, hours):
+    """A last file with a row that has a time only, so many hours behind the last event's tick."""
+    last = t.events.agg(F.max(alerts.tick_number(F.col("ts"))).alias("tick_no"))
+    clock = F.timestamp_seconds(F.col("tick_no") * alerts.TICK_SECONDS + int(hours * 3600) + 1).cast("timestamp_ntz")
+    row = last.select(*[(clock if f.name == "ts" else F.lit(None).cast(f.dataType)).alias(f.name) for f in t.events.schema])
+    row.coalesce(1).write.mode("append").parquet(f"{folder}/events")
 
 
 def run_table(t, stream, purpose, mode="append"):
@@ -61,9 +74,55 @@ def stream_latest_gauges(t):
 WITH {REQUESTS}, r AS (SELECT *, row_number() OVER (PARTITION BY endpoint ORDER BY ts DESC, event_id DESC) AS rn FROM requests)
 SELECT endpoint, avg(CASE WHEN ok THEN 0 ELSE 1 END) AS error_rate, count(*) AS n FROM r WHERE rn <= 100 GROUP BY endpoint""")
 def stream_rolling_error_rate(t):
+    """Over five files, of which each repeats a tenth of the one before."""
     folder = work_folder(t.spark, "rolling")
-    telemetry.start_rolling_error_rate(request_columns(events_stream(t)), ["endpoint"], folder, f"{folder}/checkpoint").awaitTermination()
-    return telemetry.latest_rates(t.spark, folder)
+    event_files(t, folder, 5, late=F.lit(False), again=F.col("event_id") % 10 == 3)
+    t.spark.conf.set(STATE_STORE, ROCKSDB)  # a session not made by build_session may lack it
+    rows = stream_parquet(t.spark, f"{folder}/events", t.events.schema, files_per_batch=1)
+    once = telemetry.without_replays(request_columns(rows), ["event_id"], "40 days")
+    telemetry.start_rolling_error_rate(once, ["endpoint"], folder, f"{folder}/checkpoint").awaitTermination()
+    return telemetry.latest_rates(t.spark, folder, ["endpoint"])
+
+
+def samples_stream(t, hours):
+    """Samples over five files and a last clock row so many hours behind the last one; a twentieth come a file late, within the delay."""
+    folder = work_folder(t.spark, "samples")
+    event_files(t, folder, 5, late=F.col("event_id") % 20 == 7)
+    clock_file(t, folder, hours)
+    t.spark.conf.set(STATE_STORE, ROCKSDB)  # a session not made by build_session may lack it
+    return counter_columns(stream_parquet(t.spark, f"{folder}/events", t.events.schema, files_per_batch=1))
+
+
+@query("stream_counter_increase", "W9, T6", REGISTRY["counter_increase"].sql)
+def stream_counter_increase(t):
+    """Samples over five files, some a file late; each increase comes once the watermark has passed its sample."""
+    grown = keyed.counter_increase_stream(samples_stream(t, 24 * 15), ["series"], "15 days")
+    return run_table(t, grown, "increase").select("sample_id", "series", "increase")
+
+
+@query("stream_increase_per_hour", "T6, T4", REGISTRY["increase_per_hour"].sql)
+def stream_increase_per_hour(t):
+    ranges = keyed.increase_per_range_stream(samples_stream(t, 24 * 15 + 1), ["series"], "1 hour", "15 days")
+    return run_table(t, ranges, "ranges").select("series", F.col("range_start").cast("timestamp_ntz").alias("range_start"), "increase")
+
+
+@query("stream_arrivals", "T16", """
+WITH numbered AS (SELECT *, epoch_us(ts) AS at_us, least(CAST(list_aggregate(list_transform(
+       quantile_disc(epoch_us(ts), [0.2, 0.4, 0.6, 0.8]) OVER (), lambda e: CASE WHEN e < epoch_us(ts) THEN 1 ELSE 0 END), 'sum') AS INT), 4) AS home FROM events),
+sent AS (SELECT event_id, at_us, least(home + CASE WHEN event_id % 9 = 4 THEN 1 ELSE 0 END, 4) AS file, 0 AS copy FROM numbered
+         UNION ALL SELECT event_id, at_us, least(least(home + CASE WHEN event_id % 9 = 4 THEN 1 ELSE 0 END, 4) + 1, 4), 1 FROM numbered WHERE event_id % 10 = 3),
+marks AS (SELECT file, max(at_us) AS top FROM sent GROUP BY file),
+told AS (SELECT s.*, at_us <= (coalesce((SELECT max(top) FROM marks m WHERE m.file < s.file) , 0) - 86400000000) // 1000 * 1000 AS late FROM sent s),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY event_id, late ORDER BY file, copy) AS nth FROM told)
+SELECT CASE WHEN late THEN 'late' WHEN nth > 1 THEN 'repeated' ELSE 'kept' END AS arrival, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS ids FROM ranked GROUP BY 1""")
+def stream_arrivals(t):
+    """Five files with rows that come late and rows that come twice: every row is kept, late or repeated."""
+    folder = work_folder(t.spark, "arrivals")
+    event_files(t, folder, 5, late=F.col("event_id") % 9 == 4, again=F.col("event_id") % 10 == 3)
+    t.spark.conf.set(STATE_STORE, ROCKSDB)  # a session not made by build_session may lack it
+    rows = stream_parquet(t.spark, f"{folder}/events", t.events.schema, files_per_batch=1)
+    told = run_table(t, keyed.arrivals(rows, "event_id", "1 day"), "told")
+    return told.groupBy("arrival").agg(F.count("*").alias("n"), F.sum("event_id").alias("ids"))
 
 
 @query("stream_without_replays", "T16", "SELECT event_type, count(*) AS n FROM events GROUP BY 1")
@@ -119,11 +178,7 @@ def signal_stream(t):
     """Signals of the request stream over five files of events and a last clock row."""
     folder = work_folder(t.spark, "log")
     event_files(t, folder, 5, late=F.lit(False))
-    # a last file with a row that has a time only, just behind the last tick, lets the watermark pass that
-    last = t.events.agg(F.max(alerts.tick_number(F.col("ts"))).alias("tick_no"))
-    clock = F.timestamp_seconds(F.col("tick_no") * alerts.TICK_SECONDS + 601).cast("timestamp_ntz")
-    last.select(*[(clock if f.name == "ts" else F.lit(None).cast(f.dataType)).alias(f.name) for f in t.events.schema]).coalesce(1).write.mode(
-        "append").parquet(f"{folder}/events")
+    clock_file(t, folder, 1 / 6)  # the watermark's delay is ten minutes
     rows = stream_parquet(t.spark, f"{folder}/events", t.events.schema, files_per_batch=1)
     events, ticking = rows.where("event_id IS NOT NULL"), rows.where("event_id IS NULL").select("ts")
     t.spark.conf.set(STATE_STORE, ROCKSDB)  # a session not made by build_session may lack it

@@ -1,7 +1,7 @@
 """Multinomial naive Bayes as grouped counts, with add-one smoothing.
 
 A model is two count tables, so fitting is two aggregations, fine-tuning on
-more data is a sum of counts, and scoring is one join and one aggregation.
+more data is a sum of counts, and scoring looks weights up in the row.
 
     nb_class(run_id, label_idx, category, n_docs, n_tokens)
     nb_token(run_id, idx, label_idx, n)
@@ -17,10 +17,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerlens.functions.numbers import softmax
-from ledgerlens.operators.features import sequence_indices, token_indices
+from ledgerlens.operators.features import sequence_words, text_indices
+from ledgerlens.operators.lookup import weight_sums
 from ledgerlens.operators.sizing import written
 
 
@@ -45,9 +47,9 @@ def fit(train: DataFrame, labels: DataFrame, vocabulary: DataFrame, row_id: str,
     The words come from `seq` where the rows are encoded already, else from
     the text column.
     """
-    words = _words(train, vocabulary, row_id, max_seq_len, column, ["label_idx"])
+    words = train.select("label_idx", F.explode(_words(train, vocabulary, max_seq_len, column)).alias("idx"))
     token_counts = (
-        words.where("idx IS NOT NULL").groupBy("idx", "label_idx").agg(F.count("*").alias("n"))
+        words.groupBy("idx", "label_idx").agg(F.count("*").alias("n"))
         .select(F.lit(run_id).alias("run_id"), "idx", "label_idx", "n")
     )
     token_counts = written(token_counts, "nb-token")
@@ -56,10 +58,9 @@ def fit(train: DataFrame, labels: DataFrame, vocabulary: DataFrame, row_id: str,
     return NaiveBayes(written(classes), token_counts, vocabulary, vocabulary.count() + 1, max_seq_len)
 
 
-def _words(df: DataFrame, vocabulary: DataFrame, row_id: str, length: int, column: str, carry: Sequence[str]) -> DataFrame:
-    if "seq" in df.columns:
-        return sequence_indices(df, row_id, carry)
-    return token_indices(df, vocabulary, row_id, length, column, carry)
+def _words(df: DataFrame, vocabulary: DataFrame, length: int, column: str) -> Column:
+    """The word numbers of each row, from `seq` where it has one."""
+    return sequence_words() if "seq" in df.columns else text_indices(vocabulary, length, column)
 
 
 def _class_table(docs: DataFrame, token_counts: DataFrame, labels: DataFrame, run_id: str) -> DataFrame:
@@ -92,26 +93,31 @@ def class_rows(model: NaiveBayes) -> list:
     return model.classes.orderBy("label_idx").collect()
 
 
+def _weights(model: NaiveBayes, labels: list) -> tuple[np.ndarray, np.ndarray]:
+    """Word numbers, rising, and for each ln(n + 1) in every class."""
+    table = model.token_counts.select(F.col("idx").cast("int").alias("idx"), "label_idx", F.col("n").cast("double").alias("n")).toArrow()
+    numbers, row = np.unique(table.column("idx").to_numpy(), return_inverse=True)
+    column = {label: i for i, label in enumerate(labels)}
+    place = np.array([column.get(label, -1) for label in table.column("label_idx").to_pylist()], np.int64)
+    weights = np.zeros((len(numbers), len(labels)))
+    known = place >= 0
+    np.add.at(weights, (row[known], place[known]), table.column("n").to_numpy()[known])
+    return numbers, np.log1p(weights)
+
+
 def score_columns(df: DataFrame, model: NaiveBayes, row_id: str, column: str = "description",
                   carry: Sequence[str] = ()) -> tuple[DataFrame, list[str]]:
-    """(row_id, carry…, score_0…) with one log score column per class.
+    """(row_id, carry…, score_0…) with one log score column per class, row for row.
 
-    The words of a text are joined with one row of class weights per word and
-    summed per row inside each task before the shuffle, so what is shuffled is
-    one row of sums per text, however long the text is.
+    The weights of a word, one number a class, are bounded by vocabulary and labels; they go
+    to the tasks, and nothing is shuffled.
     """
     classes = class_rows(model)
     n_all = sum(c["n_docs"] for c in classes)
-    weights = written(
-        model.token_counts.groupBy("idx").agg(*[
-            F.coalesce(F.max(F.when(F.col("label_idx") == c["label_idx"], F.log(F.col("n") + F.lit(1.0)))), F.lit(0.0))
-            .alias(f"_w{i}") for i, c in enumerate(classes)
-        ]), "weights")
-    words = _words(df, model.vocabulary, row_id, model.max_seq_len, column, carry)
-    sums = (
-        words.join(weights, "idx", "left").groupBy(row_id, *carry)
-        .agg(F.count("idx").alias("_m"), *[F.coalesce(F.sum(f"_w{i}"), F.lit(0.0)).alias(f"_s{i}") for i in range(len(classes))])
-    )
+    numbers, weights = _weights(model, [c["label_idx"] for c in classes])
+    found = weight_sums(_words(df, model.vocabulary, model.max_seq_len, column), numbers, weights)
+    sums = df.select(row_id, *carry, found.alias("_sums")).select(
+        row_id, *carry, F.col("_sums")[0].alias("_m"), *[F.col("_sums")[i + 1].alias(f"_s{i}") for i in range(len(classes))])
 
     def score(i: int, c) -> Column:
         prior = F.log(F.lit(float(c["n_docs"])) / F.lit(float(n_all)))

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ledgerlens.config import FIRST_WORD_INDEX, PAD_INDEX, UNK_INDEX
 from ledgerlens.functions.numbers import count_non_pad
 from ledgerlens.functions.text import first_tokens, pad_right
+from ledgerlens.operators.lookup import word_indices
 from ledgerlens.operators.profile import token_frequency
 from ledgerlens.operators.sizing import written
 
@@ -39,40 +40,31 @@ def with_special_tokens(vocabulary: DataFrame, pad: int = PAD_INDEX, unk: int =
     return extra.unionByName(vocabulary)
 
 
-def token_positions(df: DataFrame, row_id: str, length: int, column: str = "description",
-                    carry: Sequence[str] = ()) -> DataFrame:
-    """One row per word position below `length`; an empty text keeps one row with nulls."""
-    return df.select(row_id, *carry, F.posexplode_outer(first_tokens(F.col(column), length)).alias("pos", "token"))
+def text_indices(vocabulary: DataFrame, length: int, column: str = "description", unk: int = UNK_INDEX) -> Column:
+    """The vocabulary numbers of the first `length` words of a text; looked up in the row, see `operators.lookup`."""
+    return word_indices(first_tokens(F.col(column), length), vocabulary, unk)
 
 
 def token_indices(df: DataFrame, vocabulary: DataFrame, row_id: str, length: int,
                   column: str = "description", carry: Sequence[str] = (), unk: int = UNK_INDEX) -> DataFrame:
-    """Word positions with their vocabulary index, `unk` for words outside it.
+    """One row per word position below `length` with its vocabulary number, `unk` for words outside it.
 
-    The vocabulary is at most `max_size` rows, so this is a map-side join.
+    An empty text keeps one row with nulls.
     """
-    words = token_positions(df, row_id, length, column, carry)
-    idx = F.when(F.col("token").isNotNull(), F.coalesce("idx", F.lit(unk)))
-    return words.join(vocabulary, "token", "left").select(row_id, *carry, "pos", idx.alias("idx"))
+    return df.select(row_id, *carry, F.posexplode_outer(text_indices(vocabulary, length, column, unk)).alias("pos", "idx"))
 
 
-def sequence_indices(features: DataFrame, row_id: str, carry: Sequence[str] = (), pad: int = PAD_INDEX) -> DataFrame:
-    """The same rows as `token_indices`, from encoded sequences."""
-    return features.select(row_id, *carry, F.explode_outer(F.filter("seq", lambda x: x != pad)).alias("idx"))
+def sequence_words(pad: int = PAD_INDEX) -> Column:
+    """The word numbers of an encoded sequence."""
+    return F.filter("seq", lambda x: x != pad)
 
 
 def encode_texts(df: DataFrame, vocabulary: DataFrame, row_id: str, length: int,
                  column: str = "description", carry: Sequence[str] = (),
                  pad: int = PAD_INDEX, unk: int = UNK_INDEX) -> DataFrame:
-    """(row_id, carry…, seq): every text as exactly `length` word indices.
-
-    A row's words are collected per task before the shuffle, and an array
-    never holds more than `length` items.
-    """
-    indexed = token_indices(df, vocabulary, row_id, length, column, carry, unk)
-    pairs = F.collect_list(F.when(F.col("pos").isNotNull(), F.struct("pos", "idx")))
-    ordered = F.transform(F.array_sort(pairs), lambda x: x["idx"])
-    return indexed.groupBy(row_id, *carry).agg(pad_right(ordered, length, pad).alias("seq"))
+    """(row_id, carry…, seq): every text as exactly `length` word numbers, row for row."""
+    found = F.coalesce(text_indices(vocabulary, length, column, unk), F.array().cast("array<int>"))
+    return df.select(row_id, *carry, pad_right(found, length, pad).alias("seq"))
 
 
 def _wide(column: str) -> Column:

@@ -19,7 +19,6 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -27,6 +26,7 @@ from ledgerlens.config import ERROR_WINDOW, LATENCY_BOUNDS
 from ledgerlens.functions.numbers import epoch_micros
 from ledgerlens.operators.alerts import GAUGES, TICK_SECONDS
 from ledgerlens.operators.telemetry import DAY, HOUR, SECOND, quantile_of_buckets
+from ledgerlens.streaming.arrow_state import packed, unpacked
 
 _FIVE_MINUTES = 300
 
@@ -55,21 +55,6 @@ def service_log(requests: DataFrame, pushes: DataFrame, clock: DataFrame | None
         F.col("ts").cast("timestamp").alias("ts"), F.lit(None).cast("long").alias("event_id"), *empty))
 
 
-def _packed(frame: pd.DataFrame) -> bytes:
-    return _serialised(pa.Table.from_pandas(frame, preserve_index=False))
-
-
-def _serialised(table: pa.Table) -> bytes:
-    out = pa.BufferOutputStream()
-    with pa.ipc.new_stream(out, table.schema) as writer:
-        writer.write_table(table)
-    return out.getvalue().to_pybytes()
-
-
-def _unpacked(data: bytes) -> pd.DataFrame:
-    return pa.ipc.open_stream(data).read_all().to_pandas()
-
-
 def _last_of_each(frame: pd.DataFrame, by: str, most: int) -> pd.DataFrame:
     """The last `most` rows of each group, in order of group and time."""
     frame = frame.sort_values([by, "at", "event_id"], kind="stable", ignore_index=True)
@@ -95,7 +80,7 @@ class PaneParts(StatefulProcessor):
     def _load(self) -> tuple[list[pd.DataFrame], int]:
         if self.state.exists():
             *frames, timer = self.state.get()
-            return [_unpacked(bytes(f)) for f in frames], timer
+            return [unpacked(f) for f in frames], timer
         at = {"tick_no": "int64", "at": "int64", "event_id": "int64"}
         columns = [dict.fromkeys(["tick_no", *self.counted], "int64"), {**at, "failed": "int8"}, {**at, "metric": "object", "value": "float64"}]
         return [pd.DataFrame({c: pd.Series(dtype=kind) for c, kind in kinds.items()}) for kinds in columns], -1
@@ -108,7 +93,7 @@ class PaneParts(StatefulProcessor):
         if first >= 0 and timer != first:
             self.handle.registerTimer(first)
         if first >= 0:
-            self.state.update((*map(_packed, frames), first))
+            self.state.update((*map(packed, frames), first))
         else:
             self.state.clear()
 
@@ -175,10 +160,10 @@ class SignalTicks(StatefulProcessor):
             return np.zeros((0, len(self.reach)), np.int64), np.zeros(0, np.int8), {}, None, -1
         ring, last, gauges, waiting, upcoming = self.state.get()
         return (np.frombuffer(bytes(ring), np.int64).reshape(-1, len(self.reach)), np.frombuffer(bytes(last), np.int8), dict(gauges),
-                _unpacked(bytes(waiting)) if waiting else None, upcoming)
+                unpacked(waiting) if waiting else None, upcoming)
 
     def _save(self, ring: np.ndarray, last: np.ndarray, gauges: dict[str, float], waiting: pd.DataFrame | None, upcoming: int) -> None:
-        self.state.update((ring.tobytes(), last.tobytes(), gauges, _packed(waiting) if waiting is not None and len(waiting) else None, upcoming))
+        self.state.update((ring.tobytes(), last.tobytes(), gauges, packed(waiting) if waiting is not None and len(waiting) else None, upcoming))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         ring, last, gauges, waiting, upcoming = self._load()

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerlens.config import ERROR_WINDOW, LATENCY_BOUNDS
 from ledgerlens.operators.telemetry import latest_gauges, windowed_counters, windowed_histogram
-from ledgerlens.streaming.io import start_batches
+from ledgerlens.streaming.io import latest_state, read_batches, start_table
+from ledgerlens.streaming.keyed import rolling_error_rates
 
 
 def with_event_time(stream: DataFrame, late: str) -> DataFrame:
@@ -38,49 +39,12 @@ def without_replays(stream: DataFrame, keys: Sequence[str], late: str = "1 hour"
 
 
 # --- Rolling error rate -----------------------------------------------------
-def _last_rows(df: DataFrame, keys: Sequence[str], rows: int, salts: int) -> DataFrame:
-    """The newest `rows` rows per key, ranked in two steps so that a hot key is shared by many tasks."""
-    newest = [F.desc("arrival"), F.desc("ts"), F.desc("event_id")]
-    part = F.pmod(F.hash("event_id"), F.lit(salts))
-    first = Window.partitionBy(*keys, "_part").orderBy(*newest)
-    last = Window.partitionBy(*keys).orderBy(*newest)
-    return (
-        df.withColumn("_part", part).withColumn("_rank", F.row_number().over(first)).where(F.col("_rank") <= rows)
-        .withColumn("_rank", F.row_number().over(last)).where(F.col("_rank") <= rows).drop("_part", "_rank")
-    )
-
-
 def start_rolling_error_rate(requests: DataFrame, keys: Sequence[str], path: str, checkpoint: str,
                              rows: int = ERROR_WINDOW, salts: int = 32) -> StreamingQuery:
-    """Per batch, the error rate over the last `rows` requests of each key, in arrival order.
-
-    What is kept between batches is the last `rows` outcomes per key, written
-    under `path/state` per batch. A replayed batch starts again from the state
-    before it, so it gives the same result.
-    """
-    columns = [*keys, "arrival", "ts", "event_id", "ok"]
-
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        fresh = batch.select(*keys, F.lit(batch_id).cast("long").alias("arrival"), "ts", "event_id", "ok")
-        kept = _state_before(spark, f"{path}/state", batch_id)
-        merged = fresh if kept is None else fresh.unionByName(kept.select(*columns))
-        state_path = f"{path}/state/batch_id={batch_id}"
-        _last_rows(merged, keys, rows, salts).write.mode("overwrite").parquet(state_path)
-        spark.read.parquet(state_path).groupBy(*keys).agg(
-            F.avg(F.when(F.col("ok"), 0).otherwise(1)).alias("error_rate"), F.count("*").alias("n")
-        ).write.mode("overwrite").parquet(f"{path}/rates/batch_id={batch_id}")
-
-    return start_batches(requests, handle, checkpoint)
-
-
-def _state_before(spark: SparkSession, path: str, batch_id: int) -> DataFrame | None:
-    """The state written by the batch before, null for the first one."""
-    return None if batch_id == 0 else spark.read.parquet(f"{path}/batch_id={batch_id - 1}")
+    """Per batch, the error rate over the last `rows` requests of each key that has requests in it, in arrival order."""
+    return start_table(rolling_error_rates(requests, keys, rows, salts), f"{path}/rates", checkpoint)
 
 
-def latest_rates(spark: SparkSession, path: str) -> DataFrame:
+def latest_rates(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
     """The gauge values after the last finished batch."""
-    rates = spark.read.parquet(f"{path}/rates")
-    last = rates.agg(F.max("batch_id")).scalar()
-    return rates.withColumn("_last", last).where(F.col("batch_id") == F.col("_last")).drop("batch_id", "_last")
+    return latest_state(read_batches(spark, f"{path}/rates"), keys)

@@ -203,7 +203,7 @@ def test_rolling_rate_stream(spark, rows, tmp_path):
     in_files(df, str(tmp_path / "in"), "event_id")
     stream = stream_parquet(spark, str(tmp_path / "in"), df.schema, files_per_batch=1)
     stream_telemetry.start_rolling_error_rate(stream, ["key"], str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
-    got = {r["key"]: r["error_rate"] for r in stream_telemetry.latest_rates(spark, str(tmp_path / "out")).collect()}
+    got = {r["key"]: r["error_rate"] for r in stream_telemetry.latest_rates(spark, str(tmp_path / "out"), ["key"]).collect()}
     w = Window.partitionBy("key").orderBy(F.desc("ts"), F.desc("event_id"))
     last = df.withColumn("rn", F.row_number().over(w)).where("rn <= 100").groupBy("key").agg(F.avg(F.when(F.col("ok"), 0).otherwise(1)).alias("r"))
     assert got == pytest.approx({r["key"]: r["r"] for r in last.collect()})
