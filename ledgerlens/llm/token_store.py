@@ -47,6 +47,7 @@ _INDEX = np.dtype([("id", "<i8"), ("offset", "<u8"), ("count", "<u4"), ("null",
 _FOOTER = "<QQ8s"
 _FOOTER_SIZE = struct.calcsize(_FOOTER)
 _CACHED = 300_000
+_LONGEST_CACHED = 64
 _PIECE_BYTES = 8 << 20
 _PLAIN = "^[\\x21-\\x7eÀ-ÖØ-öø-ÿ]*$"
 _PARTS = r"('s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+)"
@@ -62,9 +63,10 @@ def _byte_letters() -> dict[int, int]:
 class WordEncoder:
     """Ids of words under a lower-casing byte-level BPE tokenizer.
 
-    Words of ASCII and accented Latin letters are lower-cased and cut in bulk, and
-    their parts go straight to the library's BPE model; any other word, and any that
-    may hold a special token, goes through the library's whole pipeline.
+    Words met lately are looked up whole. New ones of ASCII and accented Latin letters are
+    lower-cased and cut in bulk, and their parts go straight to the library's BPE model;
+    any other word, and any that may hold a special token, goes through the library's whole
+    pipeline. When a cache is full, its older half goes.
     """
 
     def __init__(self, path: str):
@@ -72,6 +74,8 @@ class WordEncoder:
         self.model = self.tokenizer.model
         self.letters = _byte_letters()
         self.known: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _ids(self, part: str) -> bytes:
         if part.startswith("\x01"):
@@ -84,6 +88,30 @@ class WordEncoder:
 
     def __call__(self, vocab: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words in a row, and how many each word has."""
+        names = vocab.to_numpy(zero_copy_only=False).tolist()
+        found = list(map(self.words.get, names))
+        missing = []
+        for k, ids in enumerate(found):
+            if ids is None:
+                found[k] = self._kept(names[k], self.older.get(names[k]))
+                if found[k] is None:
+                    missing.append(k)
+        if missing:
+            ids, lengths = self._encoded(vocab.take(pa.array(missing)))
+            raw, ends = ids.tobytes(), (np.cumsum(lengths) * 4).tolist()
+            for k, a, b in zip(missing, [0, *ends], ends):
+                found[k] = self._kept(names[k], raw[a:b])
+        lengths = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        return np.frombuffer(b"".join(found), "<u4"), lengths
+
+    def _kept(self, word: str, ids: bytes | None) -> bytes | None:
+        if ids is not None and len(word) <= _LONGEST_CACHED:
+            if len(self.words) >= _CACHED:
+                self.older, self.words = self.words, {}
+            self.words[word] = ids
+        return ids
+
+    def _encoded(self, vocab: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         plain = pc.and_(pc.match_substring_regex(vocab, _PLAIN), pc.invert(pc.match_substring(vocab, "<|")))
         parts = pc.replace_substring_regex(pc.utf8_lower(vocab), _PARTS, r"\1 ")
         parts = pc.if_else(plain, parts, pc.binary_join_element_wise("\x01", vocab, ""))
