@@ -33,9 +33,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ledgerlens.operators.sizing import written
 from ledgerlens.session import work_folder
 
+#: Whole rows are written twice; this takes about two thirds of the default's space.
+_CODEC = "zstd"
+
 
 def hypergeometric(rng: random.Random, good: int, bad: int, draws: int) -> int:
     """How many of `draws` items taken from `good` + `bad` are good.
@@ -89,6 +91,13 @@ def communication_matrix(block_rows: list[int], shards: int, seed: int) -> list[
     return matrix
 
 
+def _written(rows: DataFrame, purpose: str) -> DataFrame:
+    """Written once to the shared folder, as small as the shards' files."""
+    path = work_folder(rows.sparkSession, purpose)
+    rows.write.option("compression", _CODEC).parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def write_shards(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col: str = "text", shards: int = 24,
                  blocks: int = 512, cells: int = 64, seed: int = 20) -> None:
     """Writes every row, as a struct `row`, with its slot to the files of its shard; slots are gapless from 0 in a shard."""
@@ -114,7 +123,7 @@ def write_shards(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col:
         .select("row", "id", "text_crc32",
                 F.size(F.filter("bounds", lambda upto: upto < F.col("place"))).alias("shard"),
                 F.pmod(drawn(2), F.lit(cells)).cast("int").alias("cell")))
-    dealt = written(dealt, "shard-dealt")
+    dealt = _written(dealt, "shard-dealt")
 
     firsts = dealt.groupBy("shard", "cell").count().select(
         "shard", "cell",
@@ -126,7 +135,7 @@ def write_shards(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col:
         dealt.withColumn("place", F.row_number().over(again))
         .join(firsts, ["shard", "cell"])
         .select("shard", (F.col("first") + F.col("place") - 1).alias("slot"), "row")
-        .write.partitionBy("shard").parquet(folder))
+        .write.partitionBy("shard").option("compression", _CODEC).parquet(folder))
 
 
 def read_shards(docs: DataFrame, folder: str) -> DataFrame:
