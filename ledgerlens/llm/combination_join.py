@@ -25,10 +25,11 @@ Equal sets are one node. Nodes of a signature are not paired all with all:
 1. in a round, every node is verified against one leader of its signature's group,
    links are merged into components, and groups within one component are done;
 2. further rounds take other leaders for what is left;
-3. when few pairs are left, or after `rounds` rounds, all pairs of a group whose
-   nodes are in different components are verified.
+3. after `rounds` rounds, all pairs of a group whose nodes are in different components
+   are candidates. In turns, each node has its nearest ones verified, by the distance of
+   sketches; components grow, and pairs that come to lie within one drop out.
 
-Step 3 leaves no pair out, so components are exact. Pairs are ruled out by sizes and
+Step 3 ends when no pair is left, so components are exact. Pairs are ruled out by sizes and
 by sketches of parity bits, which differ in no more bits than the sets in tokens;
 what remains is verified by the sets themselves, with integers:
 100 * intersection >= 80 * union.
@@ -83,9 +84,14 @@ def _bucket(tokens: np.ndarray) -> np.ndarray:
     return (tokens >> np.uint64(64 - BITS)).astype(np.int64)
 
 
+def _key(id_: Column, text: Column) -> Column:
+    """Which rows are alike in id and text; a collision brings a row that its set's name rules out."""
+    return F.xxhash64(id_.cast("long"), text)
+
+
 def _first_pass(docs: DataFrame, width: int) -> DataFrame:
-    """Rows of documents (id, size, node) and rows of bucket counts (slice, counts)."""
-    schema = pa.schema([("id", pa.int64()), ("size", pa.int64()), ("node", pa.int64()),
+    """Rows of documents (id, key, size, node) and rows of bucket counts (slice, counts)."""
+    schema = pa.schema([("id", pa.int64()), ("key", pa.int64()), ("size", pa.int64()), ("node", pa.int64()),
                         ("slice", pa.int64()), ("counts", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -97,17 +103,17 @@ def _first_pass(docs: DataFrame, width: int) -> DataFrame:
             total[hit] = np.minimum(total[hit] + times, 65_535)
             n = len(sets)
             yield pa.RecordBatch.from_arrays([
-                piece.column("id"), pa.array([len(x) for x in sets], pa.int64()),
+                piece.column("id"), piece.column("key"), pa.array([len(x) for x in sets], pa.int64()),
                 pa.array([_node(x) if len(x) else None for x in sets], pa.int64()),
                 pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary())], schema=schema)
         for at in range(0, 1 << BITS, _SLICE):
             part = total[at:at + _SLICE]
             if part.any():
                 yield pa.RecordBatch.from_arrays([
-                    pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()),
+                    *[pa.nulls(1, pa.int64())] * 4,
                     pa.array([at // _SLICE], pa.int64()), pa.array([zlib.compress(part.tobytes(), 1)], pa.binary())], schema=schema)
 
-    return written(docs.mapInArrow(run, "id long, size long, node long, slice long, counts binary"), "sets")
+    return written(docs.mapInArrow(run, "id long, key long, size long, node long, slice long, counts binary"), "sets")
 
 
 def _frequencies(first: DataFrame) -> tuple[np.ndarray, int]:
@@ -229,19 +235,28 @@ def _groups(rows: DataFrame, least: int) -> DataFrame:
 
 
 def _sets_of(docs: DataFrame, nodes: DataFrame, first: DataFrame, width: int) -> DataFrame:
-    """node and its set, for the given nodes, each from the document of its least id (twice if that row is repeated)."""
-    chosen = first.where("node IS NOT NULL").join(nodes, "node", "left_semi").groupBy("node").agg(F.min("id").alias("of"))
+    """node and its set, for the given nodes, each from rows of one id and text.
+
+    Rows are found by a hash of id and text, so rows that share an id, or have none, meet
+    their own sets only. Repeated rows give their set once in a task.
+    """
+    chosen = first.where("node IS NOT NULL").join(nodes, "node", "left_semi").groupBy("node").agg(F.min("key").alias("of"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done: set[int] = set()
         for piece in arrays.pieces(batches, "text", 2 << 20):
-            sets = list(_sets(piece.column("text"), width))
-            wanted = piece.column("node").to_pylist()
-            hits = [(w, x.tobytes(), _sketch(x)) for w, x in zip(wanted, sets) if len(x) and _node(x) == w]
+            fresh = [i for i, w in enumerate(piece.column("node").to_pylist()) if w not in done]
+            piece = piece.take(pa.array(fresh, pa.int64()))
+            hits = []
+            for w, x in zip(piece.column("node").to_pylist(), _sets(piece.column("text"), width)):
+                if w not in done and len(x) and _node(x) == w:
+                    done.add(w)
+                    hits.append((w, x.tobytes(), _sketch(x)))
             yield pa.RecordBatch.from_pydict({
                 "node": pa.array([h[0] for h in hits], pa.int64()), "tokens": pa.array([h[1] for h in hits], pa.binary()),
                 "sketch": pa.array([h[2] for h in hits], pa.binary())})
 
-    texts = docs.join(chosen.hint("shuffle_hash"), F.col("id").eqNullSafe(F.col("of"))).select("node", "text")
+    texts = docs.join(chosen, F.col("key") == F.col("of")).select("node", "text")
     return written(texts.mapInArrow(run, "node long, tokens binary, sketch binary"), "token-sets")
 
 
@@ -297,7 +312,7 @@ def _all_pairs_left(groups: DataFrame, sets: DataFrame, least: int) -> DataFrame
     A group is cut into blocks of about `_BLOCK` nodes, and a task gets two blocks, so
     no task holds a whole group; what leaves a task are pairs that must be verified.
     """
-    def pairs_of(rows: list[tuple]) -> Iterator[tuple[int, int]]:
+    def pairs_of(rows: list[tuple]) -> Iterator[tuple[int, int, int]]:
         block, node, size, near, component = (np.array(c) for c in list(zip(*rows))[:5])
         sketches = [r[5] for r in rows]
         x, y = np.triu_indices(len(rows), 1)
@@ -307,8 +322,9 @@ def _all_pairs_left(groups: DataFrame, sets: DataFrame, least: int) -> DataFrame
         if block.min() != block.max():
             fine &= block[x] != block[y]
         for i, j in zip(x[fine].tolist(), y[fine].tolist()):
-            if _bits_apart(sketches[i], sketches[j]) * (100 + least) <= int(size[i] + size[j]) * (100 - least):
-                yield int(min(node[i], node[j])), int(max(node[i], node[j]))
+            apart = _bits_apart(sketches[i], sketches[j])
+            if apart * (100 + least) <= int(size[i] + size[j]) * (100 - least):
+                yield int(min(node[i], node[j])), int(max(node[i], node[j])), 1000 * apart // int(size[i] + size[j])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, rows = None, []
@@ -316,7 +332,8 @@ def _all_pairs_left(groups: DataFrame, sets: DataFrame, least: int) -> DataFrame
         def flush() -> pa.RecordBatch:
             found = list(pairs_of(rows)) if len(rows) > 1 else []
             return pa.RecordBatch.from_pydict({
-                "a": pa.array([f[0] for f in found], pa.int64()), "b": pa.array([f[1] for f in found], pa.int64())})
+                "a": pa.array([f[0] for f in found], pa.int64()), "b": pa.array([f[1] for f in found], pa.int64()),
+                "apart": pa.array([f[2] for f in found], pa.int32())})
 
         for batch in batches:
             keys = zip(*[batch.column(c).to_pylist() for c in ("sig", "i", "j")])
@@ -338,7 +355,24 @@ def _all_pairs_left(groups: DataFrame, sets: DataFrame, least: int) -> DataFrame
         F.least("block", k).alias("i"), F.greatest("block", k).alias("j")))
     spread = placed.select("sig", "block", "node", "size", "near", "component", "sketch", F.inline(both))
     dealt = spread.repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j")
-    return dealt.mapInArrow(run, "a long, b long").distinct()
+    return dealt.mapInArrow(run, "a long, b long, apart int").distinct()
+
+
+def _nearest(candidates: DataFrame, each: int) -> DataFrame:
+    """Of the pairs (a, b, apart) for each node the nearest in each of `each` random parts of its pairs."""
+    ends = candidates.select("a", "b", "apart", F.pmod(F.xxhash64("a", "b"), F.lit(each)).alias("part"), F.explode(F.array("a", "b")).alias("node"))
+    best = ends.groupBy("node", "part").agg(F.min(F.struct("apart", "a", "b")).alias("p"))
+    return best.select("p.a", "p.b").distinct()
+
+
+def _between(pairs: DataFrame, found: DataFrame | None) -> DataFrame:
+    """The pairs whose nodes are in different components so far."""
+    if found is None:
+        return pairs
+    one = found.select(F.col("node").alias("_a"), F.col("component").alias("_p"))
+    two = found.select(F.col("node").alias("_b"), F.col("component").alias("_q"))
+    placed = pairs.join(one, F.col("a") == F.col("_a"), "left").join(two, F.col("b") == F.col("_b"), "left")
+    return placed.where(F.coalesce("_p", "a") != F.coalesce("_q", "b")).select(*pairs.columns)
 
 
 def _may_link(least: int) -> Column:
@@ -347,6 +381,23 @@ def _may_link(least: int) -> Column:
     return close & (F.col("near") | (F.col("size") > F.col("other_size"))) & (F.col("other_near") | (F.col("size") < F.col("other_size")))
 
 
+def _nearest_first(candidates: DataFrame, sets: DataFrame, links: DataFrame, found: DataFrame | None, least: int) -> DataFrame:
+    """Components when every candidate pair is decided: verified, or within one component by then.
+
+    In each turn every node has its nearest pairs verified, one at first and four times as
+    many in each further turn, and the links join components. Near copies link to their
+    nearest ones, so a family is soon one component, and its other pairs need no look at sets.
+    """
+    left, each = written(candidates, "candidates"), 1
+    while not left.isEmpty():
+        chosen = written(_nearest(left, each), "pairs")
+        links = links.union(written(_verified(chosen, sets, least), "found"))
+        found = components(links)
+        left = written(_between(left.join(chosen, ["a", "b"], "left_anti"), found), "candidates")
+        each *= 4
+    return found if found is not None else links.select(F.col("a").alias("node"), F.col("a").alias("component"))
+
+
 def _link_components(groups: DataFrame, sets: DataFrame, least: int, rounds: int) -> DataFrame:
     """node and component of all nodes that have a link."""
     spark = groups.sparkSession
@@ -361,29 +412,22 @@ def _link_components(groups: DataFrame, sets: DataFrame, least: int, rounds: int
                 F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("sig")
             open_ = placed.join(unfinished, "sig")
         groups = written(open_.select("sig", "node", "size", "near", "component"), "groups")
-        sizes = groups.groupBy("sig", "component").agg(F.count("*").alias("n")).groupBy("sig").agg(
-            F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("inside"))
-        rows, left = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum(F.expr("(n * n - inside) / 2")), F.lit(0))).first()
-        if not rows:
+        if groups.isEmpty():
             break
-        last = r == rounds or left <= 2 * rows
-        if last:
-            pairs = _all_pairs_left(groups, sets, least)
-        else:
-            leaders = groups.groupBy("sig").agg(
-                F.min_by(F.struct("node", "size", "near", "component"), F.xxhash64("node", F.lit(r))).alias("l")).select(
-                "sig", F.col("l.node").alias("other"), F.col("l.size").alias("other_size"),
-                F.col("l.near").alias("other_near"), F.col("l.component").alias("c"))
-            pairs = groups.join(leaders, "sig").where((F.col("component") != F.col("c")) & _may_link(least))
-            pairs = pairs.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"), "size", "other_size")
-            pairs = _not_far(pairs.dropDuplicates(["a", "b"]), sets, least)
+        if r == rounds:
+            return _nearest_first(_all_pairs_left(groups, sets, least).join(checked, ["a", "b"], "left_anti"), sets, links, found, least)
+        leaders = groups.groupBy("sig").agg(
+            F.min_by(F.struct("node", "size", "near", "component"), F.xxhash64("node", F.lit(r))).alias("l")).select(
+            "sig", F.col("l.node").alias("other"), F.col("l.size").alias("other_size"),
+            F.col("l.near").alias("other_near"), F.col("l.component").alias("c"))
+        pairs = groups.join(leaders, "sig").where((F.col("component") != F.col("c")) & _may_link(least))
+        pairs = pairs.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"), "size", "other_size")
+        pairs = _not_far(pairs.dropDuplicates(["a", "b"]), sets, least)
         pairs = written(pairs.join(checked, ["a", "b"], "left_anti"), "pairs")
         checked = checked.union(pairs)
         links = links.union(written(_verified(pairs, sets, least), "found"))
         found = components(links)
         groups = groups.drop("component")
-        if last:
-            break
     return found if found is not None else spark.range(0).select(F.col("id").alias("node"), F.col("id").alias("component"))
 
 
@@ -394,8 +438,8 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
     Rows without words are in no component and all stay.
     """
     found = join_components(docs, id_col, text_col, width, least, rounds).where("node IS NOT NULL")
-    winners = found.groupBy("component").agg(F.min(F.struct(F.col(id_col).cast("long").alias("of"), "node")).alias("w"))
-    winners = written(winners.select("w.of", "w.node"), "winners")
+    winners = found.groupBy("component").agg(F.min(F.struct(F.col(id_col).cast("long").alias("id"), "node", "key")).alias("w"))
+    winners = written(winners.select(F.col("w.key").alias("of"), "w.node"), "winners")
     names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -404,8 +448,8 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
             mine = [len(x) > 0 and _node(x) == n for x, n in zip(sets, piece.column("node").to_pylist())]
             yield piece.select(["row", "node"]).filter(pa.array(mine, pa.bool_()))
 
-    rows = docs.select(F.struct(*names).alias("row"), F.col(text_col).alias("text"), F.col(id_col).cast("long").alias("id"))
-    own = rows.join(winners.hint("shuffle_hash"), F.col("id").eqNullSafe(F.col("of"))).select("row", "text", "node")
+    rows = docs.select(F.struct(*names).alias("row"), F.col(text_col).alias("text"), _key(F.col(id_col), F.col(text_col)).alias("key"))
+    own = rows.join(winners, F.col("key") == F.col("of")).select("row", "text", "node")
     shape = rows.schema["row"].dataType.simpleString()
     kept = own.mapInArrow(run, f"row {shape}, node long").dropDuplicates(["node"]).select("row.*")
     return kept.union(docs.where(~F.coalesce(F.col(text_col), F.lit("")).rlike(r"[^\x20\x09-\x0D]")))
@@ -413,8 +457,8 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
 
 def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5,
                     least: int = 80, rounds: int = 2) -> DataFrame:
-    """id, n_shingles, node (name of the set), component and component_id (its least id) of every row."""
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    """id, n_shingles, node (name of the set), component, component_id (its least id) and key (hash of id and text) of every row."""
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), _key(F.col(id_col), F.col(text_col)).alias("key"))
     first = _first_pass(rows, width)
     table, frequent = _frequencies(first)
     groups = _groups(_signature_rows(rows, width, table, frequent, least), least)
@@ -422,8 +466,8 @@ def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     found = _link_components(groups, sets, least, rounds)
 
     named = first.where("slice IS NULL").join(found, "node", "left").withColumn("class", F.coalesce("component", "node"))
-    named = written(named.select("id", "size", "node", "class"), "classes")
+    named = written(named.select("id", "key", "size", "node", "class"), "classes")
     least_id = named.where("class IS NOT NULL").groupBy("class").agg(F.min("id").alias("least_id"))
     return named.join(least_id, "class", "left").select(
         F.col("id").alias(id_col), F.col("size").alias("n_shingles"), "node", F.col("class").alias("component"),
-        F.when(F.col("class").isNull(), F.col("id")).otherwise(F.col("least_id")).alias("component_id"))
+        F.when(F.col("class").isNull(), F.col("id")).otherwise(F.col("least_id")).alias("component_id"), "key")

@@ -100,3 +100,25 @@ def test_sketches_never_rule_out_a_link():
             y = np.unique(np.concatenate([rng.choice(x, max(1, int(n * share)), replace=False), rng.integers(0, 1 << 62, n // 10).astype(np.uint64)]))
             apart = len(np.setxor1d(x, y))
             assert j._bits_apart(j._sketch(x), j._sketch(y)) <= apart
+
+
+def test_many_rows_without_an_id(spark):
+    """A set is fetched by id and text, so rows of one id or none bring their own sets only."""
+    rows = [(None, sentence(k, 30)) for k in range(2000)] + [(7, sentence(k, 31)) for k in range(500)] + [(None, "the same words here again and again")] * 300
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = j.join_components(table)
+    assert got.count() == len(rows)
+    texts = {t for _, t in rows}
+    assert got.select("key").distinct().count() == len(texts)
+    keyed = table.select("text", j._key(table["doc_id"], table["text"]).alias("key"), table["doc_id"].alias("id"))
+    first = j._first_pass(keyed, 5)
+    nodes = first.where("node IS NOT NULL").select("node").distinct()
+    sets = j._sets_of(keyed, nodes, first, 5)
+    assert sets.select("node").distinct().count() == nodes.count() and sets.count() <= nodes.count() + 8
+
+
+def test_candidates_go_nearest_first(spark):
+    pairs = spark.createDataFrame([(1, 2, 5), (1, 3, 2), (2, 3, 9), (4, 5, 1), (1, 5, 7)], "a long, b long, apart int")
+    assert {tuple(r) for r in j._nearest(pairs, 1).collect()} == {(1, 3), (1, 2), (4, 5)}
+    found = spark.createDataFrame([(1, 1), (3, 1), (4, 4), (5, 4)], "node long, component long")
+    assert {(r["a"], r["b"]) for r in j._between(pairs, found).collect()} == {(1, 2), (2, 3), (1, 5)}
