@@ -11,21 +11,22 @@ from ledgerlens.catalog.bindings import (
 from ledgerlens.catalog.registry import REGISTRY, query
 from ledgerlens.operators import alerts
 from ledgerlens.session import ROCKSDB, STATE_STORE, work_folder
+from ledgerlens.sinks.gauge_table import GaugeTable
 from ledgerlens.streaming import alerts as stream_alerts, feedback as stream_feedback, keyed, scoring, signals, telemetry
-from ledgerlens.streaming.io import latest_state, read_batches, start_table, stream_lines, stream_parquet
+from ledgerlens.streaming.io import latest_state, read_batches, start_batches, start_table, stream_lines, stream_parquet
 
 
 def events_stream(t):
     return stream_parquet(t.spark, t.folder, t.events.schema, "events.parquet")
 
 
-def event_files(t, folder, files, late, again=None):
-    """The events as files in order of time, one stream batch each.
+def event_files(t, folder, files, late, again=None, by=None):
+    """The events as files in order of time, or of `by`, one stream batch each.
 
     Rows that are `late` come with the file after their own, and those that come `again` once more
     with the next one.
     """
-    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    at = F.unix_micros(F.col("ts").cast("timestamp")) if by is None else by
     edges = t.events.agg(F.percentile(at, F.array(*[F.lit(i / files) for i in range(1, files)])).alias("edges")).first()["edges"]
     number = F.least(sum((F.when(at > F.lit(e), 1).otherwise(0) for e in edges), F.lit(0)) + F.when(late, 1).otherwise(0), F.lit(files - 1))
     for i in range(files):
@@ -133,6 +134,33 @@ def stream_without_replays(t):
     return run_table(t, kept, "replays").groupBy("event_type").agg(F.count("*").alias("n"))
 
 
+def pushed_gauges(t, mode, by=None):
+    """Pushes over five files into a gauge table, one version a batch, compacted after the third."""
+    folder = work_folder(t.spark, "gauges")
+    event_files(t, folder, 5, late=F.lit(False), by=by)
+    table = GaugeTable(t.spark, f"{folder}/table")
+
+    def handle(batch, batch_id):
+        table.push(push_columns(batch), batch_id, mode)
+        if batch_id == 2:
+            table.compact()
+
+    rows = stream_parquet(t.spark, f"{folder}/events", t.events.schema, files_per_batch=1)
+    start_batches(rows, handle, f"{folder}/checkpoint").awaitTermination()
+    return table.read()
+
+
+@query("merged_pushes", "K5, T8", REGISTRY["latest_gauges"].sql)
+def merged_pushes(t):
+    return pushed_gauges(t, "merge")
+
+
+@query("replaced_pushes", "K5", REGISTRY["replaced_gauges"].sql)
+def replaced_pushes(t):
+    """Files in order of pushes, so the last push of a job is that of its last batch."""
+    return pushed_gauges(t, "replace", F.expr("event_id div 10"))
+
+
 @query("stream_feedback", "T1, K3, S4", f"""
 WITH {FEEDBACK} SELECT event_id, epoch_us(ts) AS micros, predicted_category = actual_category AS correct FROM feedback
 WHERE predicted_category <> '' AND actual_category <> ''""")
