@@ -12,6 +12,7 @@ from ledgerlens.catalog.registry import REGISTRY, query
 from ledgerlens.operators import alerts
 from ledgerlens.session import ROCKSDB, STATE_STORE, work_folder
 from ledgerlens.sinks.gauge_table import GaugeTable
+from ledgerlens.sources.scrape import ScrapeSource, place
 from ledgerlens.streaming import alerts as stream_alerts, feedback as stream_feedback, keyed, scoring, signals, telemetry
 from ledgerlens.streaming.io import latest_state, read_batches, start_batches, start_table, stream_lines, stream_parquet
 
@@ -161,6 +162,45 @@ def replaced_pushes(t):
     return pushed_gauges(t, "replace", F.expr("event_id div 10"))
 
 
+_SCRAPE = 6 * 3600
+
+
+def write_snapshots(folder, counted, first, last):
+    """Text snapshots of request counters at the scrapes `first` to `last`; every seventh is missing."""
+    system, path = place(folder)
+    for k in range(first, last + 1):
+        totals = {}
+        for r in counted:
+            if r["k"] <= k:
+                totals[r["event_type"]] = totals.get(r["event_type"], 0) + r["count"]
+        if k % 7 != 3:
+            target = f"{path}/job=backend/hour={k * _SCRAPE // 3600}"
+            system.create_dir(target, recursive=True)
+            with system.open_output_stream(f"{target}/{k * _SCRAPE}.prom") as out:
+                out.write(("# TYPE requests_total counter\n" + "".join(f'requests_total{{type="{e}"}} {n}\n' for e, n in sorted(totals.items()))).encode())
+
+
+@query("scraped_counters", "S12", f"""
+WITH seconds AS (SELECT event_type, epoch_us(ts) // 1000000 AS s FROM events),
+k AS (SELECT unnest(range((min(s) + {_SCRAPE - 1}) // {_SCRAPE}, max(s) // {_SCRAPE} + 1)) AS k FROM seconds),
+seen AS (SELECT k FROM k WHERE k >= (SELECT min(k) FROM k WHERE k % 7 <> 3) AND k <= (SELECT max(k) FROM k WHERE k % 7 <> 3))
+SELECT 'backend' AS job, k * {_SCRAPE} AS at_seconds, 'up' AS name, '' AS labels, CASE WHEN k % 7 = 3 THEN 0.0 ELSE 1.0 END::DOUBLE AS value, k % 7 = 3 AS stale FROM seen
+UNION ALL SELECT 'backend', k * {_SCRAPE}, 'requests_total', 'type="' || event_type || '"', count(*)::DOUBLE, false
+FROM seen JOIN seconds ON s <= k * {_SCRAPE} WHERE k % 7 <> 3 GROUP BY k, event_type""")
+def scraped_counters(t):
+    """Snapshots scraped in two runs of one query, the second from the checkpoint of the first."""
+    folder = work_folder(t.spark, "scrapes")
+    seconds = F.expr("unix_micros(cast(ts AS timestamp)) div 1000000")
+    counted = t.events.groupBy(F.ceil(seconds / F.lit(_SCRAPE)).alias("k"), "event_type").count().collect()  # a few counts a scrape
+    low, high = t.events.agg(F.ceil(F.min(seconds) / F.lit(_SCRAPE)), F.floor(F.max(seconds) / F.lit(_SCRAPE))).first()
+    t.spark.dataSource.register(ScrapeSource)
+    for first, last in ((low, (low + high) // 2), ((low + high) // 2 + 1, high)):
+        write_snapshots(f"{folder}/in", counted, first, last)
+        samples = t.spark.readStream.format("scrape").option("interval", _SCRAPE).load(f"{folder}/in")
+        start_table(samples, f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
+    return read_batches(t.spark, f"{folder}/out").select("job", F.unix_seconds("at").alias("at_seconds"), "name", "labels", "value", "stale")
+
+
 @query("stream_feedback", "T1, K3, S4", f"""
 WITH {FEEDBACK} SELECT event_id, epoch_us(ts) AS micros, predicted_category = actual_category AS correct FROM feedback
 WHERE predicted_category <> '' AND actual_category <> ''""")
