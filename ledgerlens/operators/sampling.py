@@ -16,7 +16,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ledgerlens.config import DriftSplitParams
-from ledgerlens.operators.ordered import with_position
 from ledgerlens.operators.profile import top_values
 from ledgerlens.operators.sizing import one_row, written
 
@@ -140,17 +139,32 @@ def shuffled(df: DataFrame, row_id: str, seed: int) -> DataFrame:
     return df.orderBy(row_hash(row_id, seed), row_id)
 
 
+def _hash_places(pool: DataFrame, row_id: str, seed: int, length: int = 4) -> DataFrame:
+    """(row_id, _pos): the place of each row in the order of hash and id, without a sort of the pool.
+
+    Rows are counted by hash prefix; a row's place is the number of rows with smaller prefixes
+    and its rank within its own, one of `16 ** length` even parts.
+    """
+    part = F.substring("_h", 1, length)
+    hashed = pool.select(row_id, row_hash(row_id, seed).alias("_h")).withColumn("_part", part)
+    counts = hashed.groupBy("_part").agg(F.count("*").alias("_n"))
+    # as many rows as there are prefixes, whatever the pool
+    before = counts.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_before"))
+    rank = F.row_number().over(Window.partitionBy("_part").orderBy("_h", row_id))
+    return hashed.withColumn("_rank", rank).join(before, "_part").select(row_id, (F.col("_before") + F.col("_rank")).alias("_pos"))
+
+
 def draw_with_replacement(pool: DataFrame, row_id: str, draws: Column | int, seed: int,
                           sizes: DataFrame | None = None, chunk: int = 100_000) -> DataFrame:
     """Exactly `draws` rows of the pool, the same row possibly many times.
 
     Draw i takes the pool row at position `md5(seed|draw|i) mod m`. Draw
     numbers are made by the executors in chunks, equal positions are counted
-    before the join, and the join is on the dense position of the pool row.
+    before the join, and the join is on the place of the pool row, found by counts of hash prefixes.
     `draws` may be an expression over the one-row table `sizes`. An empty pool
     gives an empty result.
     """
-    place = with_position(pool.select(row_id, row_hash(row_id, seed).alias("_h")), [], ["_h", row_id], "_pos").drop("_h")
+    place = _hash_places(pool, row_id, seed)
     size = pool.agg(F.count("*").alias("_m"))
     wanted = sizes.select(draws.alias("_draws")) if sizes is not None else size.select(F.lit(draws).cast("long").alias("_draws"))
     plan = one_row(wanted.withColumn("_m", size.scalar()))
