@@ -5,7 +5,6 @@ from datetime import datetime, timedelta
 
 import numpy as np
 import pandas as pd
-import pytest
 
 from ledgerlens.operators import alerts
 from ledgerlens.streaming import alerts as stream_alerts, signals
