@@ -14,11 +14,11 @@ from ledgerlens.session import ROCKSDB, STATE_STORE, work_folder
 from ledgerlens.sinks.gauge_table import GaugeTable
 from ledgerlens.sources.scrape import ScrapeSource, place
 from ledgerlens.streaming import alerts as stream_alerts, feedback as stream_feedback, keyed, scoring, signals, telemetry
-from ledgerlens.streaming.io import latest_state, read_batches, start_batches, start_table, stream_lines, stream_parquet
+from ledgerlens.streaming.io import latest_state, read_batches, start_batches, start_table, stream_lines, stream_parquet, stream_table
 
 
 def events_stream(t):
-    return stream_parquet(t.spark, t.folder, t.events.schema, "events.parquet")
+    return stream_table(t.spark, t.folder, "events", t.events.schema)
 
 
 def event_files(t, folder, files, late, again=None, by=None):
@@ -223,7 +223,7 @@ def stream_feedback_rows(t):
 WITH {TX}, {xq.SCORES} SELECT row_id, category AS predicted_category FROM probs WHERE rn = 1""")
 def stream_scoring(t):
     _, _, model = xq.language_model(t)
-    docs = stream_parquet(t.spark, t.folder, t.documents.schema, "documents.parquet").select(
+    docs = stream_table(t.spark, t.folder, "documents", t.documents.schema).select(
         F.col("doc_id").alias("row_id"), F.col("text").alias("description"))
     folder = work_folder(t.spark, "scoring")
     scoring.start_scoring(docs, model, "row_id", f"{folder}/out", f"{folder}/checkpoint").awaitTermination()

@@ -19,6 +19,14 @@ def stream_parquet(spark: SparkSession, folder: str, schema: T.StructType, patte
     return reader.parquet(folder)
 
 
+def stream_table(spark: SparkSession, folder: str, name: str, schema: T.StructType) -> DataFrame:
+    """The files of the table `name`, which is one Parquet file or a folder of them.
+
+    A path with a pattern may name either; without one, a stream takes folders only.
+    """
+    return spark.readStream.schema(schema).parquet(f"{folder}/[{name[0]}]{name[1:]}.parquet")
+
+
 def stream_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.readStream.text(path)
 
