@@ -1,9 +1,11 @@
 """Alert signals from a stream of requests and gauge pushes, one row a tick, by event time.
 
-Two keyed steps. The first is spread over `parts` keys by a hash of the event, so no task
-sees all traffic: each keeps one pane a tick (bucket counts, the last outcomes, the last
-value of each gauge) until the watermark has passed the tick, then hands the panes on. The second
-has one key a service and sees at most `parts` rows a tick, whatever the traffic. It keeps
+Three keyed steps. The first is spread over spans of time and, in each, over `parts` keys by a
+hash of the event, so no task sees all traffic and none holds more than its share of a span: it
+keeps one pane a tick (bucket counts, the last outcomes, the last value of each gauge) until
+the watermark has passed the tick, then hands the panes on. The second adds the parts of a
+span up, so a tick has one pane. The third has one key a service and sees the panes of a tick
+once, with at most as many outcomes as the error rate looks back on, whatever the traffic. It keeps
 rings of panes as long as its ranges (five minutes, an hour, a day), the last outcomes
 and the last gauges, and emits a row for every tick up to the watermark. Its timer is set
 to the tick after the last one emitted, so ticks go on while no request comes: silence
@@ -29,6 +31,7 @@ from ledgerlens.operators.telemetry import DAY, HOUR, SECOND, quantile_of_bucket
 from ledgerlens.streaming.arrow_state import packed, unpacked
 
 _FIVE_MINUTES = 300
+_SPAN = 6 * HOUR
 
 
 def service_log(requests: DataFrame, pushes: DataFrame, clock: DataFrame | None = None) -> DataFrame:
@@ -62,8 +65,23 @@ def _last_of_each(frame: pd.DataFrame, by: str, most: int) -> pd.DataFrame:
     return frame[np.arange(len(group)) >= np.searchsorted(group, group, "right") - most]
 
 
+def _joined(pieces: Sequence[tuple[pd.DataFrame, ...]], outcomes: int) -> list[pd.DataFrame]:
+    """Panes of several pieces as those of one: counts, the last outcomes of a pane, the last value of each of its gauges."""
+    counts, last, gauges = (
+        pd.concat([f for f in frames if len(f)] or list(frames[:1]), ignore_index=True) for frames in zip(*pieces))
+    return [
+        counts.groupby("tick_no", as_index=False).sum(), _last_of_each(last, "tick_no", outcomes),
+        gauges.sort_values(["at", "event_id"], kind="stable").drop_duplicates(["tick_no", "metric"], keep="last")]
+
+
+def _piece(key: tuple, names: Sequence[str], last_tick: int, step: int, **values: bytes) -> pd.DataFrame:
+    """One row with the key, the time of the last tick, and packed panes."""
+    return pd.DataFrame({
+        **dict(zip(names, ([k] for k in key))), "tick": pd.to_datetime([last_tick * step], unit="s", utc=True), **{c: [v] for c, v in values.items()}})
+
+
 class PaneParts(StatefulProcessor):
-    """The panes of one share of the traffic; state is what the watermark has not passed yet.
+    """The panes of one share of a span's traffic; state is what the watermark has not passed yet.
 
     State and output have three kinds of rows: one with counts for each pane, one for each of
     the last outcomes of a pane, one for each gauge that a pane has.
@@ -112,10 +130,7 @@ class PaneParts(StatefulProcessor):
             counted, pushed = batch["outcome"].notna(), batch["metric"].isin(self.gauges) & batch["value"].notna()
             outcomes = at[counted].assign(failed=batch.loc[counted, "outcome"].astype("int8"))
             gauges = at[pushed].assign(metric=batch.loc[pushed, "metric"], value=batch.loc[pushed, "value"].astype(float))
-            counts, outcomes, gauges = (pd.concat(pair, ignore_index=True) if len(pair[0]) else pair[1] for pair in zip(frames, (made, outcomes, gauges)))
-            frames = [
-                counts.groupby("tick_no", as_index=False).sum(), _last_of_each(outcomes, "tick_no", self.outcomes),
-                gauges.sort_values(["at", "event_id"], kind="stable").drop_duplicates(["tick_no", "metric"], keep="last")]
+            frames = _joined([frames, (made, outcomes, gauges)], self.outcomes)
         self._save(frames, timer)
         return iter(())
 
@@ -124,23 +139,40 @@ class PaneParts(StatefulProcessor):
         frames, timer = self._load()
         counts, outcomes, gauges = (f[f["tick_no"] <= done] for f in frames)
         if len(counts):
-            out = pd.concat([
-                pd.DataFrame({"tick_no": counts["tick_no"], "counts": list(counts[self.counted].to_numpy())}), outcomes, gauges], ignore_index=True)
-            out = out.reindex(columns=["tick_no", "counts", "at", "event_id", "failed", "metric", "value"])
-            tick = pd.to_datetime(out.pop("tick_no").to_numpy("int64") * self.step, unit="s", utc=True)
-            out = out.astype({"at": "Int64", "event_id": "Int64", "failed": "Int8"})
-            for c in ("counts", "metric"):
-                out[c] = [None if v is None or v is np.nan else v for v in out[c]]
-            out.insert(0, "tick", tick)
-            out.insert(0, "service", key[0])
-            yield out
+            yield _piece(key[:2], ("service", "span"), int(counts["tick_no"].max()), self.step,
+                         counts=packed(counts), outcomes=packed(outcomes), gauges=packed(gauges))
         self._save([f[f["tick_no"] > done] for f in frames], timer if timer != expiredTimerInfo.getExpiryTimeInMs() else -1)
 
     def close(self) -> None:
         pass
 
 
-PANES = "service string, tick timestamp, counts array<bigint>, at bigint, event_id bigint, failed tinyint, metric string, value double"
+PARTS = "service string, span bigint, tick timestamp, counts binary, outcomes binary, gauges binary"
+PANES = "service string, tick timestamp, panes binary"
+
+
+class SpanPanes(StatefulProcessor):
+    """The panes of a span from those of its parts, which come in one batch once the watermark has passed them; no state."""
+
+    def __init__(self, step: int, outcomes: int):
+        self.step, self.outcomes = step, outcomes
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        pass
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        parts = [tuple(map(unpacked, piece)) for batch in rows for piece in zip(batch["counts"], batch["outcomes"], batch["gauges"])]
+        counts, outcomes, gauges = _joined(parts, self.outcomes)
+        ticks, cells = counts["tick_no"], counts.drop(columns="tick_no")
+        panes = pd.concat([
+            pd.DataFrame({"tick_no": ticks, "counts": list(cells.to_numpy())}), outcomes[["tick_no", "failed"]],
+            gauges[["tick_no", "metric", "value"]]], ignore_index=True).reindex(columns=["tick_no", "counts", "failed", "metric", "value"])
+        for c in ("counts", "metric"):
+            panes[c] = [None if v is None or v is np.nan else v for v in panes[c]]
+        yield _piece(key[:1], ("service",), int(ticks.max()), self.step, panes=packed(panes))
+
+    def close(self) -> None:
+        pass
 
 
 class SignalTicks(StatefulProcessor):
@@ -167,9 +199,7 @@ class SignalTicks(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         ring, last, gauges, waiting, upcoming = self._load()
-        fresh = pd.concat(list(rows), ignore_index=True).drop(columns="service")
-        fresh.insert(0, "tick_no", fresh.pop("tick").astype("int64") // (10 ** 9 * self.step) if str(fresh["tick"].dtype).endswith("ns]")
-                     else fresh.pop("tick").to_numpy("datetime64[s]").astype("int64") // self.step)
+        fresh = pd.concat([unpacked(p) for batch in rows for p in batch["panes"]], ignore_index=True)
         waiting = fresh if waiting is None else pd.concat([waiting, fresh], ignore_index=True)
         if upcoming < 0:
             upcoming = int(waiting["tick_no"].min())
@@ -181,7 +211,7 @@ class SignalTicks(StatefulProcessor):
         ring, last, gauges, waiting, upcoming = self._load()
         done = timerValues.getCurrentWatermarkInMs() // (self.step * 1000)
         if waiting is not None:
-            waiting = waiting.sort_values(["tick_no", "at", "event_id"], kind="stable", ignore_index=True)
+            waiting = waiting.sort_values("tick_no", kind="stable", ignore_index=True)  # a tick's own rows are in order
         while upcoming <= done:
             end = min(done, upcoming + DAY // self.step - 1)
             upto = int(np.searchsorted(waiting["tick_no"], end, "right")) if waiting is not None else 0
@@ -234,12 +264,12 @@ class SignalTicks(StatefulProcessor):
         pass
 
 
-def service_signal_stream(log: DataFrame, service: Column | None = None, late: str = "10 minutes", parts: int = 32,
+def service_signal_stream(log: DataFrame, service: Column | None = None, late: str = "10 minutes", parts: int = 8,
                           step: int = TICK_SECONDS, bounds: Sequence[float] = LATENCY_BOUNDS,
                           gauges: Sequence[str] = GAUGES, outcomes: int = ERROR_WINDOW) -> DataFrame:
     """Signals of each service at every tick from its first event to the watermark.
 
-    `log` is a stream of `service_log` rows. Raise `parts` with the traffic. The
+    `log` is a stream of `service_log` rows. Raise `parts` with the traffic of a span of six hours. The
     columns are those of `operators.alerts.service_signals`, after `service`. The session
     must use the RocksDB state store, as `build_session` sets it.
     """
@@ -247,9 +277,14 @@ def service_signal_stream(log: DataFrame, service: Column | None = None, late: s
     events = log.withWatermark("ts", late).select(
         owner.alias("service"), "ts", F.ceil(epoch_micros(F.col("ts")) / F.lit(step * SECOND)).cast("long").alias("tick_no"),
         epoch_micros(F.col("ts")).alias("at"), "event_id", "seconds", "outcome", "feedback", "switch", "metric", "value",
+        # by the tick, so that a tick lies in one span
+        F.floor(F.ceil(epoch_micros(F.col("ts")) / F.lit(step * SECOND)) / F.lit(max(_SPAN // step, 1))).cast("long").alias("span"),
         F.pmod(F.xxhash64("event_id"), F.lit(parts)).cast("int").alias("part"))
-    panes = events.groupBy("service", "part").transformWithStateInPandas(
-        statefulProcessor=PaneParts(step, bounds, gauges, outcomes), outputStructType=PANES,
+    shares = events.groupBy("service", "span", "part").transformWithStateInPandas(
+        statefulProcessor=PaneParts(step, bounds, gauges, outcomes), outputStructType=PARTS,
+        outputMode="Append", timeMode="EventTime", eventTimeColumnName="tick")
+    panes = shares.groupBy("service", "span").transformWithStateInPandas(
+        statefulProcessor=SpanPanes(step, outcomes), outputStructType=PANES,
         outputMode="Append", timeMode="EventTime", eventTimeColumnName="tick")
     n = len(bounds)
     shape = ", ".join(["service string, tick_no bigint", *[f"c{i} bigint" for i in range(n)], "total bigint, feedback_24h bigint, model_switches_1h bigint",

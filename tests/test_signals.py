@@ -8,6 +8,7 @@ import pandas as pd
 
 from ledgerlens.operators import alerts
 from ledgerlens.streaming import alerts as stream_alerts, signals
+from ledgerlens.streaming.arrow_state import packed, unpacked
 from ledgerlens.streaming.io import read_batches, start_table, stream_parquet
 
 START = datetime(2024, 1, 1)
@@ -111,3 +112,17 @@ def test_parts_do_not_matter():
     made, *_ = ticks._ticks(1, 4, panes, np.zeros((0, 4), np.int64), np.zeros(0, np.int8), {})
     assert made["c0"].tolist() == [3, 3, 4, 4] and made["total"].tolist() == [3, 3, 4, 4]
     assert made["error_rate"].tolist() == [0.5, 0.5, 2 / 3, 2 / 3] and made["model_switches_1h"].tolist() == [0, 0, 2, 2]
+
+
+def test_a_tick_has_one_pane_however_many_parts():
+    """Thirty parts of a tick, each with all the outcomes it may hand on, end as one pane with as many as one part has."""
+    step = signals.SpanPanes(STEP, 5)
+    part = lambda k: {
+        "counts": packed(pd.DataFrame({"tick_no": [7], "c0": [k], "total": [1]})),
+        "outcomes": packed(pd.DataFrame({"tick_no": 7, "at": np.arange(5) * 30 + k, "event_id": k, "failed": np.int8(k % 2)})),
+        "gauges": packed(pd.DataFrame({"tick_no": [7], "at": [k], "event_id": [1], "metric": ["up"], "value": [float(k)]}))}
+    (out,) = step.handleInputRows(("s", 0), iter([pd.DataFrame([part(k) for k in range(30)])]), None)
+    panes = unpacked(out["panes"][0])
+    assert len(out) == 1 and out["tick"][0].timestamp() == 7 * STEP
+    assert [list(c) for c in panes["counts"].dropna()] == [[sum(range(30)), 30]]
+    assert panes["failed"].dropna().tolist() == [1, 0, 1, 0, 1] and panes["value"].dropna().tolist() == [29.0]
