@@ -37,7 +37,10 @@ class LastRows(StatefulProcessor):
         self.state = handle.getValueState("last", "failed binary")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        fresh = pd.concat(list(rows), ignore_index=True).sort_values(["at", "event_id"], kind="stable").iloc[-self.rows:]
+        fresh = None
+        for batch in rows:  # no more than the last rows are held
+            both = batch if fresh is None else pd.concat([fresh, batch], ignore_index=True)
+            fresh = both.sort_values(["at", "event_id"], kind="stable").iloc[-self.rows:]
         named = {c: pd.Series([k] * len(fresh), dtype=object) for c, k in zip(self.keys, key)}
         if self.share:
             yield pd.DataFrame({**named, **{c: fresh[c].to_numpy() for c in ("at", "event_id", "failed")}})
@@ -72,65 +75,114 @@ def rolling_error_rates(requests: DataFrame, keys: Sequence[str], rows: int = ER
 
 
 # --- Counters in order of time ------------------------------------------------
-class CounterSeries(StatefulProcessor):
-    """Increases of one counter; samples wait until the watermark has passed them, then come in order of time."""
+class CounterSpan(StatefulProcessor):
+    """Increases inside one span of time of a counter; samples wait until the watermark has passed them, then come in order of time.
+
+    Those that come at once are a lot. Its first sample has no increase yet; it has `closes`, the value of the
+    lot's last sample, by which the series goes on.
+    """
 
     def __init__(self, keys: Sequence[str]):
         self.keys = list(keys)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        # the last sample's value, null before the first one; the samples that wait; the time of the one timer, in ms
-        self.state = handle.getValueState("series", "last double, waiting binary, timer bigint")
+        # the samples that wait; the time of the one timer, in ms
+        self.state = handle.getValueState("span", "waiting binary, timer bigint")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        last, waiting, timer = self.state.get() if self.state.exists() else (None, None, -1)
+        waiting, timer = self.state.get() if self.state.exists() else (None, -1)
         fresh = pd.concat(list(rows), ignore_index=True)[["at", "sample_id", "value"]].dropna()
         if waiting is not None:
             fresh = pd.concat([unpacked(waiting), fresh], ignore_index=True)
         if len(fresh):
-            self._wait(last, fresh, timer)
+            self._wait(fresh, timer)
         return iter(())
 
-    def _wait(self, last: float | None, waiting: pd.DataFrame, timer: int) -> None:
+    def _wait(self, waiting: pd.DataFrame, timer: int) -> None:
         due = -(-int(waiting["at"].min()) // 1000) if len(waiting) else -1
         if timer >= 0 and timer != due:
             self.handle.deleteTimer(timer)
         if due >= 0 and timer != due:
             self.handle.registerTimer(due)
-        self.state.update((last, packed(waiting) if len(waiting) else None, due))
+        if len(waiting):
+            self.state.update((packed(waiting), due))
+        else:
+            self.state.clear()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        last, waiting, timer = self.state.get()
+        waiting, timer = self.state.get()
         passed = timerValues.getCurrentWatermarkInMs() * 1000
         rows = unpacked(waiting).sort_values(["at", "sample_id"], kind="stable", ignore_index=True)
         ready, rest = rows[rows["at"] <= passed], rows[rows["at"] > passed]
         if len(ready):
             value = ready["value"].to_numpy(float)
-            before = np.concatenate([[np.nan if last is None else last], value[:-1]])
-            grown = np.where(np.isnan(before), 0.0, np.where(value < before, value, value - before))
-            last = float(value[-1])
+            first = np.arange(len(ready)) == 0
             yield pd.DataFrame({
                 **{c: pd.Series([k] * len(ready), dtype=object) for c, k in zip(self.keys, key)}, "sample_id": ready["sample_id"].to_numpy("int64"),
-                "ts": pd.to_datetime(ready["at"].to_numpy("int64"), unit="us", utc=True), "value": value, "increase": grown})
-        self._wait(last, rest, -1 if timer == expiredTimerInfo.getExpiryTimeInMs() else timer)
+                "ts": pd.to_datetime(ready["at"].to_numpy("int64"), unit="us", utc=True), "value": value,
+                "increase": np.where(first, np.nan, _increases(value, np.nan)), "closes": np.where(first, value[-1], np.nan)})
+        self._wait(rest, -1 if timer == expiredTimerInfo.getExpiryTimeInMs() else timer)
 
     def close(self) -> None:
         pass
 
 
-def counter_increase_stream(samples: DataFrame, series: Sequence[str], late: str = "10 minutes") -> DataFrame:
+def _increases(value: np.ndarray, before: float | np.ndarray) -> np.ndarray:
+    """From the value before each one, nan where there is none; a number is that before the first one."""
+    if np.isscalar(before):
+        before = np.concatenate([[before], value[:-1]])
+    return np.where(np.isnan(before), 0.0, np.where(value < before, value, value - before))
+
+
+class CounterSeries(StatefulProcessor):
+    """Joins the lots of a counter: only their first samples are held; all others pass as they come. State is the last value."""
+
+    def __init__(self, keys: Sequence[str]):
+        self.keys = list(keys)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.state = handle.getValueState("series", "last double")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        columns, held = [*self.keys, "sample_id", "ts", "value", "increase"], []
+        for batch in rows:
+            opens = batch["closes"].notna()
+            held.append(batch[opens])
+            if not opens.all():
+                yield batch.loc[~opens, columns]
+        firsts = pd.concat(held, ignore_index=True).sort_values("ts", kind="stable", ignore_index=True)
+        if len(firsts):
+            closes = firsts["closes"].to_numpy(float)
+            before = np.concatenate([[self.state.get()[0] if self.state.exists() else np.nan], closes[:-1]])
+            firsts["increase"] = _increases(firsts["value"].to_numpy(float), before)
+            self.state.update((float(closes[-1]),))
+            yield firsts[columns]
+
+    def close(self) -> None:
+        pass
+
+
+def counter_increase_stream(samples: DataFrame, series: Sequence[str], late: str = "10 minutes", span: int = 3600) -> DataFrame:
     """(series, sample_id, ts, value, increase) of a stream of samples, each once the watermark has passed it.
 
     As `operators.telemetry.counter_increase`: a drop means that the counter began again at 0,
     and the first sample has no increase. Samples may come in any order within
     `late`; those behind the watermark are left out. Samples without a value, time or id do not count.
+
+    Samples wait by `span` seconds of a series, so a task holds those of one span, whatever the delay; the
+    series' own step holds one sample a span.
     """
     series = list(series)
     timed = samples.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", late).select(
-        *series, "ts", epoch_micros(F.col("ts")).alias("at"), "sample_id", F.col("value").cast("double").alias("value"))
-    return timed.groupBy(*series).transformWithStateInPandas(
-        statefulProcessor=CounterSeries(series), outputStructType=f"{_fields(samples, series)}, sample_id bigint, ts timestamp, value double, increase double",
+        *series, "ts", F.floor(F.unix_seconds("ts") / F.lit(span)).cast("long").alias("_span"), epoch_micros(F.col("ts")).alias("at"), "sample_id",
+        F.col("value").cast("double").alias("value"))
+    named = f"{_fields(samples, series)}, sample_id bigint, ts timestamp, value double, increase double"
+    # without the watermark's mark on its time, no sample of a lot is dropped between the steps
+    lots = timed.groupBy(*series, "_span").transformWithStateInPandas(
+        statefulProcessor=CounterSpan(series), outputStructType=f"{named}, closes double", outputMode="Append", timeMode="EventTime")
+    return lots.groupBy(*series).transformWithStateInPandas(
+        statefulProcessor=CounterSeries(series), outputStructType=named,
         outputMode="Append", timeMode="EventTime", eventTimeColumnName="ts")
 
 

@@ -3,6 +3,8 @@
 import random
 from datetime import datetime, timedelta
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 from ledgerlens.operators import telemetry
@@ -74,3 +76,64 @@ def test_every_row_is_kept_late_or_repeated(spark, tmp_path):
         ("4", "d", "late"), ("5", "e", "kept"), ("3", "again", "repeated"), ("None", "no id", "kept"), ("None", "no id", "kept"), ("6", "no time", "late"),
         ("7", "g", "late"), ("7", "a first", "kept"), ("7", "b second", "repeated"), ("8", "h", "kept")])
     assert got.where(F.col("arrival").isNull()).isEmpty() and got.columns[:3] == ["event_id", "ts", "note"]
+
+
+class Held:
+    """A state value and its handle outside a stream."""
+    def __init__(self):
+        self.value = None
+
+    def getValueState(self, name, schema):  # noqa: N802
+        return self
+
+    def exists(self):
+        return self.value is not None
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+
+def test_samples_of_a_lot_pass_one_batch_at_a_time():
+    """The series' step holds the first sample of each lot only, whatever the lots hold."""
+    taken = []
+
+    def lots():
+        for k in (1, 0):  # in any order
+            for opens in (True, False):
+                taken.append((k, opens))
+                n = 1 if opens else 1000
+                yield pd.DataFrame({
+                    "series": "a", "sample_id": np.arange(n), "ts": pd.to_datetime([START + timedelta(hours=k)] * n, utc=True), "value": 5.0 + k,
+                    "increase": np.nan if opens else 0.0, "closes": 9.0 - 6 * k if opens else np.nan})
+
+    step, state = keyed.CounterSeries(["series"]), Held()
+    step.init(state)
+    rows = step.handleInputRows(("a",), lots(), None)
+    assert len(next(rows)) == 1000 and taken == [(1, True), (1, False)]
+    assert len(next(rows)) == 1000 and len(taken) == 4
+    assert next(rows)["increase"].tolist() == [0.0, 6.0]  # 5 with nothing before; 6 after a restart from 9
+    assert state.value == (3.0,) and next(rows, None) is None
+
+
+def test_last_rows_hold_no_more_than_they_keep(monkeypatch):
+    largest = []
+    ordered = pd.DataFrame.sort_values
+    monkeypatch.setattr(pd.DataFrame, "sort_values", lambda self, *a, **k: largest.append(len(self)) or ordered(self, *a, **k))
+    step = keyed.LastRows(["key"], 10, True)
+    step.init(Held())
+    batches = (pd.DataFrame({"at": np.arange(k * 100, k * 100 + 100), "event_id": 1, "failed": np.int8(k % 2)}) for k in (3, 0, 2, 1))
+    (out,) = step.handleInputRows(("a",), batches, None)
+    assert out["at"].tolist() == list(range(390, 400)) and max(largest) <= 110
+
+
+def test_counters_over_short_spans(spark, tmp_path):
+    """Lots of many spans and batches join as one series, with spans that have no sample or end inside a batch."""
+    draw = random.Random(6)
+    rows = [(i, START + timedelta(seconds=i // 3 * 50 + i // 100 * 4000), draw.choice(["a", "b", None]), float(draw.randrange(50))) for i in range(300)]
+    batches = [rows[a:a + 75] for a in range(0, 300, 75)] + [[(None, START + timedelta(hours=30), "clock", 0.0)]]
+    got = ran(spark, tmp_path, batches, SAMPLES, lambda s: keyed.counter_increase_stream(s, ["series"], "10 minutes", span=120))
+    want = telemetry.counter_increase(spark.createDataFrame(rows, SAMPLES), ["series"]).select("sample_id", "series", "increase")
+    assert sorted(map(str, got.select("sample_id", "series", "increase").collect())) == sorted(map(str, want.collect()))
