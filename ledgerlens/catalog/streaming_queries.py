@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from ledgerlens.catalog import telemetry_queries as tq, text_queries as xq
@@ -10,6 +12,7 @@ from ledgerlens.catalog.bindings import (
 )
 from ledgerlens.catalog.registry import REGISTRY, query
 from ledgerlens.operators import alerts
+from ledgerlens.operators.ordered import with_position
 from ledgerlens.session import ROCKSDB, STATE_STORE, work_folder
 from ledgerlens.sinks.gauge_table import GaugeTable
 from ledgerlens.sources.scrape import ScrapeSource, place
@@ -21,21 +24,46 @@ def events_stream(t):
     return stream_table(t.spark, t.folder, "events", t.events.schema)
 
 
+#: Events of a batch beyond this are dealt over several files.
+FILE_ROWS = 250_000
+
+
+def percentiles(values, shares):
+    """Interpolated percentiles of a column of numbers, as `percentile` gives them, from places in a range sort."""
+    values = values.toDF("at").where("at IS NOT NULL")
+    n = values.count()
+    if not n:
+        return []
+    wanted = [(n - 1) * share for share in shares]
+    ranks = sorted({r + 1 for p in wanted for r in (math.floor(p), math.ceil(p))})
+    at = {r["pos"] - 1: float(r["at"]) for r in with_position(values, [], ["at"]).where(F.col("pos").isin(ranks)).collect()}
+    ends = [(p, math.floor(p), math.ceil(p)) for p in wanted]
+    return [at[low] if at[low] == at[high] else (high - p) * at[low] + (p - low) * at[high] for p, low, high in ends]
+
+
 def event_files(t, folder, files, late, again=None, by=None):
     """The events as files in order of time, or of `by`, one stream batch each.
 
     Rows that are `late` come with the file after their own, and those that come `again` once more
-    with the next one.
+    with the next one. Many events make several files of each; gives how many, for `files_per_batch`.
     """
     at = F.unix_micros(F.col("ts").cast("timestamp")) if by is None else by
-    edges = t.events.agg(F.percentile(at, F.array(*[F.lit(i / files) for i in range(1, files)])).alias("edges")).first()["edges"]
+    edges = percentiles(t.events.select(at), [i / files for i in range(1, files)])
     number = F.least(sum((F.when(at > F.lit(e), 1).otherwise(0) for e in edges), F.lit(0)) + F.when(late, 1).otherwise(0), F.lit(files - 1))
+    parts = max(-(-t.events.count() // (files * FILE_ROWS)), 1)
+    place = f"{folder}/events"
     for i in range(files):
         rows = t.events.where(number == i)
         if again is not None:
             before = F.least(number + 1, F.lit(files - 1))
             rows = rows.unionByName(t.events.where((before == i) & again))
-        rows.coalesce(1).write.mode("append").parquet(f"{folder}/events")
+        if parts == 1:
+            rows.coalesce(1).write.mode("append").parquet(place)
+            continue
+        rows.repartition(parts).write.mode("append").parquet(place)
+        for _ in range((i + 1) * parts - len(t.spark.read.parquet(place).inputFiles())):  # empty parts make no file
+            t.events.limit(0).coalesce(1).write.mode("append").parquet(place)
+    return parts
 
 
 def clock_file(t, folder, hours):
@@ -78,9 +106,9 @@ SELECT endpoint, avg(CASE WHEN ok THEN 0 ELSE 1 END) AS error_rate, count(*) AS
 def stream_rolling_error_rate(t):
     """Over five files, of which each repeats a tenth of the one before."""
     folder = work_folder(t.spark, "rolling")
-    event_files(t, folder, 5, late=F.lit(False), again=F.col("event_id") % 10 == 3)
+    parts = event_files(t, folder, 5, late=F.lit(False), again=F.col("event_id") % 10 == 3)
     t.spark.conf.set(STATE_STORE, ROCKSDB)  # a session not made by build_session may lack it
-    rows = stream_parquet(t.spark, f"{folder}/events", t.events.schema, files_per_batch=1)
+    rows = stream_parquet(t.spark, f"{folder}/events", t.events.schema, files_per_batch=parts)
     once = telemetry.without_replays(request_columns(rows), ["event_id"], "40 days")
     telemetry.start_rolling_error_rate(once, ["endpoint"], folder, f"{folder}/checkpoint").awaitTermination()
     return telemetry.latest_rates(t.spark, folder, ["endpoint"])
@@ -89,10 +117,10 @@ def stream_rolling_error_rate(t):
 def samples_stream(t, hours):
     """Samples over five files and a last clock row so many hours behind the last one; a twentieth come a file late, within the delay."""
     folder = work_folder(t.spark, "samples")
-    event_files(t, folder, 5, late=F.col("event_id") % 20 == 7)
+    parts = event_files(t, folder, 5, late=F.col("event_id") % 20 == 7)
     clock_file(t, folder, hours)
     t.spark.conf.set(STATE_STORE, ROCKSDB)  # a session not made by build_session may lack it
-    return counter_columns(stream_parquet(t.spark, f"{folder}/events", t.events.schema, files_per_batch=1))
+    return counter_columns(stream_parquet(t.spark, f"{folder}/events", t.events.schema, files_per_batch=parts))
 
 
 @query("stream_counter_increase", "W9, T6", REGISTRY["counter_increase"].sql)
@@ -120,9 +148,9 @@ SELECT CASE WHEN late THEN 'late' WHEN nth > 1 THEN 'repeated' ELSE 'kept' END A
 def stream_arrivals(t):
     """Five files with rows that come late and rows that come twice: every row is kept, late or repeated."""
     folder = work_folder(t.spark, "arrivals")
-    event_files(t, folder, 5, late=F.col("event_id") % 9 == 4, again=F.col("event_id") % 10 == 3)
+    parts = event_files(t, folder, 5, late=F.col("event_id") % 9 == 4, again=F.col("event_id") % 10 == 3)
     t.spark.conf.set(STATE_STORE, ROCKSDB)  # a session not made by build_session may lack it
-    rows = stream_parquet(t.spark, f"{folder}/events", t.events.schema, files_per_batch=1)
+    rows = stream_parquet(t.spark, f"{folder}/events", t.events.schema, files_per_batch=parts)
     told = run_table(t, keyed.arrivals(rows, "event_id", "1 day"), "told")
     return told.groupBy("arrival").agg(F.count("*").alias("n"), F.sum("event_id").alias("ids"))
 
@@ -138,7 +166,7 @@ def stream_without_replays(t):
 def pushed_gauges(t, mode, by=None):
     """Pushes over five files into a gauge table, one version a batch, compacted after the third."""
     folder = work_folder(t.spark, "gauges")
-    event_files(t, folder, 5, late=F.lit(False), by=by)
+    parts = event_files(t, folder, 5, late=F.lit(False), by=by)
     table = GaugeTable(t.spark, f"{folder}/table")
 
     def handle(batch, batch_id):
@@ -146,7 +174,7 @@ def pushed_gauges(t, mode, by=None):
         if batch_id == 2:
             table.compact()
 
-    rows = stream_parquet(t.spark, f"{folder}/events", t.events.schema, files_per_batch=1)
+    rows = stream_parquet(t.spark, f"{folder}/events", t.events.schema, files_per_batch=parts)
     start_batches(rows, handle, f"{folder}/checkpoint").awaitTermination()
     return table.read()
 
@@ -245,9 +273,9 @@ def stream_feedback_drift(t):
 def signal_stream(t):
     """Signals of the request stream over five files of events and a last clock row."""
     folder = work_folder(t.spark, "log")
-    event_files(t, folder, 5, late=F.lit(False))
+    parts = event_files(t, folder, 5, late=F.lit(False))
     clock_file(t, folder, 1 / 6)  # the watermark's delay is ten minutes
-    rows = stream_parquet(t.spark, f"{folder}/events", t.events.schema, files_per_batch=1)
+    rows = stream_parquet(t.spark, f"{folder}/events", t.events.schema, files_per_batch=parts)
     events, ticking = rows.where("event_id IS NOT NULL"), rows.where("event_id IS NULL").select("ts")
     t.spark.conf.set(STATE_STORE, ROCKSDB)  # a session not made by build_session may lack it
     return signals.service_signal_stream(
