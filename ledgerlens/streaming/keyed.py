@@ -174,7 +174,8 @@ def counter_increase_stream(samples: DataFrame, series: Sequence[str], late: str
     series' own step holds one sample a span.
     """
     series = list(series)
-    timed = samples.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", late).select(
+    # a worker takes a null span for another key's, so samples without a time go before
+    timed = samples.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", late).where("ts IS NOT NULL").select(
         *series, "ts", F.floor(F.unix_seconds("ts") / F.lit(span)).cast("long").alias("_span"), epoch_micros(F.col("ts")).alias("at"), "sample_id",
         F.col("value").cast("double").alias("value"))
     named = f"{_fields(samples, series)}, sample_id bigint, ts timestamp, value double, increase double"

@@ -274,7 +274,8 @@ def service_signal_stream(log: DataFrame, service: Column | None = None, late: s
     must use the RocksDB state store, as `build_session` sets it.
     """
     owner = F.lit("service") if service is None else service
-    events = log.withWatermark("ts", late).select(
+    # a worker takes a null span for another key's, so events without a time go before
+    events = log.withWatermark("ts", late).where("ts IS NOT NULL").select(
         owner.alias("service"), "ts", F.ceil(epoch_micros(F.col("ts")) / F.lit(step * SECOND)).cast("long").alias("tick_no"),
         epoch_micros(F.col("ts")).alias("at"), "event_id", "seconds", "outcome", "feedback", "switch", "metric", "value",
         # by the tick, so that a tick lies in one span

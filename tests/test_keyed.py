@@ -133,7 +133,8 @@ def test_counters_over_short_spans(spark, tmp_path):
     """Lots of many spans and batches join as one series, with spans that have no sample or end inside a batch."""
     draw = random.Random(6)
     rows = [(i, START + timedelta(seconds=i // 3 * 50 + i // 100 * 4000), draw.choice(["a", "b", None]), float(draw.randrange(50))) for i in range(300)]
-    batches = [rows[a:a + 75] for a in range(0, 300, 75)] + [[(None, START + timedelta(hours=30), "clock", 0.0)]]
+    timeless = [(500 + i, None, draw.choice(["a", "b", None]), 3.0) for i in range(40)]
+    batches = [rows[a:a + 75] + timeless[a // 75::4] for a in range(0, 300, 75)] + [[(None, START + timedelta(hours=30), "clock", 0.0)]]
     got = ran(spark, tmp_path, batches, SAMPLES, lambda s: keyed.counter_increase_stream(s, ["series"], "10 minutes", span=120))
     want = telemetry.counter_increase(spark.createDataFrame(rows, SAMPLES), ["series"]).select("sample_id", "series", "increase")
     assert sorted(map(str, got.select("sample_id", "series", "increase").collect())) == sorted(map(str, want.collect()))

@@ -126,3 +126,14 @@ def test_a_tick_has_one_pane_however_many_parts():
     assert len(out) == 1 and out["tick"][0].timestamp() == 7 * STEP
     assert [list(c) for c in panes["counts"].dropna()] == [[sum(range(30)), 30]]
     assert panes["failed"].dropna().tolist() == [1, 0, 1, 0, 1] and panes["value"].dropna().tolist() == [29.0]
+
+
+def test_events_without_a_time_change_nothing(spark, tmp_path):
+    asked, pushed = log(3, 200)
+    half, end = 100, max(r[1] for r in asked + pushed)
+    timeless = [(800 + i, None, "/predict", False, 2.0, False, True) for i in range(20)]
+    files = [([r for r in asked if r[0] < half] + timeless, [r for r in pushed if r[0] < half]),
+             ([r for r in asked if r[0] >= half] + timeless, [r for r in pushed if r[0] >= half] + [(900, None, "up", 5.0)])]
+    got = streamed(spark, tmp_path, files, behind((end - START).total_seconds() // 1))
+    want = alerts.service_signals(spark.createDataFrame(asked, REQUESTS), spark.createDataFrame(pushed, PUSHES), step=STEP)
+    assert same(got, want)
