@@ -186,12 +186,13 @@ def signatures(tokens: np.ndarray, steps: np.ndarray, frequent: int, least: int
     return long, np.isin(long, short)
 
 
-_MEMBER = "struct<node:long,size:long,near:boolean>"
+#: `info` is twice the size, and one more if the short prefix has the signature; it packs better than two columns.
+_MEMBER = "struct<node:long,info:long>"
 
 
 def _signature_rows(docs: DataFrame, width: int, table: np.ndarray, frequent: int, least: int) -> DataFrame:
     """A row for each signature and piece of texts: one node, and the others of the piece."""
-    member = pa.struct([("node", pa.int64()), ("size", pa.int64()), ("near", pa.bool_())])
+    member = pa.struct([("node", pa.int64()), ("info", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in arrays.pieces(batches, "text", 2 << 20):
@@ -204,8 +205,7 @@ def _signature_rows(docs: DataFrame, width: int, table: np.ndarray, frequent: in
             counts = [len(s) for _, s, _ in seen.values()]
             sigs = np.concatenate([s for _, s, _ in seen.values()])
             columns = {"sig": sigs.astype(np.int64), "node": np.repeat(np.fromiter(seen, np.int64, len(seen)), counts),
-                       "size": np.repeat([n for n, *_ in seen.values()], counts),
-                       "near": np.concatenate([n for *_, n in seen.values()])}
+                       "info": 2 * np.repeat([n for n, *_ in seen.values()], counts) + np.concatenate([n for *_, n in seen.values()])}
             order = np.argsort(sigs, kind="stable")
             heads = np.flatnonzero(np.append(True, np.diff(sigs[order]) != 0))
             alone = np.diff(np.append(heads, len(sigs))) == 1
@@ -213,18 +213,23 @@ def _signature_rows(docs: DataFrame, width: int, table: np.ndarray, frequent: in
             others: list = [None] * len(heads)
             for h in np.flatnonzero(~alone):
                 rest = order[heads[h] + 1:heads[h + 1] if h + 1 < len(heads) else len(sigs)]
-                others[h] = [{"node": int(columns["node"][i]), "size": int(columns["size"][i]), "near": bool(columns["near"][i])} for i in rest]
+                others[h] = [{"node": int(columns["node"][i]), "info": int(columns["info"][i])} for i in rest]
             back = np.argsort(first, kind="stable")  # rows of one document stay together and pack well
             yield pa.RecordBatch.from_pydict(
                 {k: v[first[back]] for k, v in columns.items()} | {"others": pa.array([others[i] for i in back], pa.list_(member))})
 
-    return docs.select("text").mapInArrow(run, f"sig long, node long, size long, near boolean, others array<{_MEMBER}>")
+    return docs.select("text").mapInArrow(run, f"sig long, node long, info long, others array<{_MEMBER}>")
 
 
 def _groups(rows: DataFrame, least: int) -> DataFrame:
-    """sig, node, size and near of signatures by which two nodes may link."""
-    same = Window.partitionBy("sig")
-    members = F.concat(F.array(F.struct("node", "size", "near")), F.coalesce("others", F.array().cast(f"array<{_MEMBER}>")))
+    """sig, node, size and near of signatures by which two nodes may link.
+
+    Rows are dealt out as they come from the tasks; members are unpacked after that.
+    """
+    rows, same = rows.repartition("sig"), Window.partitionBy("sig")
+    packed = F.concat(F.array(F.struct("node", "info")), F.coalesce("others", F.array().cast(f"array<{_MEMBER}>")))
+    members = F.transform(packed, lambda m: F.struct(
+        m["node"].alias("node"), F.shiftright(m["info"], 1).alias("size"), (m["info"] % 2 == 1).alias("near")))
     sizes = F.transform("members", lambda m: m["size"])
     n = F.sum(F.size("members")).over(same)
     several = (F.min("node").over(same) != F.max("node").over(same)) | (F.max(F.size("members")).over(same) > 1)
@@ -287,8 +292,9 @@ def _verified(pairs: DataFrame, sets: DataFrame, least: int) -> DataFrame:
                 keep.append(100 * both >= least * (len(x) + len(y) - both))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    one = sets.select(F.col("node").alias("a"), F.col("tokens").alias("x"))
-    two = sets.select(F.col("node").alias("b"), F.col("tokens").alias("y"))
+    # only sets that a pair names are moved: there are few pairs, and sets are the bulk of the data
+    one = sets.select(F.col("node").alias("a"), F.col("tokens").alias("x")).join(pairs.select("a"), "a", "left_semi")
+    two = sets.select(F.col("node").alias("b"), F.col("tokens").alias("y")).join(pairs.select("b"), "b", "left_semi")
     return pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
@@ -348,13 +354,13 @@ def _all_pairs_left(groups: DataFrame, sets: DataFrame, least: int) -> DataFrame
             yield flush()
 
     blocks = groups.groupBy("sig").agg(F.ceil(F.count("*") / _BLOCK).cast("int").alias("blocks"))
-    placed = (
-        groups.join(sets.select("node", "sketch").dropDuplicates(["node"]), "node").join(blocks, "sig")
-        .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")))
+    placed = groups.join(blocks, "sig").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     both = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(
         F.least("block", k).alias("i"), F.greatest("block", k).alias("j")))
-    spread = placed.select("sig", "block", "node", "size", "near", "component", "sketch", F.inline(both))
-    dealt = spread.repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j")
+    spread = placed.select("sig", "block", "node", "size", "near", "component", F.inline(both))
+    # sketches are the widest column: they come last and move once
+    sketched = spread.join(sets.select("node", "sketch").dropDuplicates(["node"]), "node")
+    dealt = sketched.repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j")
     return dealt.mapInArrow(run, "a long, b long, apart int").distinct()
 
 
@@ -405,29 +411,29 @@ def _link_components(groups: DataFrame, sets: DataFrame, least: int, rounds: int
     checked, found = links, None
     for r in range(rounds + 1):
         if found is None:
-            open_ = groups.withColumn("component", F.col("node"))
+            placed = groups.withColumn("component", F.col("node"))
         else:
             placed = groups.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-            unfinished = placed.groupBy("sig").agg(
-                F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("sig")
-            open_ = placed.join(unfinished, "sig")
-        groups = written(open_.select("sig", "node", "size", "near", "component"), "groups")
+        leaders = placed.groupBy("sig").agg(
+            F.min("component").alias("low"), F.max("component").alias("high"),
+            F.min_by(F.struct("node", "size", "near", "component"), F.xxhash64("node", F.lit(r))).alias("l"))
+        leaders = leaders.where("low <> high").select(
+            "sig", F.col("l.node").alias("other"), F.col("l.size").alias("other_size"),
+            F.col("l.near").alias("other_near"), F.col("l.component").alias("c"))
+        groups = written(placed.join(leaders, "sig"), "groups")
         if groups.isEmpty():
             break
         if r == rounds:
             return _nearest_first(_all_pairs_left(groups, sets, least).join(checked, ["a", "b"], "left_anti"), sets, links, found, least)
-        leaders = groups.groupBy("sig").agg(
-            F.min_by(F.struct("node", "size", "near", "component"), F.xxhash64("node", F.lit(r))).alias("l")).select(
-            "sig", F.col("l.node").alias("other"), F.col("l.size").alias("other_size"),
-            F.col("l.near").alias("other_near"), F.col("l.component").alias("c"))
-        pairs = groups.join(leaders, "sig").where((F.col("component") != F.col("c")) & _may_link(least))
+        pairs = groups.where((F.col("component") != F.col("c")) & _may_link(least))
         pairs = pairs.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"), "size", "other_size")
         pairs = _not_far(pairs.dropDuplicates(["a", "b"]), sets, least)
         pairs = written(pairs.join(checked, ["a", "b"], "left_anti"), "pairs")
         checked = checked.union(pairs)
         links = links.union(written(_verified(pairs, sets, least), "found"))
         found = components(links)
-        groups = groups.drop("component")
+        # all pairs with the leader are decided, so it leaves the group; a group of two nodes is done
+        groups = groups.where(F.col("node") != F.col("other")).select("sig", "node", "size", "near")
     return found if found is not None else spark.range(0).select(F.col("id").alias("node"), F.col("id").alias("component"))
 
 

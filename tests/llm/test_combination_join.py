@@ -1,7 +1,9 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerlens.llm import combination_join as j
 from ledgerlens.llm.components import components
@@ -122,3 +124,45 @@ def test_candidates_go_nearest_first(spark):
     assert {tuple(r) for r in j._nearest(pairs, 1).collect()} == {(1, 3), (1, 2), (4, 5)}
     found = spark.createDataFrame([(1, 1), (3, 1), (4, 4), (5, 4)], "node long, component long")
     assert {(r["a"], r["b"]) for r in j._between(pairs, found).collect()} == {(1, 2), (2, 3), (1, 5)}
+
+
+def test_decided_pairs_leave_their_groups(spark, monkeypatch):
+    """Two texts of one signature that do not link are compared once; the last step never sees them."""
+    seen = []
+    monkeypatch.setattr(j, "_all_pairs_left", lambda groups, sets, least: seen.append(groups.count()) or groups.select(
+        "node", "other").toDF("a", "b").withColumn("apart", F.lit(0)).limit(0))
+    ids = np.arange(40, dtype=np.uint64)
+    sets = spark.createDataFrame([(k, (ids + np.uint64(1000 * k)).tobytes(), j._sketch(ids + np.uint64(1000 * k))) for k in range(6)],
+                                 "node long, tokens binary, sketch binary")
+    members = [(100, 0), (100, 1), (200, 2), (200, 3), (200, 4)]
+    groups = spark.createDataFrame([(s, n, 40, True) for s, n in members], "sig long, node long, size long, near boolean")
+    assert j._link_components(groups, sets, 80, 1).count() == 0
+    assert seen == [2]  # of the group of three, its two others
+    seen.clear()
+    assert j._link_components(groups, sets, 80, 2).count() == 0
+    assert seen == []
+
+
+def test_only_named_sets_are_compared(spark):
+    ids = np.arange(40, dtype=np.uint64)
+    sets = spark.createDataFrame([(k, (ids + np.uint64(k)).tobytes()) for k in range(50)], "node long, tokens binary")
+    pairs = spark.createDataFrame([(1, 2), (3, 30), (7, 9)], "a long, b long")
+    found = j._verified(pairs, sets, 80)
+    assert {tuple(r) for r in found.collect()} == {(1, 2), (7, 9)}
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("LeftSemi") == 2
+
+
+def test_signature_rows_are_dealt_as_they_come(spark):
+    rows = [(k, sentence(k // 2, 60) + f" tail{k}") for k in range(40)]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    made = j._signature_rows(table, 5, np.zeros(1 << j.BITS, np.uint8), 9, 80)
+    assert made.columns == ["sig", "node", "info", "others"]
+    got = j._groups(made, 80)
+    assert got.columns == ["sig", "node", "size", "near"]
+    want = set()
+    for _, text in rows:
+        (tokens,) = j._sets(pa.array([text]), 5)
+        sigs, near = j.signatures(tokens, np.zeros(len(tokens), np.uint8), 9, 80)
+        want |= {(int(s), j._node(tokens), len(tokens), bool(n)) for s, n in zip(sigs.astype(np.int64), near)}
+    shared = {s for s, *_ in want if len({n for x, n, *_ in want if x == s}) > 1}
+    assert {tuple(r) for r in got.collect()} <= {w for w in want if w[0] in shared} and got.count() > 20
