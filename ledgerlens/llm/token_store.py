@@ -66,10 +66,11 @@ class WordEncoder:
     Words met lately are looked up whole. New ones of ASCII and accented Latin letters are
     lower-cased and cut in bulk, and their parts go straight to the library's BPE model;
     any other word, and any that may hold a special token, goes through the library's whole
-    pipeline. When a cache is full, its older half goes.
+    pipeline. A cache holds `cached` words; when it is full, its older half goes.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cached: int = _CACHED):
+        self.cached = cached
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.letters = _byte_letters()
@@ -106,7 +107,7 @@ class WordEncoder:
 
     def _kept(self, word: str, ids: bytes | None) -> bytes | None:
         if ids is not None and len(word) <= _LONGEST_CACHED:
-            if len(self.words) >= _CACHED:
+            if len(self.words) >= self.cached:
                 self.older, self.words = self.words, {}
             self.words[word] = ids
         return ids
@@ -117,7 +118,7 @@ class WordEncoder:
         parts = pc.if_else(plain, parts, pc.binary_join_element_wise("\x01", vocab, ""))
         cut = arrays.split(parts)
         names = cut.vocab.to_pylist()
-        if len(self.known) > _CACHED:
+        if len(self.known) > self.cached:
             self.known.clear()
         known = self.known
         found = [known.get(n) for n in names]
