@@ -54,7 +54,7 @@ FLOORS = {"chars_per_token": 0.05, "byte_share": 0.02, "entropy": 0.06,
           "pieces_per_word": 0.1, "second_chars_per_token": 0.05, "second_pieces_per_word": 0.1}
 #: Bytes of text that are measured at once, and words that an encoder remembers: workers of several tasks share a machine's memory.
 PIECE_BYTES = 2 << 20
-CACHED = 40_000
+CACHED = 150_000
 #: The distance of the quartiles of a normal law, in standard deviations.
 QUARTILES = 1.349
 
