@@ -52,6 +52,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -448,16 +449,21 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
     winners = written(winners.select(F.col("w.key").alias("of"), "w.node"), "winners")
     names = docs.columns
 
+    def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.append_column("text", pc.struct_field(batch.column("row"), [names.index(text_col)]))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in arrays.pieces(batches, "text", 2 << 20):
+        for piece in arrays.pieces(texts(batches), "text", 2 << 20):
             sets = _sets(piece.column("text"), width)
             mine = [len(x) > 0 and _node(x) == n for x, n in zip(sets, piece.column("node").to_pylist())]
-            yield piece.select(["row", "node"]).filter(pa.array(mine, pa.bool_()))
+            yield piece.select(["row"]).filter(pa.array(mine, pa.bool_()))
 
-    rows = docs.select(F.struct(*names).alias("row"), F.col(text_col).alias("text"), _key(F.col(id_col), F.col(text_col)).alias("key"))
-    own = rows.join(winners, F.col("key") == F.col("of")).select("row", "text", "node")
+    rows = docs.select(F.struct(*names).alias("row"), _key(F.col(id_col), F.col(text_col)).alias("key"))
+    own = rows.join(winners, F.col("key") == F.col("of")).select("row", "of", "node", F.col("row")[text_col].alias("text"))
+    # repeated rows go where the join by key has brought them together, so whole rows move once
     shape = rows.schema["row"].dataType.simpleString()
-    kept = own.mapInArrow(run, f"row {shape}, node long").dropDuplicates(["node"]).select("row.*")
+    kept = own.dropDuplicates(["of", "node", "text"]).select("row", "node").mapInArrow(run, f"row {shape}").select("row.*")
     return kept.union(docs.where(~F.coalesce(F.col(text_col), F.lit("")).rlike(r"[^\x20\x09-\x0D]")))
 
 
