@@ -316,8 +316,8 @@ def _not_far(pairs: DataFrame, sets: DataFrame, least: int) -> DataFrame:
 def _all_pairs_left(groups: DataFrame, sets: DataFrame, least: int) -> DataFrame:
     """Pairs (a, b) of a signature's nodes in different components that sizes and sketches do not rule out.
 
-    A group is cut into blocks of about `_BLOCK` nodes, and a task gets two blocks, so
-    no task holds a whole group; what leaves a task are pairs that must be verified.
+    A group of `members` nodes is cut into blocks of about `_BLOCK`, and a task gets two blocks,
+    so no task holds a whole group; what leaves a task are pairs that must be verified.
     """
     def pairs_of(rows: list[tuple]) -> Iterator[tuple[int, int, int]]:
         block, node, size, near, component = (np.array(c) for c in list(zip(*rows))[:5])
@@ -354,15 +354,15 @@ def _all_pairs_left(groups: DataFrame, sets: DataFrame, least: int) -> DataFrame
         if len(rows) > 1:
             yield flush()
 
-    blocks = groups.groupBy("sig").agg(F.ceil(F.count("*") / _BLOCK).cast("int").alias("blocks"))
-    placed = groups.join(blocks, "sig").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    cut = groups.withColumn("blocks", F.ceil(F.col("members") / _BLOCK).cast("int"))
+    placed = cut.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     both = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(
         F.least("block", k).alias("i"), F.greatest("block", k).alias("j")))
     spread = placed.select("sig", "block", "node", "size", "near", "component", F.inline(both))
     # sketches are the widest column: they come last and move once
     sketched = spread.join(sets.select("node", "sketch").dropDuplicates(["node"]), "node")
     dealt = sketched.repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j")
-    return dealt.mapInArrow(run, "a long, b long, apart int").distinct()
+    return dealt.mapInArrow(run, "a long, b long, apart int").dropDuplicates(["a", "b"])
 
 
 def _nearest(candidates: DataFrame, each: int) -> DataFrame:
@@ -388,51 +388,59 @@ def _may_link(least: int) -> Column:
     return close & (F.col("near") | (F.col("size") > F.col("other_size"))) & (F.col("other_near") | (F.col("size") < F.col("other_size")))
 
 
-def _nearest_first(candidates: DataFrame, sets: DataFrame, links: DataFrame, found: DataFrame | None, least: int) -> DataFrame:
+def _nearest_first(candidates: DataFrame, sets: DataFrame, found: DataFrame | None, least: int) -> DataFrame | None:
     """Components when every candidate pair is decided: verified, or within one component by then.
 
     In each turn every node has its nearest pairs verified, one at first and four times as
     many in each further turn, and the links join components. Near copies link to their
     nearest ones, so a family is soon one component, and its other pairs need no look at sets.
+    What is left goes in one turn when it is at most twice as many pairs as the first turn had.
     """
-    left, each = written(candidates, "candidates"), 1
-    while not left.isEmpty():
-        chosen = written(_nearest(left, each), "pairs")
-        links = links.union(written(_verified(chosen, sets, least), "found"))
-        found = components(links)
+    left, each, few = written(candidates, "candidates"), 1, 0
+    while n := left.count():
+        last = n <= few
+        chosen = left.select("a", "b") if last else written(_nearest(left, each), "pairs")
+        found = _joined(written(_verified(chosen, sets, least), "found"), found)
+        if last:
+            break
+        few = few or 2 * chosen.count()
         left = written(_between(left.join(chosen, ["a", "b"], "left_anti"), found), "candidates")
         each *= 4
-    return found if found is not None else links.select(F.col("a").alias("node"), F.col("a").alias("component"))
+    return found
+
+
+def _joined(links: DataFrame, found: DataFrame | None) -> DataFrame | None:
+    """The components after further links; none as long as there is no link."""
+    return found if links.isEmpty() else components(links, found)
 
 
 def _link_components(groups: DataFrame, sets: DataFrame, least: int, rounds: int) -> DataFrame:
     """node and component of all nodes that have a link."""
     spark = groups.sparkSession
-    links = spark.range(0).select(F.col("id").alias("a"), F.col("id").alias("b"))
-    checked, found = links, None
+    checked, found = spark.range(0).select(F.col("id").alias("a"), F.col("id").alias("b")), None
     for r in range(rounds + 1):
         if found is None:
             placed = groups.withColumn("component", F.col("node"))
         else:
             placed = groups.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
         leaders = placed.groupBy("sig").agg(
-            F.min("component").alias("low"), F.max("component").alias("high"),
+            F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("members"),
             F.min_by(F.struct("node", "size", "near", "component"), F.xxhash64("node", F.lit(r))).alias("l"))
         leaders = leaders.where("low <> high").select(
-            "sig", F.col("l.node").alias("other"), F.col("l.size").alias("other_size"),
+            "sig", "members", F.col("l.node").alias("other"), F.col("l.size").alias("other_size"),
             F.col("l.near").alias("other_near"), F.col("l.component").alias("c"))
         groups = written(placed.join(leaders, "sig"), "groups")
         if groups.isEmpty():
             break
         if r == rounds:
-            return _nearest_first(_all_pairs_left(groups, sets, least).join(checked, ["a", "b"], "left_anti"), sets, links, found, least)
+            found = _nearest_first(_all_pairs_left(groups, sets, least).join(checked, ["a", "b"], "left_anti"), sets, found, least)
+            break
         pairs = groups.where((F.col("component") != F.col("c")) & _may_link(least))
         pairs = pairs.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"), "size", "other_size")
-        pairs = _not_far(pairs.dropDuplicates(["a", "b"]), sets, least)
-        pairs = written(pairs.join(checked, ["a", "b"], "left_anti"), "pairs")
+        fresh = pairs.dropDuplicates(["a", "b"]).join(checked, ["a", "b"], "left_anti")
+        pairs = written(_not_far(fresh, sets, least), "pairs")
         checked = checked.union(pairs)
-        links = links.union(written(_verified(pairs, sets, least), "found"))
-        found = components(links)
+        found = _joined(written(_verified(pairs, sets, least), "found"), found)
         # all pairs with the leader are decided, so it leaves the group; a group of two nodes is done
         groups = groups.where(F.col("node") != F.col("other")).select("sig", "node", "size", "near")
     return found if found is not None else spark.range(0).select(F.col("id").alias("node"), F.col("id").alias("component"))

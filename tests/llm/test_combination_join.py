@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import combination_join as j
+from ledgerlens.llm import components as c
 from ledgerlens.llm.components import components
 from tests.llm.conftest import ROWS, sentence
 from tests.llm.test_contamination import shingles
@@ -166,3 +167,50 @@ def test_signature_rows_are_dealt_as_they_come(spark):
         want |= {(int(s), j._node(tokens), len(tokens), bool(n)) for s, n in zip(sigs.astype(np.int64), near)}
     shared = {s for s, *_ in want if len({n for x, n, *_ in want if x == s}) > 1}
     assert {tuple(r) for r in got.collect()} <= {w for w in want if w[0] in shared} and got.count() > 20
+
+
+def test_components_grow_with_further_links(spark, monkeypatch):
+    """Links are merged into known components, and a long way costs few tables."""
+    rng, tables, real = random.Random(3), [], c.written
+    monkeypatch.setattr(c, "written", lambda df, purpose: tables.append(purpose) or real(df, purpose))
+    nodes = rng.sample(range(10**6), 120)
+    parts = [[(nodes[k], nodes[k + 1]) for k in range(0, 59)] + [(nodes[60], nodes[61])] * 2,
+             [tuple(rng.sample(nodes[62:], 2)) for _ in range(30)] + [(nodes[118], nodes[118])],
+             [(nodes[60], nodes[5]), (nodes[5], nodes[60]), (nodes[0], nodes[59])]]
+    found, parent = None, {}
+    for links in parts:
+        found = components(spark.createDataFrame(links, "a long, b long").repartition(3), found)
+        for a, b in links:
+            a, b = parent.setdefault(a, a), parent.setdefault(b, b)
+            parent.update({k: min(a, b) for k, v in parent.items() if v in (a, b)})
+        rows = found.collect()
+        assert {(r["node"], r["component"]) for r in rows} == set(parent.items()) and len(rows) == len(parent)
+    assert len(tables) < 45
+    path = components(spark.createDataFrame([(k, k + 1) for k in range(200)], "a long, b long")).collect()
+    assert len(path) == 201 and {r["component"] for r in path} == {0}
+
+
+def test_few_candidates_left_go_in_one_turn(spark, monkeypatch):
+    """No pair links: after the first turn what is left is decided at once, each pair once."""
+    seen, real = [], j._verified
+    monkeypatch.setattr(j, "_verified", lambda pairs, sets, least: seen.append(sorted(map(tuple, pairs.select("a", "b").collect()))) or real(pairs, sets, least))
+    ids = np.arange(40, dtype=np.uint64)
+    sets = spark.createDataFrame([(k, (ids + np.uint64(1000 * k)).tobytes()) for k in range(6)], "node long, tokens binary")
+    pairs = [(a, b, 10 * a + b) for a in range(6) for b in range(a + 1, 6)]
+    assert j._nearest_first(spark.createDataFrame(pairs[:13], "a long, b long, apart int"), sets, None, 80) is None
+    assert len(seen) == 2 and sorted(seen[0] + seen[1]) == sorted((a, b) for a, b, _ in pairs[:13])
+
+
+def test_kept_rows_move_once(spark, docs):
+    """Whole rows are dealt out by key once; copies of id and text that differ in other columns leave one."""
+    rows = [(k % 20, sentence(k % 20, 30), f"s{k}") for k in range(60)] + [(None, sentence(99, 30), "x"), (None, sentence(99, 30), "y")]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = j.keep_one(spark.createDataFrame(rows, "doc_id long, text string, source string"))
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 2  # rows, and the winners
+        assert sorted((r["doc_id"], r["text"]) for r in kept.where("doc_id IS NOT NULL").collect()) == sorted((k, sentence(k, 30)) for k in range(20))
+        assert kept.where("doc_id IS NULL").count() == 1
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
